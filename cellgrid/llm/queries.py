@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm._store import table
+from cellgrid.llm._store import fold, table
 from cellgrid.llm.mixing import mix_sources
+from cellgrid.llm.quality import score_quality, train_quality
 from cellgrid.llm.token_counts import length_histogram, suffix_sums
+from cellgrid.llm.toxicity import score_toxicity, train_toxicity
 from cellgrid.llm.url_rules import Rule, judge_urls
 from cellgrid.llm.winnowing import find_overlaps
 
@@ -20,6 +22,16 @@ URL_RULES = (
 )
 
 
+def _classified(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
+    return scored.select("doc_id", (fold("doc_id", folds) == held_out).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_quality(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    return _classified(score_quality(docs, model), 3, 1)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -42,14 +54,22 @@ def op8_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, default="allow")
 
 
+def op9_toxicity_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return _classified(score_toxicity(docs, model), 5, 0)
+
+
 def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sums(length_histogram(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
+    "op2_quality_gam": op2_quality_gam,
     "op4_mix_sources": op4_mix_sources,
     "op5_winnow_benchmark": op5_winnow_benchmark,
     "op8_url_automaton": op8_url_automaton,
+    "op9_toxicity_svm": op9_toxicity_svm,
     "op10_token_lengths": op10_token_lengths,
 }
 
