@@ -3,7 +3,7 @@
 The kernel counts the common letter subsequences of two strings, each discounted by the stretch it
 spans, so an insult with gaps or inserted characters stays near the plain one.  A unit is a word
 without punctuation, a run of one-letter words put together, or a window of an overlong word; a text's
-margin is its worst unit's.  Only a unit that shares a subsequence of the kernel's length with a landmark
+score is a logistic link of its worst unit's margin and of how many units are on the toxic side.  Only a unit that shares a subsequence of the kernel's length with a landmark
 has a kernel value other than zero, which a bit-parallel longest common subsequence finds first.
 """
 
@@ -134,13 +134,13 @@ def _width(rows: np.ndarray) -> int:
 
 @dataclass
 class ToxicModel:
-    """Landmark rows, weights of the normalised kernel to each, offset, and the two numbers of the logistic link."""
+    """Landmark rows, weights of the normalised kernel to each, offset, and the numbers of the logistic link."""
 
     landmarks: np.ndarray
     own: np.ndarray
     alpha: np.ndarray
     offset: float
-    link: tuple[float, float]
+    link: np.ndarray
 
     def kernel(self, rows: np.ndarray, chunk: int = 2000) -> np.ndarray:
         """Normalised kernel values of rows against the landmarks (n x m); exact, zero where no subsequence is shared."""
@@ -162,17 +162,21 @@ class ToxicModel:
     def margins(self, rows: np.ndarray) -> np.ndarray:
         return self.kernel(rows) @ self.alpha + self.offset
 
-    def text_margins(self, texts: pa.Array) -> np.ndarray:
-        """The margin of each text: its units' largest, and the offset for a text without units."""
+    def text_signs(self, texts: pa.Array) -> np.ndarray:
+        """For each text: its worst unit's margin (bounded), the units on the toxic side, and their share."""
         rows, place, doc = distinct_units(texts)
-        out = np.full(len(texts), self.offset)
-        if len(rows):
-            np.maximum.at(out, doc, self.margins(rows)[place])
-        return out
+        return text_signs(self.margins(rows)[place], doc, len(texts), self.offset)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        a, b = self.link
-        return 1 / (1 + np.exp(-np.clip(a * np.tanh(self.text_margins(texts)) + b, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.text_signs(texts) @ self.link[:-1] + self.link[-1], -30, 30)))
+
+
+def text_signs(margin: np.ndarray, doc: np.ndarray, n: int, offset: float) -> np.ndarray:
+    """The text-level columns from unit margins; a text without units stands at the offset."""
+    worst = np.full(n, offset)
+    np.maximum.at(worst, doc, margin)
+    toxic = np.bincount(doc, np.clip(margin, 0, 1), n)
+    return np.column_stack([np.tanh(worst), np.log1p(toxic), 10 * toxic / (np.bincount(doc, minlength=n) + 10)])
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, sweeps: int = 60) -> tuple[np.ndarray, float]:
@@ -193,23 +197,30 @@ def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, sweeps: int = 60) -> tu
     return w[:-1], float(w[-1])
 
 
-def _link(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of the label on a bounded margin by Newton's steps, with smoothed labels."""
-    t = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
-    x = np.column_stack([margin, np.ones(len(margin))])
-    v = np.array([1.0, 0.0])
-    for _ in range(50):
+def _link(signs: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic regression of the label on text-level columns by Newton's steps; the last number is the offset."""
+    x = np.column_stack([signs, np.ones(len(signs))])
+    v = np.zeros(x.shape[1])
+    ridge = np.array([*[1e-2] * signs.shape[1], 1e-6])
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float(np.logaddexp(0, z).sum() - y @ z + (ridge * v * v).sum() / 2)
+
+    for _ in range(100):
         q = 1 / (1 + np.exp(-np.clip(x @ v, -30, 30)))
-        grad = x.T @ (q - t) + 1e-3 * v
-        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 1e-3 * np.eye(2), grad)
-        v = v - np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + np.diag(ridge), x.T @ (q - y) + ridge * v)
+        size = 1.0
+        while size > 1e-4 and loss(v - size * step) > loss(v):
+            size /= 2
+        v = v - size * step
+        if np.abs(size * step).max() < 1e-6:
             break
-    return max(float(v[0]), 1e-3), float(v[1])
+    return v
 
 
-def fit_toxicity(texts: list[str | None], labels: list[int], n_landmarks: int = 24, rounds: int = 2, most_negatives: int = 6000) -> ToxicModel:
-    """Fit on whole texts and 0/1 labels: sentences inherit a text's label, then only the worst units of toxic texts stay toxic."""
+def fit_toxicity(texts: list[str | None], labels: list[int], n_landmarks: int = 32, most_clean: int = 8000) -> ToxicModel:
+    """Fit on whole texts and 0/1 labels. A unit is toxic where far more toxic than clean texts hold it; texts that repeat count once."""
     once = sorted({(t or "", int(v > 0)) for t, v in zip(texts, labels, strict=True)})
     y = np.array([v for _, v in once], dtype=np.float64)
     rows, place, doc = distinct_units(pa.array([t for t, _ in once], type=pa.string()))
@@ -217,48 +228,49 @@ def fit_toxicity(texts: list[str | None], labels: list[int], n_landmarks: int =
     pairs = np.unique(doc.astype(np.int64) * n + place)
     d, u = pairs // n, pairs % n
     bad, good = np.bincount(u, y[d], len(rows)), np.bincount(u, 1 - y[d], len(rows))
-    chosen = _marks(rows, bad, good, y.sum(), (1 - y).sum(), n_landmarks)
+    odds = np.log((bad + 0.5) / (y.sum() + 1)) - np.log((good + 0.5) / ((1 - y).sum() + 1))
+    size = (rows > 0).sum(1)
+    weight = np.where((size >= LENGTH) & (size <= LANDMARK) & (bad >= 4) & (odds > 2), bad * odds, 0)
+    chosen = _landmarks(rows, weight, n_landmarks)
     if not len(chosen):
         p = (y.sum() + 1) / (len(y) + 2)
         none = np.zeros((0, LANDMARK), dtype=np.uint8)
-        return ToxicModel(none, np.zeros(0), np.zeros(0), 0.0, (1.0, float(np.log(p / (1 - p)))))
+        return ToxicModel(none, np.zeros(0), np.zeros(0), 0.0, np.array([0.0, 0.0, 0.0, np.log(p / (1 - p))]))
     landmarks = np.ascontiguousarray(rows[chosen][:, :LANDMARK])
-    model = ToxicModel(landmarks, subsequence_kernel(landmarks, landmarks), np.zeros(len(chosen)), 0.0, (1.0, 0.0))
+    model = ToxicModel(landmarks, subsequence_kernel(landmarks, landmarks), np.zeros(len(chosen)), 0.0, np.zeros(4))
     k = model.kernel(rows)
     gram = np.clip(model.kernel(np.pad(landmarks, ((0, 0), (0, WINDOW - LANDMARK)))), 0, 1)
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     sound = value > 1e-6
     root = vector[:, sound] / np.sqrt(value[sound])  # Nystroem: features whose dot products are the kernel on the landmarks
-    margin = np.full(len(rows), -1.0)
-    margin[chosen] = 1.0  # at first, the landmarks stand for the toxic units
-    seen = k.any(1)
-    for _ in range(rounds):
-        toxic = np.union1d(chosen, np.flatnonzero((margin > 0.5) & (bad >= 3) & (bad > 10 * good)))
-        clean = np.setdiff1d(np.flatnonzero((good > 0) & seen), toxic)
-        clean = clean[np.lexsort((clean, -k[clean].max(1)))][:most_negatives]
-        near = model.kernel(_stretched(rows[toxic]))
-        x = np.vstack([k[toxic], near, k[clean], np.zeros((1, k.shape[1]))]) @ root
-        n_bad = len(toxic) + len(near)
-        side = np.concatenate([np.ones(n_bad), -np.ones(len(x) - n_bad)])
-        cost = np.where(side > 0, 10.0 * max(1.0, (len(x) - n_bad) / max(n_bad, 1)), 10.0)
-        w, model.offset = _svm(x, side, cost)
-        model.alpha = root @ w
-        margin = k @ model.alpha + model.offset
-    worst = np.full(len(y), model.offset)
-    np.maximum.at(worst, d, margin[u])
-    model.link = _link(np.tanh(worst), y)
+    toxic = np.union1d(chosen, np.flatnonzero((bad >= 4) & (odds > 2) & k.any(1)))
+    clean = np.setdiff1d(np.flatnonzero((good > 0) & (odds < 1) & k.any(1)), toxic)
+    clean = clean[np.lexsort((clean, -k[clean].max(1)))][:most_clean]
+    near = model.kernel(_stretched(rows[chosen]))
+    x = np.vstack([k[toxic], near, k[clean], np.zeros((1, k.shape[1]))]) @ root
+    n_bad = len(toxic) + len(near)
+    side = np.concatenate([np.ones(n_bad), -np.ones(len(x) - n_bad)])
+    cost = np.where(side > 0, 10.0 * max(1.0, (len(x) - n_bad) / max(n_bad, 1)), 10.0)
+    w, model.offset = _svm(x, side, cost)
+    model.alpha = root @ w
+    model.link = _link(text_signs((k @ model.alpha + model.offset)[place], doc, len(y), model.offset), y)
     return model
 
 
-def _marks(rows: np.ndarray, bad: np.ndarray, good: np.ndarray, n_bad: float, n_good: float, most: int) -> np.ndarray:
-    """Landmark units: those of many toxic and few clean texts, each with at least a quarter of the strongest one's weight."""
-    size = (rows > 0).sum(1)
-    odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((good + 0.5) / (n_good + 1))
-    weight = np.where((size >= LENGTH) & (size <= LANDMARK) & (bad >= 2) & (odds > 1), bad * odds, 0)
-    if not weight.any():
-        return np.empty(0, dtype=np.int64)
-    order = np.lexsort((np.arange(len(rows)), -weight))[:most]
-    return order[weight[order] >= weight.max() / 4]
+def _landmarks(rows: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
+    """Units of great weight that are unlike those chosen before: each likeness to one of them scales the weight down."""
+    able = np.flatnonzero(weight > 0.02 * weight.max(initial=0))
+    able = able[np.lexsort((able, -weight[able]))][: 40 * most]
+    left, short = weight[able].copy(), np.ascontiguousarray(rows[able][:, :LANDMARK])
+    own = subsequence_kernel(short, short) if len(able) else np.zeros(0)
+    chosen: list[int] = []
+    while len(chosen) < most and len(able) and left.max() > 0.02 * weight.max():
+        i = int(np.argmax(left))
+        chosen.append(int(able[i]))
+        like = subsequence_kernel(short, np.repeat(short[i : i + 1], len(short), axis=0)) / np.sqrt(own * own[i])
+        left *= 1 - np.clip(like, 0, 1)
+        left[i] = 0
+    return np.array(chosen, dtype=np.int64)
 
 
 def _stretched(rows: np.ndarray) -> np.ndarray:
@@ -272,7 +284,7 @@ def _stretched(rows: np.ndarray) -> np.ndarray:
     return np.array(out, dtype=np.uint8).reshape(-1, WINDOW)
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = 3000, most_bytes: int = 1 << 18, folds: int = 5, held_out: int = 0, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = 4000, most_bytes: int = 1 << 18, folds: int = 5, held_out: int = 0, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
     """Fit on at most `most` labelled documents of each label outside the held-out fold, chosen by a hash of the id.
 
     The bounds on rows and on the bytes of a text limit only what is fitted on, never what is scored. Rows whose
