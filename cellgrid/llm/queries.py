@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cellgrid.llm._store import fold, table
 from cellgrid.llm.mixing import mix_sources
 from cellgrid.llm.quality import score_quality, train_quality
+from cellgrid.llm.substring_dedup import repeat_digests
 from cellgrid.llm.token_counts import length_histogram, suffix_sums
 from cellgrid.llm.toxicity import score_toxicity, train_toxicity
 from cellgrid.llm.url_rules import Rule, judge_urls
@@ -50,6 +51,10 @@ def op5_winnow_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"), window=35)
+
+
 def op8_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, default="allow")
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op2_quality_gam": op2_quality_gam,
     "op4_mix_sources": op4_mix_sources,
     "op5_winnow_benchmark": op5_winnow_benchmark,
+    "op6_block_anchors": op6_block_anchors,
     "op8_url_automaton": op8_url_automaton,
     "op9_toxicity_svm": op9_toxicity_svm,
     "op10_token_lengths": op10_token_lengths,
