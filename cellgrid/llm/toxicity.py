@@ -144,7 +144,7 @@ class ToxicModel:
 
     def kernel(self, rows: np.ndarray, chunk: int = 2000) -> np.ndarray:
         """Normalised kernel values of rows against the landmarks (n x m); exact, zero where no subsequence is shared."""
-        out = np.zeros((len(rows), len(self.landmarks)))
+        out = np.zeros((len(rows), len(self.landmarks)), dtype=np.float32)
         for c in range(0, len(rows), 1 << 16):
             near = common_subsequence(rows[c : c + (1 << 16)], self.landmarks) >= LENGTH
             i, j = np.nonzero(near)
@@ -157,7 +157,8 @@ class ToxicModel:
                 a = rows[some[s : s + chunk]]
                 a = a[:, : _width(a)]
                 out[some[s : s + chunk]] /= np.sqrt(subsequence_kernel(a, a))[:, None]
-        return out / np.sqrt(self.own)[None, :]
+        out /= np.sqrt(self.own)[None, :]
+        return out
 
     def margins(self, rows: np.ndarray) -> np.ndarray:
         return self.kernel(rows) @ self.alpha + self.offset
@@ -171,12 +172,13 @@ class ToxicModel:
         return 1 / (1 + np.exp(-np.clip(self.text_signs(texts) @ self.link[:-1] + self.link[-1], -30, 30)))
 
 
-def text_signs(margin: np.ndarray, doc: np.ndarray, n: int, offset: float) -> np.ndarray:
-    """The text-level columns from unit margins; a text without units stands at the offset."""
+def text_signs(margin: np.ndarray, doc: np.ndarray, n: int, offset: float, times: np.ndarray | None = None) -> np.ndarray:
+    """The text-level columns from unit margins (each met `times` times); a text without units stands at the offset."""
+    times = np.ones(len(margin)) if times is None else times
     worst = np.full(n, offset)
     np.maximum.at(worst, doc, margin)
-    toxic = np.bincount(doc, np.clip(margin, 0, 1), n)
-    return np.column_stack([np.tanh(worst), np.log1p(toxic), 10 * toxic / (np.bincount(doc, minlength=n) + 10)])
+    toxic = np.bincount(doc, np.clip(margin, 0, 1) * times, n)
+    return np.column_stack([np.tanh(worst), np.log1p(toxic), 10 * toxic / (np.bincount(doc, times, n) + 10)])
 
 
 def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, sweeps: int = 60) -> tuple[np.ndarray, float]:
@@ -223,10 +225,7 @@ def fit_toxicity(texts: list[str | None], labels: list[int], n_landmarks: int =
     """Fit on whole texts and 0/1 labels. A unit is toxic where far more toxic than clean texts hold it; texts that repeat count once."""
     once = sorted({(t or "", int(v > 0)) for t, v in zip(texts, labels, strict=True)})
     y = np.array([v for _, v in once], dtype=np.float64)
-    rows, place, doc = distinct_units(pa.array([t for t, _ in once], type=pa.string()))
-    n = max(len(rows), 1)
-    pairs = np.unique(doc.astype(np.int64) * n + place)
-    d, u = pairs // n, pairs % n
+    rows, u, d, times = _unit_counts([t for t, _ in once])
     bad, good = np.bincount(u, y[d], len(rows)), np.bincount(u, 1 - y[d], len(rows))
     odds = np.log((bad + 0.5) / (y.sum() + 1)) - np.log((good + 0.5) / ((1 - y).sum() + 1))
     size = (rows > 0).sum(1)
@@ -253,10 +252,30 @@ def fit_toxicity(texts: list[str | None], labels: list[int], n_landmarks: int =
     cost = np.where(side > 0, 10.0 * max(1.0, (len(x) - n_bad) / max(n_bad, 1)), 10.0)
     w, model.offset = _svm(x, side, cost)
     model.alpha = root @ w
-    model.link = _link(text_signs((k @ model.alpha + model.offset)[place], doc, len(y), model.offset), y)
+    model.link = _link(text_signs((k @ model.alpha + model.offset)[u], d, len(y), model.offset, times), y)
     return model
 
 
+def _unit_counts(texts: list[str], most: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct unit rows, and for each pair of a text and a unit: unit number, text number, count), read in slices of `most` characters."""
+    found, at, held, since = [], [], 0, 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= most or i == len(texts) - 1:
+            rows, place, doc = distinct_units(pa.array(texts[since : i + 1], type=pa.string()))
+            n = max(len(rows), 1)
+            pair, times = np.unique(doc.astype(np.int64) * n + place, return_counts=True)
+            found.append(rows)
+            at.append((pair % n, pair // n + since, times))
+            held, since = 0, i + 1
+    if not found:
+        return np.zeros((0, WINDOW), np.uint8), *(np.zeros(0, np.int64) for _ in range(3))
+    rows, place = np.unique(np.concatenate(found).view(f"S{WINDOW}").reshape(-1), return_inverse=True)
+    shift = np.concatenate([[0], np.cumsum([len(f) for f in found])])
+    u = np.concatenate([place[shift[i] + x] for i, (x, _, _) in enumerate(at)])
+    return rows.view(np.uint8).reshape(-1, WINDOW), u, np.concatenate([x[1] for x in at]), np.concatenate([x[2] for x in at]).astype(np.float64)
+
+
 def _landmarks(rows: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
     """Units of great weight that are unlike those chosen before: each likeness to one of them scales the weight down."""
     able = np.flatnonzero(weight > 0.02 * weight.max(initial=0))
@@ -284,7 +303,7 @@ def _stretched(rows: np.ndarray) -> np.ndarray:
     return np.array(out, dtype=np.uint8).reshape(-1, WINDOW)
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = 4000, most_bytes: int = 1 << 18, folds: int = 5, held_out: int = 0, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = 3000, most_bytes: int = 1 << 17, folds: int = 5, held_out: int = 0, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
     """Fit on at most `most` labelled documents of each label outside the held-out fold, chosen by a hash of the id.
 
     The bounds on rows and on the bytes of a text limit only what is fitted on, never what is scored. Rows whose
