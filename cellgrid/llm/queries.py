@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellgrid.llm._store import fold, table
 from cellgrid.llm.mixing import mix_sources
+from cellgrid.llm.ngram_join import near_duplicates
 from cellgrid.llm.quality import score_quality, train_quality
 from cellgrid.llm.substring_dedup import repeat_digests
 from cellgrid.llm.token_counts import length_histogram, suffix_sums
@@ -23,6 +24,10 @@ URL_RULES = (
 )
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
 def _classified(scored: DataFrame, folds: int, held_out: int) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", folds) == held_out).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -70,6 +75,7 @@ def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_quality_gam": op2_quality_gam,
     "op4_mix_sources": op4_mix_sources,
     "op5_winnow_benchmark": op5_winnow_benchmark,
