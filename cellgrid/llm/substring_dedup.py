@@ -17,7 +17,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -267,8 +266,8 @@ def repeat_digests(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", te
                 found = raw[offsets[i] : offsets[i + 1]].split()
                 n.append(len(found))
                 sha.append(hashlib.sha256(b" ".join(found)).hexdigest())
-            may = pa.array(passes(bits, b.column(1).to_numpy()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pc.if_else(may, b.column(2), pa.scalar(None, pa.string())), pa.array(n, pa.int64()), pa.array(sha)], names=["doc_id", "tid", "text", "n_words", "sha"])
+            may = pa.array(np.arange(b.num_rows), mask=~passes(bits, b.column(1).to_numpy()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2).take(may), pa.array(n, pa.int64()), pa.array(sha)], names=["doc_id", "tid", "text", "n_words", "sha"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
