@@ -13,6 +13,7 @@ from cellgrid.llm.substring_dedup import repeat_digests
 from cellgrid.llm.token_counts import length_histogram, suffix_sums
 from cellgrid.llm.toxicity import score_toxicity, train_toxicity
 from cellgrid.llm.url_rules import Rule, judge_urls
+from cellgrid.llm.vantage_points import nearest
 from cellgrid.llm.winnowing import find_overlaps
 
 URL_RULES = (
@@ -38,6 +39,10 @@ def op2_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(score_quality(docs, model), 3, 1)
 
 
+def op3_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, factor=1.0)
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -77,6 +82,7 @@ def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality_gam": op2_quality_gam,
+    "op3_vantage_points": op3_vantage_points,
     "op4_mix_sources": op4_mix_sources,
     "op5_winnow_benchmark": op5_winnow_benchmark,
     "op6_block_anchors": op6_block_anchors,
