@@ -9,6 +9,7 @@ from cellgrid.llm._store import fold, table
 from cellgrid.llm.mixing import mix_sources
 from cellgrid.llm.ngram_join import near_duplicates
 from cellgrid.llm.quality import score_quality, train_quality
+from cellgrid.llm.recurrent_lm import score_lm
 from cellgrid.llm.substring_dedup import repeat_digests
 from cellgrid.llm.token_counts import length_histogram, suffix_sums
 from cellgrid.llm.toxicity import score_toxicity, train_toxicity
@@ -65,6 +66,10 @@ def op6_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(table(spark, sf_dir, "documents"), window=35)
 
 
+def op7_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_lm(table(spark, sf_dir, "documents"), folds=7, held_out=2)
+
+
 def op8_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES, default="allow")
 
@@ -86,6 +91,7 @@ QUERIES = {
     "op4_mix_sources": op4_mix_sources,
     "op5_winnow_benchmark": op5_winnow_benchmark,
     "op6_block_anchors": op6_block_anchors,
+    "op7_recurrent_lm": op7_recurrent_lm,
     "op8_url_automaton": op8_url_automaton,
     "op9_toxicity_svm": op9_toxicity_svm,
     "op10_token_lengths": op10_token_lengths,
