@@ -71,9 +71,10 @@ def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 def _packed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Rows of WINDOW bytes, padded with zero."""
-    at = start[:, None] + np.arange(WINDOW)
-    ok = at < end[:, None]
-    return np.where(ok, data[np.minimum(at, max(len(data) - 1, 0))], 0) if len(data) else np.zeros((len(start), WINDOW), np.uint8)
+    long = np.concatenate([data, np.zeros(WINDOW, np.uint8)])
+    rows = np.lib.stride_tricks.sliding_window_view(long, WINDOW)[start]
+    rows[np.arange(WINDOW) >= (end - start)[:, None]] = 0
+    return rows
 
 
 def distinct_units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -148,11 +149,15 @@ class ToxicModel:
         for c in range(0, len(rows), 1 << 16):
             near = common_subsequence(rows[c : c + (1 << 16)], self.landmarks) >= LENGTH
             i, j = np.nonzero(near)
+            size, own = (rows[c : c + (1 << 16)] > 0).sum(1), (self.landmarks > 0).sum(1)
+            order = np.argsort(size[i] * 32 + own[j], kind="stable")  # pairs of like lengths share a table without padding
+            i, j = i[order], j[order]
             for s in range(0, len(i), chunk):
                 a, b = rows[c + i[s : s + chunk]], self.landmarks[j[s : s + chunk]]
                 a, b = a[:, : _width(a)], b[:, : _width(b)]
                 out[c + i[s : s + chunk], j[s : s + chunk]] = subsequence_kernel(a, b)
-            some = c + np.unique(i)
+            some = np.unique(i)
+            some = c + some[np.argsort(size[some], kind="stable")]
             for s in range(0, len(some), chunk):
                 a = rows[some[s : s + chunk]]
                 a = a[:, : _width(a)]
