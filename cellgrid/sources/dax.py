@@ -1,7 +1,6 @@
-"""A data source for raw microscope stacks: one row for each frame, with pruning by frame, channel and tile.
+"""A data source for raw microscope stacks: one row for each frame, read by ranges of frames and by channel.
 
-    spark.dataSource.register(DaxSource)
-    spark.read.format("dax").option("channels", 4).load("folder/*.dax")
+    read_dax(spark, "folder/*.dax", channels=4, channel=1, last=20)
 
 Pixels are little-endian 16-bit, whatever the file's order. Every partition reads a range of frames of one
 file by offset, so a stack is never held whole. Paths are of a file system that every executor mounts.
@@ -17,9 +16,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, InputPartition, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "path string, frame int, channel int, z int, height int, width int, pixels binary"
 
@@ -60,27 +59,16 @@ class DaxReader(DataSourceReader):
         self.paths = sorted(p for part in options["path"].split(",") for p in glob.glob(part if "*" in part or part.endswith(".dax") else f"{part}/*.dax"))
         self.channels = int(options.get("channels", 1))
         self.most = int(options.get("framesperpartition", 32))
-        self.low, self.high, self.channel = 0, None, None
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("frame",):
-                self.low, self.high = max(self.low, f.value), f.value if self.high is None else min(self.high, f.value)
-            elif isinstance(f, GreaterThanOrEqual) and f.attribute == ("frame",):
-                self.low = max(self.low, f.value)
-            elif isinstance(f, LessThanOrEqual) and f.attribute == ("frame",):
-                self.high = f.value if self.high is None else min(self.high, f.value)
-            elif isinstance(f, EqualTo) and f.attribute == ("channel",):
-                self.channel = f.value if self.channel in (None, f.value) else -1
-            else:
-                yield f
+        self.first = int(options.get("first", 0))
+        self.last = int(options["last"]) if "last" in options else None
+        self.channel = int(options["channel"]) if "channel" in options else None
 
     def partitions(self) -> list[Frames]:
         out = []
         for p in self.paths:
             info = read_info(p)
-            end = info.frames if self.high is None else min(info.frames, self.high + 1)
-            out += [Frames(p, a, min(a + self.most, end), info) for a in range(self.low, end, self.most)]
+            end = info.frames if self.last is None else min(info.frames, self.last + 1)
+            out += [Frames(p, a, min(a + self.most, end), info) for a in range(self.first, end, self.most)]
         return out
 
     def read(self, partition: Frames) -> Iterator[tuple]:
@@ -107,8 +95,15 @@ class DaxSource(DataSource):
         return DaxReader(self.options)
 
 
+def read_dax(spark: SparkSession, path: str, channels: int = 1, channel: int | None = None, first: int = 0, last: int | None = None, frames_per_partition: int = 32) -> DataFrame:
+    """The frames of a stack, a folder's stacks or a glob, numbered first to last; other frames and channels are not read."""
+    spark.dataSource.register(DaxSource)
+    given = {"channels": channels, "channel": channel, "first": first, "last": last, "framesPerPartition": frames_per_partition}
+    return spark.read.format("dax").options(**{k: v for k, v in given.items() if v is not None}).load(path)
+
+
 def block(frames: DataFrame, x: tuple[int, int] | None = None, y: tuple[int, int] | None = None, z: tuple[int, int] | None = None, channel: int | None = None) -> DataFrame:
-    """The frames cut to a block; ranges hold both ends, and a start below 0 is 0. Frames outside z and the channel are not read."""
+    """The frames cut to a block; ranges hold both ends, and a start below 0 is 0. Read the channel and range of frames by read_dax to leave the others on disk."""
     held = lambda r: (max(r[0], 0), r[1])
     if z is not None:
         frames = frames.where((F.col("z") >= held(z)[0]) & (F.col("z") <= z[1]))
