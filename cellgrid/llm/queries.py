@@ -104,6 +104,11 @@ _FITS = " ".join(
     for r in sorted(URL_RULES, key=lambda r: -len(r.name))
 )
 
+_LOW = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACE_WORDS = r"[^\x20\x09-\x0D]+"
+_ALNUM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_add = lambda a, b: f"list_reduce(list_transform(range(1, len({a}) + 1), lambda i: {a}[i] * {b}[i]), lambda s, x: s + x, CAST(0 AS DOUBLE))"
+
 ORACLE_SQL = {
     "op8_url_automaton": f"""
         WITH split AS (
@@ -113,4 +118,38 @@ ORACLE_SQL = {
         SELECT page_id, host, path, rule,
                CASE WHEN rule IN ({", ".join(f"'{r.name}'" for r in URL_RULES if r.verdict == "block")}) THEN 'block' ELSE 'allow' END AS verdict
         FROM ruled""",
+    "op1_ngram_join": f"""
+        WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOW}, '{_SPACE_WORDS}') AS w FROM documents),
+        sets AS (SELECT doc_id, CASE WHEN len(w) = 0 OR w IS NULL THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM words),
+        each AS (SELECT doc_id, len(g) AS n, unnest(g) AS s FROM sets),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k FROM each a JOIN each b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (SELECT a, b FROM shared WHERE 100 * k >= 80 * (n + m - k)),
+        near AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach AS (SELECT a, a AS r FROM near UNION SELECT near.b, reach.r FROM reach JOIN near ON reach.a = near.a)
+        SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, coalesce(r, doc_id) AS component_id
+        FROM sets LEFT JOIN (SELECT a, min(r) AS r FROM reach GROUP BY a) ON doc_id = a""",
+    "op3_vantage_points": f"""
+        WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        sound AS (SELECT vec_id, v, sqrt({_add('v', 'v')}) AS size FROM v WHERE v IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+        scored AS (SELECT q.vec_id AS query_id, c.vec_id, {_add('q.v', 'c.v')} / (q.size * c.size) AS score FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, CAST(k AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM scored) WHERE k <= 5""",
+    "op5_winnow_benchmark": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_LOW}, '{_ALNUM_WORDS}'), CAST([] AS VARCHAR[])) AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOW}, '{_ALNUM_WORDS}') AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+        item_windows AS (SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS s FROM (SELECT item, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+        doc_windows AS (SELECT r, m, i, array_to_string(w[i:i + m - 1], ' ') AS s FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM item_windows) WHERE len(w) >= m)),
+        met AS (SELECT r, m, i, item FROM doc_windows JOIN item_windows USING (m, s)),
+        hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + m)) AS p FROM met) GROUP BY r),
+        items AS (SELECT r, list_sort(list(DISTINCT item)) AS items FROM met GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN hits USING (r) LEFT JOIN items USING (r)""",
+    "op6_block_anchors": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '{_SPACE_WORDS}'), CAST([] AS VARCHAR[])) AS w FROM documents),
+        windows AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+        twice AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+        gone AS (SELECT r, list(DISTINCT p) AS places FROM (SELECT r, unnest(range(i, i + 35)) AS p FROM windows JOIN twice USING (s)) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+               sha256(CASE WHEN places IS NULL THEN array_to_string(w, ' ') ELSE coalesce((SELECT string_agg(w[p], ' ' ORDER BY p) FROM (SELECT unnest(range(1, len(w) + 1)) AS p) WHERE NOT list_contains(places, p)), '') END) AS kept_sha256
+        FROM d LEFT JOIN gone USING (r)""",
 }

@@ -73,6 +73,14 @@ class Tree:
             stack.append((outer, q[~inside], None))
 
 
+def _in_turn(products: np.ndarray) -> np.ndarray:
+    """Row sums, component after component, as any engine that adds in turn gets them."""
+    total = np.zeros(len(products))
+    for column in products.T:
+        total = total + column
+    return total
+
+
 def _row_keys(vectors: np.ndarray) -> np.ndarray:
     """Numbers that are equal for equal rows only."""
     order = np.lexsort(vectors.T[::-1])
@@ -97,7 +105,7 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
     some = nth <= k
     held[place[by[some]], nth[some]] = by[some]
     points = vectors[first]
-    length, q_length = np.sqrt((points * points).sum(1)), np.sqrt((queries * queries).sum(1))
+    length, q_length = np.sqrt(_in_turn(points * points)), np.sqrt(_in_turn(queries * queries))
     tree = Tree(points / length[:, None])
     unit = queries / q_length[:, None]
     best = np.full((len(queries), k), -np.inf)
@@ -110,8 +118,8 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
             i, j = np.nonzero(rough >= best[rows, -1:] - 1e-9)
             if not len(i):
                 continue
-            # exact scores of the original vectors, summed row by row, so that equal vectors score equally
-            exact = (queries[rows[i]] * points[at[j]]).sum(1) / (q_length[rows[i]] * length[at[j]])
+            # exact scores of the original vectors: equal vectors score equally
+            exact = _in_turn(queries[rows[i]] * points[at[j]]) / (q_length[rows[i]] * length[at[j]])
             mine = held[at[j]]
             i, exact = np.repeat(i, k + 1), np.repeat(exact, k + 1)
             mine = mine.reshape(-1)
