@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _R = 0x9E3779B97F4A7C15 | 1
 _G = 0xD6E8FEB86659FD93 | 1
@@ -48,7 +48,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             x[0] = 1
             both.append(np.cumprod(x, dtype=np.uint64))
         have = (both[0], both[1])
-        if size <= PIECE_BYTES * 4:
+        if size <= PIECE_BYTES * 8:
             _tables[base] = have
     return have
 

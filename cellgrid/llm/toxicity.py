@@ -327,7 +327,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, doc_id: str = "doc_id", t
     kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in pieces(batches, "text"):
+        for b in pieces(batches, "text", 2 << 20):  # a longer piece repeats more of its words
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.scores(b.column(1)))], names=["doc_id", "score"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"doc_id {kinds[doc_id]}, score double")
