@@ -125,3 +125,16 @@ def number_repeats(df: DataFrame, name: str, order: str, sep: str) -> DataFrame:
 def highest_mean(values: DataFrame, labels: DataFrame) -> DataFrame:
     """gene, umi: the largest of the cluster means, zeros included."""
     return cluster_means(values, labels).groupBy("gene").agg(F.max("mean").alias("umi"))
+
+
+def without_names(counts: DataFrame, suffixes: list[str], names: list[str] | None = None) -> DataFrame:
+    """Rows whose gene ends in none of the suffixes and is none of the names."""
+    keep = ~F.col("gene").isin(names or [""])
+    for suffix in suffixes:
+        keep = keep & ~F.endswith(F.col("gene"), F.lit(suffix))
+    return counts.where(keep)
+
+
+def marker_subset(counts: DataFrame, markers: DataFrame) -> DataFrame:
+    """Rows of the genes that any cluster has among its markers (cluster, markers array)."""
+    return counts.join(markers.select(F.explode("markers").alias("gene")).distinct(), "gene", "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.operators.codebook import with_code
+from cellgrid.operators.codebook import columns_like, with_code
 
 POSITIONS = "x double, y double"
 REFERENCE = "geneName string, counts double"
@@ -160,6 +160,50 @@ def template_names(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("name", F.when(F.lower("name").startswith("blank"), "blank").otherwise("gene").alias("kind"))
 
 
+def read_molecules(spark: SparkSession, path: str, fovs: list[int] | None = None) -> DataFrame:
+    """Molecules of all tiles, or of the named ones (a folder for each where the table is partitioned); intensity columns become one array."""
+    df = spark.read.parquet(path)
+    parts = columns_like(df, "intensity_")
+    if parts:
+        df = df.withColumn("intensity", F.array(*[F.col(f"`{c}`").cast("double") for c in parts])).drop(*parts)
+    return df if fovs is None else df.where(F.col("fov").isin(fovs))
+
+
+def read_exported(spark: SparkSession, path: str) -> DataFrame:
+    """A barcode table written as CSV with a header."""
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+def read_genes(spark: SparkSession, path: str, genes: list[str]) -> DataFrame:
+    """The columns of the named genes, of those that the file has, from a wide CSV; other columns are not parsed."""
+    df = spark.read.option("header", True).csv(path)
+    return df.select(*[F.col(f"`{g}`").cast("double").alias(g) for g in genes if g in df.columns])
+
+
+def read_umis(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("name string, umi double").csv(path)
+
+
+def read_codes(spark: SparkSession, path: str) -> DataFrame:
+    """(row, code) of a text file with one code of zeros and ones in each line, in the order of lines."""
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("row", "line"))
+    bits = F.regexp_extract_all("line", F.lit("[01]"), 0)
+    return lines.select(F.col("row").cast("int").alias("row"), F.transform(bits, lambda b: b.cast("int")).alias("code")).where(F.size("code") > 0)
+
+
+def count_fovs(files: DataFrame) -> int:
+    """Tiles with a file, of rows (path, fov)."""
+    return files.where("fov is not null").select("fov").distinct().count()
+
+
+def experiments(spark: SparkSession, pattern: str) -> DataFrame:
+    """name, path of the folders that a glob names, by name."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    paths = sorted(str(f.getPath()) for f in found or [] if f.isDirectory())
+    return spark.createDataFrame([(p.rsplit("/", 1)[1], p) for p in paths], "name string, path string").orderBy("name")
+
+
 def write_table(df: DataFrame, path: str, partition: str | None = None, overwrite: bool = False) -> None:
     """Parquet, in one folder for each value of `partition` where named (one file of each a task at most)."""
     w = (df.repartition(partition) if partition else df).write.mode("overwrite" if overwrite else "error")

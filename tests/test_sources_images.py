@@ -19,7 +19,7 @@ def test_tables(spark, tmp_path):
     (tmp_path / "codebook_b.csv").write_text("name,id,bit1,bit2,bit10\ng,x,1,0,1\n")
     (tmp_path / "codebook_c.csv").write_text("name,id,bit1,bit2,bit10\nother,x,1,0,1\n")
     book = tables.read_codebook(spark, str(tmp_path)).collect()
-    assert [(r.name if False else r["name"], r.code) for r in book] == [("g", [1, 0, 1])]
+    assert [(r["name"], r.code) for r in book] == [("g", [1, 0, 1])]
     (tmp_path / "positions.csv").write_text("1.5,2\n-3,4\n\n")
     assert [tuple(r) for r in tables.read_positions(spark, str(tmp_path / "positions.csv")).collect()] == [(0, 1.5, 2.0), (1, -3.0, 4.0)]
     (tmp_path / "org.csv").write_text('channelName,bitNumber,frame,zPos\nb1,1,"[0, 4, 8]",[0.0 1.5]\nDAPI,,"3,4",""\n')
