@@ -25,9 +25,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_own}"
 
 
+#: Bytes of an Arrow batch between the JVM and Python. Spark's own default is 64 MB, which each task would hold several times over.
+BATCH_BYTES = 4 << 20
+_BATCHES, _DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "64MB", "64m")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session has a setting of its own."""
+    if spark.conf.get(_BATCHES, _DEFAULT[0]) in _DEFAULT:
+        spark.conf.set(_BATCHES, str(BATCH_BYTES))
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write the rows as a table in the shared folder and read it: lineage ends here, and a lost executor loses nothing."""
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -44,6 +56,7 @@ def forget(*tables: DataFrame) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,6 +7,8 @@ from prefix sums, so their cost does not depend on k.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -156,6 +158,13 @@ def words(texts: pa.Array, kind: np.ndarray = NON_SPACE, lower: bool = False) ->
     return Words(data, offsets, start, end, np.searchsorted(start, offsets))
 
 
+def release() -> None:
+    """Hand memory that a finished task has freed back to the system: idle Python workers share their executor's limit with running ones."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about `most` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
@@ -169,15 +178,9 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = PIECE_BYTES
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
+    release()
 
 
 def batch_of(schema: pa.Schema, *columns: object) -> pa.RecordBatch:
     """A record batch of the columns, each cast to the schema's type."""
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-def binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """A binary column whose row i holds values[cuts[i]:cuts[i+1]] as raw bytes."""
-    raw = np.ascontiguousarray(values)
-    at = (np.asarray(cuts, dtype=np.int64) * raw.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(raw)])

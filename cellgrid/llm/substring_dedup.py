@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from cellgrid.llm._sieve import passes, sieve
 from cellgrid.llm._store import forget, keep
-from cellgrid.llm._text import NON_SPACE, batch_of, flat, grams, pieces, within, words
+from cellgrid.llm._text import NON_SPACE, batch_of, flat, grams, pieces, release, within, words
 
 #: Words that a task gathers before it sends their probes, and probes that one range of hashes holds on average.
-GATHER, RANGE = 1 << 20, 1_500_000
+GATHER, RANGE = 1 << 20, 1_000_000
 
 
 def pack(sorted_u32: np.ndarray) -> bytes:
@@ -108,6 +108,7 @@ def _met(group: pa.Table) -> pa.Table:
             hit = twice[np.minimum(np.searchsorted(twice, key), len(twice) - 1)] == key
             tids.append(np.frombuffer(tid, np.int64)[hit])
             places.append(np.frombuffer(at, np.int32)[hit])
+    release()
     return pa.table({"tid": np.concatenate(tids), "at": np.concatenate(places)})
 
 
@@ -174,6 +175,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out = np.concatenate([np.flatnonzero(known), order[dup & (at[order] >= 0)]])
     for s in range(0, len(out), 1 << 18):
         yield pa.RecordBatch.from_arrays([pa.array(tid[out[s : s + (1 << 18)]]), pa.array(at[out[s : s + (1 << 18)]])], names=["tid", "at"])
+    del rows, got, h, tid, at, known, ask, order, same, dup, out
+    release()
 
 
 def repeated_windows(docs: DataFrame, window: int = 35, text: str = "text") -> DataFrame:
