@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +38,20 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCHES, str(BATCH_BYTES))
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def temporary() -> Iterator[None]:
+    """Tables kept inside are deleted on the way out, but for lasting ones. What is returned must not read the others."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        forget(*_scopes.pop())
+
+
+def keep(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write the rows as a table in the shared folder and read it: lineage ends here, and a lost executor loses nothing."""
     spark = df.sparkSession
     small_batches(spark)
@@ -44,6 +59,8 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.kept_at = path
+    if _scopes and not lasting:
+        _scopes[-1].append(out)
     return out
 
 
