@@ -34,8 +34,10 @@ TOGETHER = 2_000_000
 #: Stands for the end of a text; no word hashes are changed by it, as they are 64-bit mixes.
 END = np.uint64(0x1D8AF066E5C4C3B1)
 WINDOW = 32
-#: Share of training texts that the network is fitted to, and rounds of averaging.
-SHARE, ROUNDS = 0.02, 3
+#: Share of training texts that the network is fitted to (all of them), and rounds of averaging, among which the texts are dealt.
+SHARE, ROUNDS = 1.0, 3
+#: Texts that a task's copy of the network reads side by side: wide steps cost less a token.
+LANES = 256
 
 
 @dataclass
@@ -46,6 +48,8 @@ class Gru:
     place: np.ndarray
     sizes: np.ndarray
     w: dict[str, np.ndarray] = field(default_factory=dict)
+    #: Training tokens that the network has learnt from.
+    seen: int = 0
 
     @property
     def rest(self) -> int:
@@ -167,15 +171,16 @@ class Gru:
         self.w["x"][rows] -= rate * table / (np.sqrt(kept[rows]) + 1e-4)
         return h
 
-    def train(self, texts: list[np.ndarray], rate: float = 0.004, lanes: int = 96, passes: int = 1) -> None:
-        """Texts (word numbers with ends) are put end to end in lanes of equal length; the state goes on within a lane, and starts afresh with a text."""
+    def train(self, texts: list[np.ndarray], rate: float = 0.004, lanes: int = 96, passes: int = 1, memory: dict[str, np.ndarray] | None = None) -> None:
+        """Texts (word numbers with ends) are put end to end in lanes of equal length; the state goes on within a lane, and starts afresh with a text.
+        `memory` holds the mean square gradients of earlier calls, and is carried on."""
         if not texts:
             return
-        memory: dict[str, np.ndarray] = {}
+        memory = {} if memory is None else memory
         start = self.rest + 1
         x = np.concatenate([np.concatenate([[start], t[:-1]]) for t in texts])
         y = np.concatenate(texts)
-        lanes = max(1, min(lanes, len(x) // WINDOW))
+        lanes = max(1, min(lanes, len(x) // (16 * WINDOW)))  # few texts still make 16 updates
         size = -(-len(x) // lanes)
         pad = size * lanes - len(x)
         live = np.concatenate([np.ones(len(x), bool), np.zeros(pad, bool)]).reshape(lanes, size).T
@@ -283,18 +288,19 @@ def _known(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return c, number
 
 
-def _sample(top: np.ndarray, share: float):
-    """Training texts of a chunk, a share of them by a hash of their tokens, as numbers of the model's vocabulary."""
+def _sample(top: np.ndarray, share: float, rounds: int):
+    """Training texts of a chunk as numbers of the model's vocabulary, those of one round: each text is in one of the rounds.
+    A share below 1 takes texts by a hash of their doc_id."""
     order = np.argsort(top)
 
-    def run(row: dict) -> list[np.ndarray]:
+    def run(row: dict, turn: int) -> list[np.ndarray]:
         dictionary = np.frombuffer(row["words"], np.uint64)
         at = np.minimum(np.searchsorted(top[order], dictionary), max(len(top) - 1, 0))
         number = np.where(top[order][at] == dictionary, order[at], len(top)) if len(top) else np.zeros(len(dictionary), np.int64)
         tokens, cuts, held = number[_tokens(row["tokens"])], np.frombuffer(row["cuts"], np.int64), np.frombuffer(row["held"], bool)
         ids = np.frombuffer(row["ids"], np.int64).astype(np.uint64)
         chosen = (((ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.float64) / 2**24 < share) & ~held
-        return [tokens[cuts[i] : cuts[i + 1]] for i in np.flatnonzero(chosen)]
+        return [tokens[cuts[i] : cuts[i + 1]] for i in np.flatnonzero(chosen)[turn::rounds]]
 
     return run
 
@@ -321,26 +327,29 @@ def _averaged(group: pa.Table) -> pa.Table:
 def train_lm(chunks: DataFrame, counts: DataFrame, n: int, vocabulary: int = VOCABULARY, hidden: int = HIDDEN, share: float = SHARE, rounds: int = ROUNDS) -> tuple[np.ndarray, Gru]:
     """(hashes of words with outputs, most frequent first; the network).
 
-    Every task trains a copy of the network on a share of its chunks' training texts; copies are averaged by their
-    tokens in two levels, and the mean starts the next round. The share is of all chunks, so what is learnt
-    from grows with the input; the driver gets one set of weights for each of at most 16 lots.
+    Every task trains a copy of the network on its chunks' training texts, one chunk after another; copies are
+    averaged by their tokens in two levels, and the mean starts the next round. Each round has texts of its own of
+    every chunk, so that all rounds together learn from every training text once; the driver gets one set of
+    weights for each of at most 16 lots.
     """
     top = counts.where("c > 0").orderBy(F.desc("c"), "word").limit(vocabulary).toArrow()
     names = top.column("word").to_numpy().astype(np.int64).view(np.uint64)
     c = top.column("c").to_numpy().astype(np.float64)
     model = Gru.fresh(c, n - c.sum(), hidden)
-    sample = _sample(names, share)
+    sample = _sample(names, share, rounds)
     for r in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch], model=model, r=r) -> Iterator[pa.RecordBatch]:
-            texts: list[np.ndarray] = []
+            own = Gru(model.of, model.place, model.sizes, {k: v.copy() for k, v in model.w.items()})
+            memory: dict[str, np.ndarray] = {}
             for b in batches:
                 for i in range(b.num_rows):
-                    texts += sample({c: b.column(c)[i].as_py() for c in ("ids", "held", "cuts", "tokens", "words")})
-            if texts:
-                own = Gru(model.of, model.place, model.sizes, {k: v.copy() for k, v in model.w.items()})
-                own.train(texts, rate=0.01 if r == 0 else 0.004, passes=2 if r == 0 else 1)
-                row = [np.int32(TaskContext.get().partitionId() % 16)], [sum(map(len, texts))], [_bytes(own.w)]
+                    texts = sample({c: b.column(c)[i].as_py() for c in ("ids", "held", "cuts", "tokens", "words")}, r)
+                    own.train(texts, rate=0.01 if r == 0 else 0.004, lanes=LANES, memory=memory)
+                    own.seen += sum(map(len, texts))
+            release()
+            if own.seen:
+                row = [np.int32(TaskContext.get().partitionId() % 16)], [own.seen], [_bytes(own.w)]
                 yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int32()), pa.array(row[1], pa.int64()), pa.array(row[2], pa.binary())], names=["lot", "n", "w"])
 
         trained = chunks.select("chunk", "ids", "held", "cuts", "tokens", "words").mapInArrow(run, "lot int, n long, w binary").where("n > 0")
@@ -348,7 +357,7 @@ def train_lm(chunks: DataFrame, counts: DataFrame, n: int, vocabulary: int = VOC
         if lots:
             total = sum(x.n for x in lots)
             mean = sum(np.frombuffer(x.w, "<f4").astype(np.float64) * (x.n / total) for x in sorted(lots, key=lambda x: x.lot))
-            model = Gru(model.of, model.place, model.sizes, _weights(mean, model.w))
+            model = Gru(model.of, model.place, model.sizes, _weights(mean, model.w), model.seen + total)
     return names, model
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from cellgrid.llm import recurrent_lm
 from cellgrid.llm import toxicity as tox
 from cellgrid.llm.quality import FEATURES, features, fit_gam, keep_good, score_quality, train_quality
 from cellgrid.llm.recurrent_lm import END, Gru, score_lm
@@ -119,6 +120,17 @@ def test_language_model_beats_its_base_and_counts_exactly(spark):
     assert score_lm(docs.where("false")).collect() == []
 
 
+def test_language_model_learns_from_every_training_text(spark, monkeypatch):
+    rows = lm_rows(random.Random(4), 400) + [(None, "of no id", "s"), (None, None, "s")]
+    models = []
+    train = recurrent_lm.train_lm
+    monkeypatch.setattr(recurrent_lm, "train_lm", lambda *a: models.append(train(*a)) or models[-1])
+    got = score_lm(docs_of(spark, rows).repartition(2)).collect()
+    assert models[0][1].seen == got[0].train_tokens == sum(len(space_words(t)) + 1 for i, t, _ in rows if zlib.crc32(b"" if i is None else str(i).encode()) % 7 != 2)
+    held = [r for r in got if r.held_out]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 0.02 * sum(r.n_tokens for r in held)
+
+
 def test_network_probabilities_add_up_and_training_lowers_loss():
     rng = np.random.default_rng(2)
     counts = np.sort(rng.integers(1, 500, 40))[::-1].astype(float)
