@@ -376,10 +376,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id
     link with each other; a null doc_id is never a component's least. An integer doc_id is needed.
     """
     with temporary():
-        return _components_of(docs, shingle, percent, doc_id, text)
+        texts, named = _components_of(docs, shingle, percent, doc_id, text)
+        named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
+        out = texts.join(named, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        return keep(out, "near-duplicates", lasting=True)
 
 
-def _components_of(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> DataFrame:
+def _components_of(docs: DataFrame, shingle: int, percent: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, n, key, homes, tid) of every row, (key, root, least) of every shingle set), where sets of one root are a component."""
     body = F.col(text).cast("string")
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("tid"), body.alias("text"))
     fields = "doc_id long, n long, key long, homes array<long>, tid long, part int, lot int, counts binary"
@@ -433,10 +437,7 @@ def _components_of(docs: DataFrame, shingle: int, percent: int, doc_id: str, tex
         meeting = _bodies(given, present).join(present, "tid").select("key", "root", "visitor", "block", "chunk", "text")
         extra = meeting.groupBy("block", "chunk").applyInArrow(_between(shingle, percent), "a long, b long")
         rooted = components(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")).union(extra))
-    named = nodes.join(rooted, nodes.key == rooted.node, "left").select("key", F.coalesce("root", "key").alias("root"), "least")
-    named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("key", "component_id")
-    out = texts.join(named, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    return keep(out, "near-duplicates", lasting=True)
+    return texts, nodes.join(rooted, nodes.key == rooted.node, "left").select("key", F.coalesce("root", "key").alias("root"), "least")
 
 
 def _bodies(given: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -455,7 +456,22 @@ def _bodies(given: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, unchanged, that are the least doc_id of their component, one row for each (of equal ids, any); texts without shingles stay."""
-    found = near_duplicates(docs, shingle, percent, doc_id, text)
-    gone = found.where("component_id <> doc_id and n_shingles > 0").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs[doc_id].cast("long") == gone.gone, "left_anti")
+    """One row of each component, unchanged: the least doc_id (a null one last), of equal ids the least text hash, of equal
+    texts any row; texts without shingles stay. Rows are told apart by doc_id and text, so a doc_id may have several texts."""
+    with temporary():
+        texts, named = _components_of(docs, shingle, percent, doc_id, text)
+        texts = texts.where("n > 0")
+        best = texts.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("best"))
+        best = best.join(named.select("key", "root"), "key").groupBy("root").agg(F.min("best").alias("best"))
+        best = best.select(F.col("best.doc_id").alias("best_id"), F.col("best.tid").alias("best_tid"))
+        pairs = texts.groupBy("doc_id", "tid").agg(F.count(F.lit(1)).alias("n"))
+        won = F.col("best_tid").isNotNull()
+        pairs = pairs.join(best, pairs.doc_id.eqNullSafe(best.best_id) & (pairs.tid == best.best_tid), "left").where(~won | (F.col("n") > 1))
+        surplus = keep(pairs.select(F.col("doc_id").alias("its_id"), F.col("tid").alias("its_tid"), won.alias("once")), "near-duplicates-surplus", lasting=True)
+    rows = docs.withColumn("_id", F.col(doc_id).cast("long")).withColumn("_tid", F.xxhash64(F.col(text).cast("string")))
+    same = rows["_id"].eqNullSafe(surplus.its_id) & (rows["_tid"] == surplus.its_tid)
+    out = rows.join(surplus, same, "left_anti")
+    once = surplus.where("once")
+    if not once.isEmpty():
+        out = out.unionByName(rows.join(once, rows["_id"].eqNullSafe(once.its_id) & (rows["_tid"] == once.its_tid), "left_semi").dropDuplicates(["_id", "_tid"]))
+    return out.select(*docs.columns)

@@ -56,3 +56,27 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     want = brute_targets(sizes)
     for s, t in want.items():
         assert abs(sum(r.taken for r in mixed if r.source == s) - t) <= max(0.1 * t, 250)
+
+
+def test_near_duplicates_keep_one_row_of_each_component(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join("".join(rng.choice("aeiolnrst") for _ in range(5)) for _ in range(50))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    alone, near = text(), c + " more"
+    data = [(1, a), (1, a), (1, a)]  # repeated rows
+    data += [(None, b), (None, b)]  # a component of null ids only
+    data += [(None, c), (2, near), (2, near)]  # a null id beside a sound one
+    data += [(3, d), (4, d), (4, alone)]  # an id whose one text is a copy and whose other is not
+    data += [(5, e), (5, e + " more"), (5, f)]  # one id, texts of two components
+    data += [(6, None), (6, None), (None, ""), (None, "")]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in data]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.dtypes == docs.dtypes
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    five = [r for r in got if r[0] == 5 and r[1] != f]
+    assert len(five) == 1 and five[0][1] in (e, e + " more")
+    want = [(1, a), (None, b), (2, near), (3, d), (4, alone), *five, (5, f), (6, None), (6, None), (None, ""), (None, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    cut = corpus_pipeline.substrings(spark, kept, "").collect()  # a repeated document is not lost to the next stage
+    assert {a, b, alone} <= {r.text for r in cut}
