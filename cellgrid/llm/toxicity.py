@@ -57,7 +57,7 @@ def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     for a, z in zip(edge[::2], edge[1::2] + 1, strict=True):
         if z - a >= LENGTH:
             run = data[start[a:z]]
-            for s in range(0, max(len(run) - WINDOW, 0) + 1, WINDOW // 2):
+            for s in range(0, max(len(run) - WINDOW, 0) + WINDOW // 2, WINDOW // 2):  # the last window holds the run's end
                 part = run[s : s + WINDOW]
                 more.append(part)
                 starts.append(np.array([at]))

@@ -76,6 +76,17 @@ def test_toxicity_on_the_held_out_fold_with_stretched_insults(spark):
     assert 0 < train_toxicity(docs, labels.where("false")).scores(pa.array(["vugmok"]))[0] < 1
 
 
+def test_spaced_runs_are_read_to_their_end(spark):
+    for n in [*range(4, 62), 300]:
+        letters = "".join(chr(97 + i % 26) for i in range(n))
+        data, start, end, _ = tox.units(pa.array([" ".join(letters)]))
+        read = [bytes(data[a:z]).decode() for a, z in zip(start, end, strict=True) if z - a > 1]
+        assert all(any(letters[i : i + 12] in r for r in read) for i in range(max(n - 11, 1))) and max(map(len, read)) <= tox.WINDOW
+    model = train_toxicity(*labelled(spark))
+    plain, bad = (model.margins(tox.distinct_units(pa.array([" ".join("lestintearsourlentilsera" + end)]))[0]) for end in ("lintel", "vugmok"))
+    assert bad.max() > 0 > plain.max()
+
+
 def subsequences(s, t, p, decay):
     """The kernel by its definition."""
     from itertools import combinations
