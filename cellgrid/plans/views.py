@@ -80,7 +80,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.transform(F.slice("embedding", 1, 16), lambda v: F.floor(v.cast("double") * 1000)).cast("array<double>").alias("v"), F.col("label").cast("string").alias("label"))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda v: F.floor(v.cast("double") * 1000)).cast("array<double>").alias("v"), F.col("label").cast("string").alias("label"))
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +115,7 @@ SQL = {
       SELECT o_custkey AS cell, CASE WHEN p_brand LIKE '%1' THEN concat('blank_', p_brand) ELSE p_brand END AS gene, count(*) AS n
       FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderpriority = '1-URGENT' GROUP BY ALL)""",
     "points": "points AS (SELECT vec_id AS id, floor(CAST(embedding[1] AS DOUBLE) * 4000) AS x, floor(CAST(embedding[2] AS DOUBLE) * 4000) AS y, CAST(label AS VARCHAR) AS label FROM embeddings)",
-    "vectors": "vectors AS (SELECT vec_id AS id, list_transform(embedding[1:16], lambda v: floor(CAST(v AS DOUBLE) * 1000)) AS v, CAST(label AS VARCHAR) AS label FROM embeddings)",
+    "vectors": "vectors AS (SELECT vec_id AS id, list_transform(embedding, lambda v: floor(CAST(v AS DOUBLE) * 1000)) AS v, CAST(label AS VARCHAR) AS label FROM embeddings)",
     "files": "files AS (SELECT event_type AS round, user_id AS fov, CAST(floor(value) AS BIGINT) AS size FROM events WHERE ts < TIMESTAMP '2024-01-04 00:00:00')",
     "drifts": "drifts AS (SELECT s_suppkey AS fov, CAST((s_suppkey % 5) - 2.5 AS DOUBLE) AS x_drift, CAST((s_suppkey % 3) - 1 AS DOUBLE) AS y_drift, CAST(s_suppkey % 4 + 1 AS INT) AS hyb_round FROM supplier)",
 }

@@ -405,7 +405,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return learn.communities(spatial.neighbourhoods(V.points(s, d)))
 
 
-_KNN = "knn AS (SELECT * FROM (SELECT a.id, b.id AS other, b.label, sqrt(list_sum(list_transform(range(1, 17), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))) AS dist, row_number() OVER (PARTITION BY a.id ORDER BY list_sum(list_transform(range(1, 17), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))), b.id) AS k FROM vectors a JOIN vectors b ON {on}) WHERE k <= {n})"
+_KNN = "knn AS (SELECT * FROM (SELECT a.id, b.id AS other, b.label, sqrt(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i])))) AS dist, row_number() OVER (PARTITION BY a.id ORDER BY list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))), b.id) AS k FROM vectors a JOIN vectors b ON {on}) WHERE k <= {n})"
 
 
 @query("j22_neighbour_graph", f"{V.sql('vectors')}, {_KNN.format(on='a.id <> b.id', n=10)} SELECT id, other, round(dist, 6) AS dist, CAST(k AS INT) AS rank FROM knn")
@@ -421,7 +421,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return learn.transfer_labels(v.where("id % 2 = 0"), v.where("id % 2 = 1"))
 
 
-@query("a24_silhouettes", f"""{V.sql('vectors')}, means AS (SELECT a.id, a.label AS own, b.label AS other, sum(sqrt(list_sum(list_transform(range(1, 17), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))))) / CASE WHEN a.label = b.label THEN nullif(count(*) - 1, 0) ELSE count(*) END AS m FROM vectors a, vectors b GROUP BY a.id, a.label, b.label),
+@query("a24_silhouettes", f"""{V.sql('vectors')}, means AS (SELECT a.id, a.label AS own, b.label AS other, sum(sqrt(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))))) / CASE WHEN a.label = b.label THEN nullif(count(*) - 1, 0) ELSE count(*) END AS m FROM vectors a, vectors b GROUP BY a.id, a.label, b.label),
 ab AS (SELECT id, own, max(m) FILTER (own = other) AS a, min(m) FILTER (own <> other) AS b FROM means GROUP BY id, own)
 SELECT id, own AS "cluster", round(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END, 6) AS silhouette FROM ab""")
 def _(s: SparkSession, d: str) -> DataFrame:

@@ -125,3 +125,29 @@ def test_design(spark):
     assert [r.place for r in design.evenly_spaced(spark, 10, 4).collect()] == [0, 3, 6, 9]
     rng = random.Random(1)
     assert design.balance_umis(spark, book, spark.createDataFrame([("gene1", rng.random())], "name string, umi double"), steps=50).count() == 4
+
+
+def test_vector_queries_use_whole_embeddings(spark, tmp_path):
+    from cellgrid import queries
+
+    rng = np.random.default_rng(8)
+    e = rng.normal(size=(60, 64)).astype(np.float32) / 8
+    e[:, :16] = e[0, :16]  # all that tells vectors apart lies behind the first 16
+    spark.createDataFrame([(i, [float(x) for x in v], i % 3) for i, v in enumerate(e)], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    v = np.floor(e.astype(float) * 1000)
+    d = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))
+    run = lambda name: queries.QUERIES[name](spark, str(tmp_path)).collect()
+    near = {(i, int(j), k + 1, round(d[i, j], 6)) for i in range(60) for k, j in enumerate(sorted(set(range(60)) - {i}, key=lambda j: (round(d[i, j], 9), j))[:10])}
+    assert {(r.id, r.other, r["rank"], r.dist) for r in run("j22_neighbour_graph")} == near
+    named = {r.id: (r.label, r.votes) for r in run("m8_transfer_labels")}
+    for i in range(0, 60, 2):
+        best = sorted(range(1, 60, 2), key=lambda j: (round(d[i, j], 9), j))[:5]
+        votes = [sum(j % 3 == x for j in best) for x in range(3)]
+        assert named[i] == (str(votes.index(max(votes))), max(votes))
+    for r in run("a24_silhouettes"):
+        mean = [d[r.id, [j for j in range(60) if j % 3 == x and j != r.id]].mean() for x in range(3)]
+        own = mean.pop(int(r.cluster))
+        assert abs(r.silhouette - (min(mean) - own) / max(min(mean), own)) < 2e-6
+    assert len(run("m5_clusters")) == 60
+    edges = {(min(i, j), max(i, j)) for i, j, _, _ in near if i % 3 != j % 3}
+    assert sum(r.edges for r in run("m6_cluster_links")) == len(edges)
