@@ -442,7 +442,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 @query("m3_count_components")
 def _(s: SparkSession, d: str) -> DataFrame:
     values, who = _values(s, d)
-    return s.range(1).select(F.lit(learn.count_components(values, who, most=5, rounds=2)).alias("components"))
+    return s.range(1).select(F.lit(learn.count_components(values, who)).alias("components"))
 
 
 @query("m5_clusters")

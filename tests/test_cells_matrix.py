@@ -127,6 +127,25 @@ def test_design(spark):
     assert design.balance_umis(spark, book, spark.createDataFrame([("gene1", rng.random())], "name string, umi double"), steps=50).count() == 4
 
 
+def test_component_query_counts_beyond_five(spark, monkeypatch):
+    from cellgrid import queries
+    from cellgrid.plans import views
+
+    rng = np.random.default_rng(3)
+    planted = np.linalg.qr(rng.normal(size=(100, 7)))[0]  # seven factors of one size, each of three genes
+    rows = [(c, f"g{7 * k + f:02d}", float(70 * planted[c, f] + rng.normal())) for c in range(100) for f in range(7) for k in range(3)]
+    monkeypatch.setattr(views, "counts", lambda s, d: s.createDataFrame([(c, g, 1) for c, g, _ in rows], "cell long, gene string, n long"))
+    monkeypatch.setattr(views, "cells", lambda s, d: s.createDataFrame([(c,) for c in range(100)], "cell long"))
+    monkeypatch.setattr(queries.matrix, "normalise", lambda counts: spark.createDataFrame(rows, "cell long, gene string, v double"))
+
+    def pca(points, k):  # in the driver: 21 decompositions of Spark's take minutes
+        x = np.array([r.v for r in points.select("v").collect()])
+        return None, np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1][:k]
+
+    monkeypatch.setattr(queries.learn, "pca", pca)
+    assert queries.QUERIES["m3_count_components"](spark, "").collect()[0].components == 7
+
+
 def test_vector_queries_use_whole_embeddings(spark, tmp_path):
     from cellgrid import queries
 
