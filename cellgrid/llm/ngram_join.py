@@ -1,16 +1,19 @@
 """N-gram Jaccard join: a T-occurrence search over inverted lists with DivideSkip (Li, Lu, Lu 2008).
 
-A text's set is its distinct shingles. Equal sets are one node. Nodes meet in blocks: a node's homes are its
-least shingles in HOMES fixed orders, so alike texts mostly share one, and a home of many nodes is dealt to
-blocks of bounded size.
-In a block, each node asks the inverted index for nodes that share at least T shingles with it: the short
-lists are merged through a heap that skips ahead, the long ones are probed by binary search.
-
-Homes alone would miss links. Two sets that link share, in any common order (here: rare first by a fixed-size
-sketch of shingle counts), their first SHARE common shingles among the first n - ceil(0.8 n) + SHARE of each.
-So a node visits every other block that holds so many of its first shingles in nodes of another component
-and of a fitting size. What one component already holds is not compared again: copies cost a few comparisons,
-not all pairs, and no link between components is lost. Nodes travel as texts, which are a third of their sets.
+A text's set is its distinct shingles, and equal sets are one node. Two sets that link share, in any common order
+(here: rare first by a fixed-size sketch of shingle counts), their first SHARE common shingles among the first
+n - ceil(0.8 n) + SHARE of each. So only these first shingles travel, those that one node alone holds are left out,
+and a node with fewer than SHARE of them links with nothing.
+
+The other nodes meet in blocks: a node's homes are its least shingles in HOMES fixed orders, so alike texts mostly
+share one, and a home of many nodes is dealt to blocks of bounded size. In a block, T-occurrence searches over the
+first shingles find the candidates, and searches over the whole sets of the candidates alone, whose texts are fetched
+for that, decide. A search merges the short lists through a heap that skips ahead and probes the long ones by binary
+search; ids of the query's own part are left out of its lists, so copies cost a few comparisons and not all pairs.
+
+Homes alone would miss links. A node therefore visits every other block that holds SHARE of its first shingles in nodes
+of another component and of a fitting size, where again first shingles find the candidates and whole sets decide.
+What one component already holds is not compared again, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -26,15 +29,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellgrid.llm._sieve import passes, sieve
-from cellgrid.llm._store import forget, keep, temporary
+from cellgrid.llm._store import keep, temporary
 from cellgrid.llm._text import NON_SPACE, batch_of, grams, mix, pieces, release, words
 from cellgrid.llm.components import components
 
-#: Nodes that one index block holds on average, and visitors that one task's group takes.
-BLOCK, VISITORS = 1024, 1024
+#: Nodes that one index block holds on average, shingles of all of them at most, and visitors that one task's group takes.
+BLOCK, SHINGLES, VISITORS = 1024, 4_000_000, 1024
+#: Rows of first shingles that a task sorts on average; a shingle of so many texts is dealt to several tasks.
+SORTED = 1_000_000
 #: Fixed orders of shingles, each with a home for every node; a node's own block, which others visit, is that of its most crowded home.
 HOMES = (0, 0x9D39247E33776D41, 0x2AF7398005AAA5C7)
-#: Common first shingles that a visit needs (sets that must share fewer in all need only these).
+#: Common first shingles that candidates need (sets that must share fewer in all need only these).
 SHARE = 8
 #: Counters of the shingle sketch; ranks are their logarithms, one byte each.
 SKETCH, PART = 1 << 18, 1 << 12
@@ -78,6 +83,11 @@ def need(n: int | np.ndarray, percent: int) -> int | np.ndarray:
     return -(-n * percent // 100)
 
 
+def share(n: np.ndarray, percent: int) -> np.ndarray:
+    """Common first shingles that two sets of n and more have if they link: of each, those among its first n - need(n) + share(n)."""
+    return np.minimum(need(n, percent), SHARE)
+
+
 def _signatures(shingle: int):
     """One row for each text, and one for each piece of the task's sketch of shingle counts."""
     schema = pa.schema([("n", pa.int64()), ("key", pa.int64()), ("homes", pa.list_(pa.int64())), ("tid", pa.int64()), ("part", pa.int32()), ("lot", pa.int32()), ("counts", pa.binary())])
@@ -139,7 +149,9 @@ def _rows(picked: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _prefixes(shingle: int, percent: int, ranks: np.ndarray):
-    """Rows (shingle, key): the first shingles of each set in the order rare first."""
+    """Rows (shingle, key, salt): the first shingles of each set in the order rare first. The salt of a shingle that SORTED texts
+    may hold is 1 or more and deals its rows to several tasks; that of others is 0."""
+    salts = np.maximum(2.0 ** (ranks.astype(np.float64) / 4) / SORTED, 0).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -151,58 +163,61 @@ def _prefixes(shingle: int, percent: int, ranks: np.ndarray):
             g = g[at]
             size = np.diff(own)
             doc = np.repeat(np.arange(len(size)), size)
-            order = np.lexsort((g, ranks[(g & np.uint64(SKETCH - 1)).astype(np.int64)], doc))
-            least = need(size, percent)
-            first = np.arange(len(g)) - own[:-1][doc] < (size - least + np.minimum(least, SHARE))[doc]
-            yield pa.RecordBatch.from_arrays([pa.array(g[order][first].view(np.int64)), pa.array(key[picked][doc[first]])], names=["shingle", "key"])
+            slot = (g & np.uint64(SKETCH - 1)).astype(np.int64)
+            order = np.lexsort((g, ranks[slot], doc))
+            first = np.arange(len(g)) - own[:-1][doc] < (size - need(size, percent) + share(size, percent))[doc]
+            its_key = key[picked][doc[first]]
+            parts = salts[slot[order][first]]
+            salt = np.where(parts > 0, 1 + np.abs(its_key) % np.maximum(parts + 1, 1), 0)
+            yield pa.RecordBatch.from_arrays([pa.array(g[order][first].view(np.int64)), pa.array(its_key), pa.array(salt)], names=["shingle", "key", "salt"])
 
     return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (shingle, key) dealt by shingle: those whose shingle two keys hold."""
+    """Of rows (shingle, key, salt) dealt by shingle and salt: those whose shingle two keys hold, and all of a salted shingle."""
     rows = list(batches)
     if not rows:
         return
     t = pa.Table.from_batches(rows)
-    shingle, key = t.column("shingle").to_numpy(), t.column("key").to_numpy()
+    shingle, key, salt = (t.column(c).to_numpy() for c in ("shingle", "key", "salt"))
     order = np.lexsort((key, shingle))
-    s, k = shingle[order], key[order]
+    s, k, hot = shingle[order], key[order], salt[order] > 0
     new = np.concatenate([[True], (s[1:] != s[:-1]) | (k[1:] != k[:-1])])
-    s, k = s[new], k[new]
+    s, k, hot = s[new], k[new], hot[new]
     begins = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
     n = np.diff(np.append(begins, len(s)))
-    picked = np.flatnonzero(np.repeat(n > 1, n))
+    picked = np.flatnonzero(np.repeat(n > 1, n) | hot)
     for i in range(0, len(picked), 1 << 17):
         at = picked[i : i + (1 << 17)]
         yield pa.RecordBatch.from_arrays([pa.array(s[at]), pa.array(k[at])], names=["shingle", "key"])
 
 
 class Lists:
-    """Inverted lists of a block: for each shingle that two of its sets (or a visitor) may share, the sets that hold it, ascending."""
+    """Inverted lists of a block: for each shingle of its sets, the numbers of the sets that hold it, ascending."""
 
-    def __init__(self, sets: list[np.ndarray], alone: bool):
-        """alone: no visitors come, so shingles of one set only are left out."""
-        self.sizes = [len(s) for s in sets]
+    def __init__(self, sets: list[np.ndarray]):
         g = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-        d = np.repeat(np.arange(len(sets)), self.sizes)
+        d = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         order = np.argsort(g, kind="stable")
-        g, d = g[order], d[order]
-        begins = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.empty(0, np.int64)
-        ends = np.append(begins[1:], len(g))
-        if alone:
-            begins, ends = begins[ends - begins > 1], ends[ends - begins > 1]
-        self.shingles = g[begins]
-        held = d.tolist()
-        self.holders = [held[a:z] for a, z in zip(begins.tolist(), ends.tolist(), strict=True)]
-
-    def of(self, query: np.ndarray, below: int | None = None) -> list[list[int]]:
-        """The lists of the query's shingles, of sets numbered under `below` where given."""
+        g, self.held = g[order], d[order]
+        self.begins = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.empty(0, np.int64)
+        self.sizes = np.diff(np.append(self.begins, len(g)))
+        self.shingles = g[self.begins]
+
+    def of(self, query: np.ndarray, able: np.ndarray) -> list[list[int]]:
+        """The lists of the query's shingles, of the sets for which `able` holds."""
         if not len(self.shingles):
             return []
         at = np.minimum(np.searchsorted(self.shingles, query), len(self.shingles) - 1)
-        lists = [self.holders[i] for i in at[self.shingles[at] == query].tolist()]
-        return lists if below is None else [x[: bisect_left(x, below)] for x in lists if x[0] < below]
+        at = at[self.shingles[at] == query]
+        size = self.sizes[at]
+        ends = np.cumsum(size)
+        held = self.held[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[at] - ends + size, size)]
+        ok = able[held]
+        cuts = np.concatenate([[0], np.cumsum(ok)])[np.concatenate([[0], ends])].tolist()
+        held = held[ok].tolist()
+        return [held[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True) if a < z]
 
 
 def t_occurrence(lists: list[list[int]], t: int, skip) -> list[tuple[int, int]]:
@@ -254,78 +269,105 @@ def t_occurrence(lists: list[list[int]], t: int, skip) -> list[tuple[int, int]]:
     return out
 
 
-class Sets:
-    """A union-find of small numbers."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
+def unite(sets: list[np.ndarray], hosts: int, part: np.ndarray, least: np.ndarray, links, apart: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Pairs (q, d) that link and join the parts in which the sets begin; `part` is their parts afterwards.
 
-    def join(self, i: int, j: int) -> None:
-        self.up[self.find(i)] = self.find(j)
-
-
-def _links(shared: int, n: int, m: int, percent: int) -> bool:
-    return 100 * shared >= percent * (n + m - shared)
+    The first `hosts` sets are indexed. The others ask; where there are none, each set asks those before it. A pair
+    of one part is not asked for, nor is one of equal numbers in `apart`. links(q, d, shared) decides on sets that share
+    least[q] elements. A set asks one set of each part first, so where most are alike few are left to ask for.
+    """
+    index, among = Lists(sets[:hosts]), hosts == len(sets)
+    leads = np.zeros(hosts, dtype=bool)
+    leads[np.unique(part[:hosts], return_index=True)[1]] = True
+    number = np.arange(hosts)
+    met = []
+    for q in range(1, hosts) if among else range(hosts, len(sets)):
+        near = number < q if among else np.ones(hosts, dtype=bool)
+        if apart is not None:
+            near &= apart[:hosts] != apart[q]
+        before = len(met)
+        for turn in (near & leads, near & ~leads):
+            open_to = turn & (part[:hosts] != part[q])
+            if not open_to.any():
+                continue
+            for d, shared in t_occurrence(index.of(sets[q], open_to), max(1, int(least[q])), lambda d: part[d] == part[q]):  # noqa: B023
+                if part[d] != part[q] and links(q, d, shared):
+                    met.append((q, d))
+                    part[part == part[d]] = part[q]
+        if among and len(met) > before:
+            leads[q] = False
+    return met
+
+
+def able(sets: list[np.ndarray], least: np.ndarray) -> np.ndarray:
+    """Numbers of the sets that share at least `least` elements with the others that do so too: no other can link here."""
+    live = np.arange(len(sets))
+    while len(live):
+        g = np.concatenate([sets[i] for i in live])
+        _, place, held = np.unique(g, return_inverse=True, return_counts=True)
+        own = np.repeat(np.arange(len(live)), [len(sets[i]) for i in live])
+        ok = np.bincount(own, held[place.reshape(-1)] > 1, len(live)) >= least[live]
+        if ok.all():
+            break
+        live = live[ok]
+    return live
 
 
-def _sets_of(t: pa.Table, shingle: int) -> tuple[pa.Table, list[np.ndarray]]:
-    """The rows of t whose text has the row's key, one for each key and visit, and their sets."""
-    g, cuts = shingle_sets(t.column("text"), shingle)
-    right = t.filter(pa.array(set_keys(g, cuts) == t.column("key").to_numpy()))
-    sets = {int(k): g[cuts[i] : cuts[i + 1]] for i, k in enumerate(t.column("key").to_numpy())}
-    out = right.drop_columns(["text"]).group_by(right.drop_columns(["text"]).column_names).aggregate([])
-    out = out.sort_by([(c, "ascending") for c in ("visitor", "key") if c in out.column_names])
-    return out, [sets[int(k)] for k in out.column("key").to_numpy()]
+def _fits(n: int, m: int, percent: int) -> bool:
+    """Whether sets of these sizes can link."""
+    return min(n, m) * 100 >= max(n, m) * percent
 
 
-def _within(shingle: int, percent: int):
-    """Links among the nodes of a block, as (node, least node of its part)."""
+def _screen(percent: int):
+    """Of a group (key, n, root, visitor, first, block, chunk): the rows of candidates, which share enough first shingles with
+    a node of another root, a visitor with a host or, without visitors, any two; and the part that candidates form."""
 
     def run(group: pa.Table) -> pa.Table:
-        t, sets = _sets_of(group.select(["key", "text"]), shingle)
-        keys, block = t.column("key").to_numpy(), group.column("block")[0].as_py()
-        index, parts = Lists(sets, alone=True), Sets(len(sets))
-        for q, s in enumerate(sets):
-            t = max(1, int(need(len(s), percent)))
-            for d, shared in t_occurrence(index.of(s, q), t, lambda d: parts.find(d) == parts.find(q)):  # noqa: B023
-                if _links(shared, len(s), index.sizes[d], percent) and parts.find(d) != parts.find(q):
-                    parts.join(d, q)
-        least: dict[int, int] = {}
-        for i in range(len(sets)):
-            least.setdefault(parts.find(i), i)
+        t = group.sort_by([("visitor", "ascending"), ("key", "ascending")]).combine_chunks()
+        n, root, visitor = (t.column(c).to_numpy() for c in ("n", "root", "visitor"))
+        first = t.column("first").combine_chunks()
+        flat, cuts = first.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(first.value_lengths().to_numpy())])
+        sets = [np.sort(flat[cuts[i] : cuts[i + 1]]) for i in range(len(n))]
+        live = able(sets, share(n, percent))
+        t, n, root, visitor, sets = t.take(pa.array(live)), n[live], root[live], visitor[live], [sets[i] for i in live]
+        part = np.arange(len(n))
+        unite(sets, int((visitor == 0).sum()), part, share(n, percent), lambda q, d, _: _fits(n[q], n[d], percent), root)
+        _, place, size = np.unique(part, return_inverse=True, return_counts=True)
         release()
-        roots = keys[[least[parts.find(i)] for i in range(len(sets))]]
-        return pa.table({"a": pa.array(keys, pa.int64()), "b": pa.array(roots, pa.int64()), "block": pa.array(np.full(len(keys), block), pa.int64())})
+        return t.drop_columns(["first", "n"]).append_column("part", pa.array(place.reshape(-1), pa.int32())).filter(pa.array(size[place.reshape(-1)] > 1))
 
     return run
 
 
-def _between(shingle: int, percent: int):
-    """Links between a block's nodes and the visitors of other components."""
+def _sets_of(t: pa.Table, shingle: int) -> tuple[pa.Table, list[np.ndarray]]:
+    """The rows of t whose text has the row's key, one for each key and visit, by part and hosts first, and their sets."""
+    g, cuts = shingle_sets(t.column("text"), shingle)
+    keys = t.column("key").to_numpy()
+    rest = t.drop_columns(["text"])
+    right = rest.filter(pa.array(set_keys(g, cuts) == keys))
+    sets = {int(k): g[cuts[i] : cuts[i + 1]] for i, k in enumerate(keys)}
+    out = right.group_by(rest.column_names).aggregate([]).sort_by([("part", "ascending"), ("visitor", "ascending"), ("key", "ascending")])
+    return out, [sets[int(k)] for k in out.column("key").to_numpy()]
+
+
+def _decided(shingle: int, percent: int):
+    """Links among a group's candidates (key, root, visitor, part, text) of one part, as (a, b, block): those that join nodes of different roots."""
 
     def run(group: pa.Table) -> pa.Table:
-        t, sets = _sets_of(group.select(["key", "root", "visitor", "text"]), shingle)
-        keys, roots, visitor = t.column("key").to_numpy(), t.column("root").to_numpy(), t.column("visitor").to_numpy(zero_copy_only=False)
-        n = int((~visitor).sum())
-        number = {r: i for i, r in enumerate(dict.fromkeys(roots.tolist()))}
-        part, met = [number[r] for r in roots.tolist()], Sets(len(number))
-        index = Lists(sets[:n], alone=False)
-        a, b = [], []
-        for q in range(n, len(sets)):
-            least = max(1, int(need(len(sets[q]), percent)))
-            for d, shared in t_occurrence(index.of(sets[q]), least, lambda d: met.find(part[d]) == met.find(part[q])):  # noqa: B023
-                if _links(shared, len(sets[q]), index.sizes[d], percent) and met.find(part[d]) != met.find(part[q]):
-                    met.join(part[d], part[q])
-                    a.append(keys[q])
-                    b.append(keys[d])
+        t, sets = _sets_of(group.select(["key", "root", "visitor", "part", "text"]), shingle)
+        keys, root, visitor, part = (t.column(c).to_numpy() for c in ("key", "root", "visitor", "part"))
+        met = [np.empty((0, 2), dtype=np.int64)]
+        cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            live = i + able(sets[i:j], need(np.array([len(s) for s in sets[i:j]], dtype=np.int64), percent))
+            own = [sets[x] for x in live]
+            size = np.array([len(s) for s in own], dtype=np.int64)
+            of = np.unique(root[live], return_inverse=True)[1].reshape(-1)
+            found = unite(own, int((visitor[live] == 0).sum()), of, need(size, percent), lambda q, d, shared: 100 * shared >= percent * (int(size[q] + size[d]) - shared))  # noqa: B023
+            met.append(live[np.array(found, dtype=np.int64).reshape(-1, 2)])
         release()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        at = np.concatenate(met)
+        return pa.table({"a": keys[at[:, 0]], "b": keys[at[:, 1]], "block": pa.array(np.full(len(at), group.column("block")[0].as_py()), pa.int64())})
 
     return run
 
@@ -392,52 +434,65 @@ def _components_of(docs: DataFrame, shingle: int, percent: int, doc_id: str, tex
     ranks = _ranks(signed.where("part is not null"))
     classes = texts.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.min("n").alias("n"), F.min("homes").alias("homes"), F.min("tid").alias("tid"))
     classes = keep(classes, "join-classes")
-    homes = classes.select("key", "tid", F.posexplode("homes").alias("order", "home"))
-    crowds = homes.groupBy("order", "home").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
-    lot = F.when(F.col("crowd") > BLOCK, F.pmod(F.xxhash64("key"), F.ceil(F.col("crowd") / BLOCK))).otherwise(F.lit(0))
-    crowded = keep(homes.join(crowds, ["order", "home"]).select("key", "tid", "order", "home", "crowd", F.xxhash64("order", "home", lot).alias("block")), "join-crowded")
+
+    least = F.ceil(F.col("n") * percent / 100)
+    enough = F.least(least, F.lit(SHARE))
+    held = classes.agg(F.coalesce(F.sum(F.col("n") - least + enough), F.lit(0))).first()[0]
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(held) // SORTED)
+    first = given.select("text").mapInArrow(_prefixes(shingle, percent, ranks), "shingle long, key long, salt long")
+    met = keep(first.repartition(tasks, "shingle", "salt").mapInArrow(_shared, "shingle long, key long"), "join-met")
+    nodes = met.groupBy("key").agg(F.collect_list("shingle").alias("first")).join(classes, "key").where(F.size("first") >= enough)
+    nodes = keep(nodes.select("key", "n", "tid", "homes", "first"), "join-nodes")
+
+    homes = nodes.select("key", "n", F.posexplode("homes").alias("order", "home"))
+    crowds = homes.groupBy("order", "home").agg(F.count(F.lit(1)).alias("crowd"), F.sum("n").alias("weight")).where("crowd > 1")
+    lots = F.greatest(F.ceil(F.col("crowd") / BLOCK), F.ceil(F.col("weight") / SHINGLES))
+    lot = F.when(lots > 1, F.pmod(F.xxhash64("key"), lots)).otherwise(F.lit(0))
+    crowded = keep(homes.join(crowds, ["order", "home"]).select("key", "order", "home", "crowd", F.xxhash64("order", "home", lot).alias("block")), "join-crowded")
     own = crowded.groupBy("key").agg(F.max(F.struct("crowd", "order", "block")).alias("most")).select("key", F.col("most.block").alias("shared_block"))
-    nodes = keep(classes.join(own, "key", "left").select("key", "n", "least", "tid", F.coalesce("shared_block", "key").alias("block")), "join-nodes")
+    placed = keep(nodes.join(own, "key", "left").select("key", "n", "tid", "first", F.coalesce("shared_block", "key").alias("block")), "join-placed")
+
+    def links(present: DataFrame, name: str) -> DataFrame:
+        """(a, b, block) of groups of rows (key, root, visitor, block, chunk): candidates by first shingles, decided on whole texts."""
+        rows = present.join(nodes.select("key", "n", "first"), "key").select("key", "n", "root", "visitor", "first", "block", "chunk")
+        found = rows.groupBy("block", "chunk").applyInArrow(_screen(percent), "key long, root long, visitor int, block long, chunk int, part int")
+        found = keep(found.join(nodes.select("key", "tid"), "key"), f"{name}-candidates")
+        whole = _bodies(given, found).join(found, "tid").select("key", "root", "visitor", "part", "block", "chunk", "text")
+        return keep(whole.groupBy("block", "chunk").applyInArrow(_decided(shingle, percent), "a long, b long, block long"), f"{name}-links")
 
-    bodies = keep(_bodies(given, crowded).join(crowded.select("key", "tid").distinct(), "tid").select("key", "text"), "join-texts")
     edges: list[DataFrame] = []
     stage = crowded.select("key", "order", "home", "block")
-    while True:  # homes of many blocks: their parts' least nodes meet again, until a home is one block or few join
-        found = keep(bodies.join(stage.select("key", "block"), "key").groupBy("block").applyInArrow(_within(shingle, percent), "a long, b long, block long"), "join-within")
+    while True:  # homes of many blocks: their parts' heads meet again, until a home is one block or few join
+        alone = stage.select("key", F.col("key").alias("root"), F.lit(0).alias("visitor"), "block", F.lit(0).alias("chunk"))
+        found = links(alone, "join-homes")
         edges.append(found.select("a", "b"))
-        leaders = found.where("a = b").select(F.col("a").alias("key"), "block").join(stage, ["key", "block"])
-        many = leaders.groupBy("order", "home").agg(F.count(F.lit(1)).alias("crowd"), F.countDistinct("block").alias("blocks")).where("blocks > 1")
+        heads = stage.join(found.select(F.col("a").alias("key"), "block").distinct(), ["key", "block"], "left_anti")
+        many = heads.groupBy("order", "home").agg(F.count(F.lit(1)).alias("crowd"), F.countDistinct("block").alias("blocks")).where("blocks > 1")
         before = stage.groupBy("order", "home").agg(F.count(F.lit(1)).alias("before"))
         many = many.join(before, ["order", "home"]).where("crowd * 10 < before * 9")
         reseat = F.xxhash64("order", "home", F.lit(len(edges)), F.pmod(F.xxhash64("key", F.lit(len(edges))), F.ceil(F.col("crowd") / BLOCK)))
-        stage = keep(leaders.join(many, ["order", "home"]).select("key", "order", "home", reseat.alias("block")), "join-leaders")
+        stage = keep(heads.join(many, ["order", "home"]).select("key", "order", "home", reseat.alias("block")), "join-heads")
         if stage.isEmpty():
             break
-    forget(bodies)
     joined = edges[0]
     for e in edges[1:]:
         joined = joined.union(e)
     rooted = components(joined)
 
-    placed = nodes.join(rooted, nodes.key == rooted.node, "left").select("key", "n", "block", "tid", F.coalesce("root", "key").alias("root"))
-    weights = placed.groupBy("root").agg(F.count(F.lit(1)).alias("weight"))
-    placed = keep(placed.join(weights, "root"), "join-placed")
-    first = given.select("text").mapInArrow(_prefixes(shingle, percent, ranks), "shingle long, key long")
-    met = keep(first.repartition("shingle").mapInArrow(_shared, "shingle long, key long"), "join-met")
-    asking = met.join(placed, "key").select("shingle", "key", "n", "block", "root", "weight")
-    visits = asking.repartition("shingle").mapInArrow(_visits(percent), "key long, block long, n long, shared long")
-    enough = F.least(F.ceil(F.col("n") * percent / 100), F.lit(SHARE))
+    seated = placed.join(rooted, placed.key == rooted.node, "left").select("key", "n", "block", F.coalesce("root", "key").alias("root"))
+    weights = seated.groupBy("root").agg(F.count(F.lit(1)).alias("weight"))
+    seated = keep(seated.join(weights, "root"), "join-seated")
+    asking = met.join(seated, "key").select("shingle", "key", "n", "block", "root", "weight")
+    visits = asking.repartition(tasks, "shingle").mapInArrow(_visits(percent), "key long, block long, n long, shared long")
     visits = keep(visits.groupBy("key", "block").agg(F.min("n").alias("n"), F.sum("shared").alias("shared")).where(F.col("shared") >= enough).select("key", "block"), "join-visits")
     if not visits.isEmpty():
         chunks = visits.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("chunks"))
-        hosts = placed.join(chunks, "block").select("key", "tid", "root", "block", F.lit(False).alias("visitor"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+        hosts = seated.join(chunks, "block").select("key", "root", F.lit(0).alias("visitor"), "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
         guests = visits.join(chunks, "block").select("key", "block", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("chunk"))
-        guests = guests.join(placed.select("key", "tid", "root"), "key").select("key", "tid", "root", "block", F.lit(True).alias("visitor"), "chunk")
-        present = keep(hosts.unionByName(guests), "join-present")
-        meeting = _bodies(given, present).join(present, "tid").select("key", "root", "visitor", "block", "chunk", "text")
-        extra = meeting.groupBy("block", "chunk").applyInArrow(_between(shingle, percent), "a long, b long")
-        rooted = components(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")).union(extra))
-    return texts, nodes.join(rooted, nodes.key == rooted.node, "left").select("key", F.coalesce("root", "key").alias("root"), "least")
+        guests = guests.join(seated.select("key", "root"), "key").select("key", "root", F.lit(1).alias("visitor"), "block", "chunk")
+        extra = links(hosts.unionByName(guests), "join-visits")
+        rooted = components(rooted.select(F.col("node").alias("a"), F.col("root").alias("b")).union(extra.select("a", "b")))
+    return texts, classes.join(rooted, classes.key == rooted.node, "left").select("key", F.coalesce("root", "key").alias("root"), "least")
 
 
 def _bodies(given: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -457,9 +512,14 @@ def _bodies(given: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, unchanged: the least doc_id (a null one last), of equal ids the least text hash, of equal
-    texts any row; texts without shingles stay. Rows are told apart by doc_id and text, so a doc_id may have several texts."""
+    texts any row; texts without shingles stay. Rows are told apart by doc_id and text, so a doc_id may have several texts.
+    Other columns may have any names, dots included."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    safe = docs.toDF(*names)
+    its_id, its_text = F.col(names[docs.columns.index(doc_id)]), F.col(names[docs.columns.index(text)])
+    given = safe.select(its_id.cast("long").alias("doc_id"), its_text.cast("string").alias("text"))
     with temporary():
-        texts, named = _components_of(docs, shingle, percent, doc_id, text)
+        texts, named = _components_of(given, shingle, percent, "doc_id", "text")
         texts = texts.where("n > 0")
         best = texts.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tid")).alias("best"))
         best = best.join(named.select("key", "root"), "key").groupBy("root").agg(F.min("best").alias("best"))
@@ -468,10 +528,10 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_i
         won = F.col("best_tid").isNotNull()
         pairs = pairs.join(best, pairs.doc_id.eqNullSafe(best.best_id) & (pairs.tid == best.best_tid), "left").where(~won | (F.col("n") > 1))
         surplus = keep(pairs.select(F.col("doc_id").alias("its_id"), F.col("tid").alias("its_tid"), won.alias("once")), "near-duplicates-surplus", lasting=True)
-    rows = docs.withColumn("_id", F.col(doc_id).cast("long")).withColumn("_tid", F.xxhash64(F.col(text).cast("string")))
+    rows = safe.withColumn("_id", its_id.cast("long")).withColumn("_tid", F.xxhash64(its_text.cast("string")))
     same = rows["_id"].eqNullSafe(surplus.its_id) & (rows["_tid"] == surplus.its_tid)
     out = rows.join(surplus, same, "left_anti")
     once = surplus.where("once")
     if not once.isEmpty():
         out = out.unionByName(rows.join(once, rows["_id"].eqNullSafe(once.its_id) & (rows["_tid"] == once.its_tid), "left_semi").dropDuplicates(["_id", "_tid"]))
-    return out.select(*docs.columns)
+    return out.select(*names).toDF(*docs.columns)
