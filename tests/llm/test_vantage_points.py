@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -8,39 +9,59 @@ import cellgrid.llm.vantage_points as vp
 from cellgrid.llm.vantage_points import nearest
 
 
+def in_turn(v):
+    total = 0.0
+    for x in v:
+        total += x
+    return total
+
+
 def brute(rows, is_query, k):
-    good = {i: v for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)}
-    out = {}
-    for q, u in good.items():
+    """By row number: the k best (id, score) of each asking row among all other rows."""
+    sound = [(n, i, [float(x) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    length = {n: math.sqrt(in_turn([x * x for x in v])) for n, _, v in sound}
+    out = []
+    for n, q, u in sound:
         if is_query(q):
-            near = []
-            for i, v in good.items():
-                if i != q and len(v) == len(u):
-                    a, b = np.array(u, float), np.array(v, float)
-                    near.append((-(a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())), i))
-            out[q] = [(i, -s) for s, i in sorted(near)[:k]]
+            near = sorted((-in_turn([x * y for x, y in zip(u, v, strict=True)]) / (length[n] * length[m]), i) for m, i, v in sound if m != n and len(v) == len(u))
+            out.append((q, [(i, -s) for s, i in near[:k]]))
     return out
 
 
-@pytest.mark.parametrize("shard,block,leaf", [(8192, 512, 96), (60, 5, 4)])
+def found_of(spark, rows, is_query, k=5, parts=3):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({"v": F.lit(1), "row": F.lit("x"), "cell": F.lit("y")}).repartition(parts)
+    return Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in nearest(df, is_query, k=k).collect())
+
+
+def wanted(rows, is_query, k=5):
+    return Counter((q, n + 1, i, s) for q, near in brute(rows, is_query, k) for n, (i, s) in enumerate(near))
+
+
+@pytest.mark.parametrize("shard,block,leaf", [(8192, 32768, 256), (60, 5, 8)])
 def test_factor_one_equals_brute_force(spark, monkeypatch, shard, block, leaf):
     monkeypatch.setattr(vp, "SHARD", shard)
     monkeypatch.setattr(vp, "QUERIES", block)
+    monkeypatch.setattr(vp, "LEAF", leaf)
     rng = np.random.default_rng(3)
     rows = [(i, [float(np.float32(x)) for x in rng.normal(size=6)]) for i in range(400)]
     rows += [(1000 + i, rows[20][1]) for i in range(60)] + [(2000 + i, [0.0, 1.0, 0.0, 0.0, 0.0, 0.0]) for i in range(30)] + [(2040, [-0.0, 1.0, 0.0, 0.0, 0.0, 0.0])]
     rows += [(5000, None), (5010, [0.0] * 6), (5020, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (5030, [float("nan")] * 6), (5040, [float("inf")] * 6), (5050, []), (None, [1.0] * 6), (6000, [1.0, 2.0]), (6010, [2.0, 1.0]), (7000, [1.0])]
-    df = spark.createDataFrame(rows + rows[5:6], "vec_id long, embedding array<float>").withColumn("v", F.lit(1))
-    got = {}
-    for r in nearest(df, F.col("vec_id") % 10 == 0).orderBy("query_id", "rank").collect():
-        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-        assert r["rank"] == len(got[r.query_id])
-    want = {q: x for q, x in brute(rows, lambda i: i % 10 == 0, 5).items() if x}
-    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
-    assert all(abs(a[1] - b[1]) < 1e-12 for q in want for a, b in zip(got[q], want[q], strict=True))
+    rows += rows[5:6] + [(30, rows[30][1]), (30, rows[31][1])]  # repeated ids: the same vector, and another
+    assert found_of(spark, rows, F.col("vec_id") % 10 == 0) == wanted(rows, lambda i: i % 10 == 0)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert nearest(df.where("false"), F.col("vec_id") % 10 == 0).collect() == []
 
 
+def test_vectors_of_nearly_one_direction(spark, monkeypatch):
+    monkeypatch.setattr(vp, "SHARD", 50)
+    monkeypatch.setattr(vp, "LEAF", 8)
+    rng = np.random.default_rng(8)
+    one = rng.normal(size=8)
+    scaled = [(i, [float(np.float32(x)) for x in one * rng.uniform(0.1, 9)]) for i in range(250)]
+    noisy = [(1000 + i, [float(np.float32(x)) for x in one * (1 + 1e-7 * rng.normal(size=8))]) for i in range(150)]
+    assert found_of(spark, scaled + noisy, F.col("vec_id") % 3 == 0) == wanted(scaled + noisy, lambda i: i % 3 == 0)
+
+
 def test_greater_factors_prune_more_and_keep_recall():
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(20, 16))
