@@ -19,23 +19,24 @@ from pyspark.sql import functions as F
 from cellgrid.llm._store import forget, keep
 from cellgrid.llm._text import batch_of, pieces, words
 
-#: Documents, or fractions left over, that meet in one task's group.
-FAN_IN = 4096
+#: Documents, or fractions left over, that meet in one task's group, and equal documents that are rounded as one.
+FAN_IN = 1024
 #: A fraction this near to 0 or 1 is integral.
 NEAR = 1e-9
 
 
 def word_sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, size (words of the whole text; null text: 0)."""
+    """doc_id, source, tid (a hash of the text), size (words of the whole text; null text: 0)."""
     kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
             size = pa.array(words(b.column(2)).counts, type=pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), size], names=["doc_id", "source", "size"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(3), size], names=["doc_id", "source", "tid", "size"])
 
-    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).cast("string").alias("text"))
-    return chosen.mapInArrow(run, f"doc_id {kinds[doc_id]}, source {kinds[source]}, size long")
+    whole = F.col(text).cast("string")
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), whole.alias("text"), F.xxhash64(whole).alias("tid"))
+    return chosen.mapInArrow(run, f"doc_id {kinds[doc_id]}, source {kinds[source]}, tid long, size long")
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
@@ -43,7 +44,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
 
     Sources by code point, null last, take the weights in turn. Where a target would be above its cap,
     the excess is shared again by weight; in the end every target is the lesser of its cap and one common
-    level times its weight. One row per source: the only data that one task sorts.
+    level times its weight. One row for each source is the only data that one task sorts, a few million at most.
     """
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     turn = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
@@ -98,45 +99,49 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
 
     A document has floor or ceil of its source's target / size copies, so at most `most`. Pairs are of like
     size (groups hold one power of two, sorted), so the words taken stay near the target. Draws depend on
-    the seed, doc_id and level alone: reruns agree. Empty and null texts have size 0 and take nothing; a
-    null source is one source, the last; repeated rows are rounded each; an empty table gives no rows.
+    the seed, doc_id, text and level alone: reruns agree, however rows are dealt. Empty and null texts have size 0
+    and take nothing; a null source is one source, the last; rows of one id are told apart by their texts, and
+    rows that repeat count each; other columns of docs play no part; an empty table gives no rows.
     """
     sizes = keep(word_sizes(docs, doc_id, text, source), "mix-sizes")
     targets = keep(source_targets(sizes, weights, share, most), "mix-targets")
     rate = F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0))
-    has = sizes.join(F.broadcast(targets) if targets.count() <= 10_000 else targets, sizes["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-    has = has.withColumn("whole", F.floor(rate)).withColumn("part", rate - F.floor(rate)).withColumn("magnitude", F.floor(F.log2(F.col("size") + 1)).cast("int"))
-    counts = has.groupBy("source", "magnitude").agg(F.ceil(F.count(F.lit(1)) / FAN_IN).alias("groups"))
-    counts = counts.select(F.col("source").alias("s"), F.col("magnitude").alias("m"), "groups")
-    dealt = has.join(counts, has["source"].eqNullSafe(F.col("s")) & (F.col("magnitude") == F.col("m")))
-    level = 0
-    todo = dealt.withColumn("dealt", F.concat_ws("/", F.col("magnitude"), F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("groups"))))
+    # rows that repeat, at most FAN_IN together: so many get one copy more, and one fraction is left
+    equal = sizes.groupBy("doc_id", "source", "tid", "size").agg(F.count(F.lit(1)).alias("all"))
+    equal = equal.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("all") - 1) / FAN_IN))))
+    equal = equal.withColumn("n", F.least(F.lit(FAN_IN).cast("long"), F.col("all") - F.col("piece") * FAN_IN)).drop("all")
+    has = equal.join(F.broadcast(targets) if targets.count() <= 10_000 else targets, equal["source"].eqNullSafe(targets["source"])).drop(targets["source"])
+    total = F.col("n") * (rate - F.floor(rate))
+    has = has.withColumns({"whole": F.floor(rate), "ups": F.floor(total + NEAR)}).withColumn("part", F.greatest(total - F.col("ups"), F.lit(0.0)))
     kinds = dict(sizes.dtypes)
-    columns = ["doc_id", "source", "size", "source_size", "target", "whole", "part"]
-    schema = f"doc_id {kinds['doc_id']}, source {kinds['source']}, size long, source_size long, target double, whole long, part double, open boolean"
+    columns = ["doc_id", "source", "tid", "piece", "n", "size", "source_size", "target", "whole", "ups", "part"]
+    schema = f"doc_id {kinds['doc_id']}, source {kinds['source']}, tid long, piece long, n long, size long, source_size long, target double, whole long, ups long, part double, open boolean"
+    todo = has.select(*columns, F.floor(F.log2(F.col("size") + 1)).cast("int").alias("kind"))
     done: list[DataFrame] = []
     while True:
-        last = todo.select("source", "dealt").distinct().groupBy("source").count().agg(F.max("count")).first()[0] in (None, 1) if level else False
-        drawn = todo.select("source", "dealt", *[c for c in columns if c != "source"], F.xxhash64("doc_id", F.lit(seed), F.lit(level)).alias("draw"))
-        step = keep(drawn.groupBy("source", "dealt").applyInArrow(_round(last), schema), f"mix-level{level}")
+        level = len(done)
+        counts = todo.groupBy("source", "kind").agg(F.ceil(F.count(F.lit(1)) / FAN_IN).alias("groups")).select(F.col("source").alias("s"), F.col("kind").alias("k"), "groups")
+        last = bool(level) and (counts.agg(F.max("groups")).first()[0] or 1) == 1
+        draw = lambda i: F.xxhash64("doc_id", "tid", "piece", F.lit(seed), F.lit(i))
+        dealt = todo.join(counts, todo["source"].eqNullSafe(counts.s) & (todo["kind"] == counts.k))
+        dealt = dealt.select(*columns, draw(level).alias("draw"), F.concat_ws("/", "kind", F.pmod(draw(-1 - level), F.col("groups"))).alias("dealt"))
+        step = keep(dealt.groupBy("source", "dealt").applyInArrow(_round(last), schema), f"mix-level{level}")
         done.append(step.where("not open"))
         if last:
             break
-        level += 1
-        groups = F.ceil(F.count(F.lit(1)).over(W.partitionBy("source")) / FAN_IN)
-        left = step.where("open").select(*columns)
-        todo = left.withColumn("groups", groups).withColumn("dealt", F.pmod(F.xxhash64("doc_id", F.lit(seed + level)), F.col("groups")).cast("string"))
+        todo = step.where("open").select(*columns, F.lit(0).alias("kind"))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
     forget(sizes, targets)
-    copies = F.col("whole") + F.col("part").cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    each = out.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    copies = F.col("whole") + (F.col("nth") <= F.col("ups") + F.col("part").cast("long")).cast("long")
+    return each.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def _round(last: bool):
     def run(group: pa.Table) -> pa.Table:
-        t = group.drop_columns(["dealt"]).sort_by([("size", "descending"), ("doc_id", "ascending")])
+        t = group.drop_columns(["dealt"]).sort_by([("size", "descending"), ("doc_id", "ascending"), ("tid", "ascending"), ("piece", "ascending")])
         u = (t.column("draw").to_numpy().astype(np.int64).view(np.uint64) >> np.uint64(11)).astype(np.float64) / 2.0**53
         x, open_at = pivot(t.column("part").to_numpy(), u)
         still = np.zeros(len(x), dtype=bool)
@@ -144,7 +149,7 @@ def _round(last: bool):
             x[open_at] = float((u[open_at] * 7919.0) % 1.0 < x[open_at])
         elif open_at >= 0:
             still[open_at] = True
-        names = ["doc_id", "source", "size", "source_size", "target", "whole"]
+        names = [c for c in t.column_names if c not in ("part", "draw")]
         return pa.table([*[t.column(c) for c in names], pa.array(x), pa.array(still)], names=[*names, "part", "open"])
 
     return run
