@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -528,10 +529,15 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 5, percent: int = 80, doc_i
         won = F.col("best_tid").isNotNull()
         pairs = pairs.join(best, pairs.doc_id.eqNullSafe(best.best_id) & (pairs.tid == best.best_tid), "left").where(~won | (F.col("n") > 1))
         surplus = keep(pairs.select(F.col("doc_id").alias("its_id"), F.col("tid").alias("its_tid"), won.alias("once")), "near-duplicates-surplus", lasting=True)
+    bits = sieve(surplus.select(F.xxhash64("its_id", "its_tid").alias("both")), "both")
+    may = F.pandas_udf(lambda both: pd.Series(passes(bits, both.to_numpy())), "boolean")
     rows = safe.withColumn("_id", its_id.cast("long")).withColumn("_tid", F.xxhash64(its_text.cast("string")))
+    rows = rows.withColumn("_may", may(F.xxhash64("_id", "_tid")))
     same = rows["_id"].eqNullSafe(surplus.its_id) & (rows["_tid"] == surplus.its_tid)
-    out = rows.join(surplus, same, "left_anti")
+    # most rows are no surplus, which a bit map of fixed size tells without moving their texts
+    out = rows.where("not _may").unionByName(rows.where("_may").join(surplus, same, "left_anti"))
     once = surplus.where("once")
     if not once.isEmpty():
-        out = out.unionByName(rows.join(once, rows["_id"].eqNullSafe(once.its_id) & (rows["_tid"] == once.its_tid), "left_semi").dropDuplicates(["_id", "_tid"]))
+        again = rows.where("_may").join(once, rows["_id"].eqNullSafe(once.its_id) & (rows["_tid"] == once.its_tid), "left_semi")
+        out = out.unionByName(again.dropDuplicates(["_id", "_tid"]))
     return out.select(*names).toDF(*docs.columns)

@@ -227,20 +227,21 @@ def _cut(texts: pa.Array, copies: np.ndarray, starts: pa.Array, window: int) ->
     return n, removed, kept
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> DataFrame:
-    """Every row of docs with n_words, n_removed and kept (its words that no repeated window covers, joined by one space).
+def remove_repeats(docs: DataFrame, window: int = 35, text: str = "text", new: tuple[str, str, str] = ("n_words", "n_removed", "kept")) -> DataFrame:
+    """Every row of docs with its words, those removed, and the words that no repeated window covers, joined by one space.
 
     A window is `window` words of one text; all places of a repeated one are removed, the first too. Null
     and empty texts, and texts shorter than a window, lose nothing. Rows that repeat are copies of each
-    other. Only rows of texts with repeats travel to the join; columns of docs named as the new ones are
-    replaced.
+    other. Only rows of texts with repeats travel to the join. `new` names the three columns, which docs must not
+    have; other columns may have any names, dots included, and stay as they are.
     """
+    if set(new) & set(docs.columns):
+        raise ValueError(f"docs has a column named as one of {new}; give other names")
     found = repeated_windows(docs, window, text)
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text)
     safe = docs.toDF(*names).withColumn("tid", F.xxhash64(F.col(names[at]).cast("string")))
     joined = safe.join(found, "tid", "left")
-    new = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
     fields = ", ".join(f"{n} {dict(safe.dtypes)[n]}" for n in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,8 +250,23 @@ def remove_repeats(docs: DataFrame, window: int = 35, text: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(n, pa.int64()), pa.array(removed), pa.array(kept, pa.string())], names=[*names, "n_words", "n_removed", "kept"])
 
     given = joined.select(*names, F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("starts", F.expr("cast(array() as array<int>)")).alias("starts"))
-    out = given.mapInArrow(run, f"{fields}, n_words long, n_removed long, kept string")
-    return out.select(*[F.col(names[docs.columns.index(c)]).alias(c) for c in new], "n_words", "n_removed", "kept")
+    return given.mapInArrow(run, f"{fields}, n_words long, n_removed long, kept string").toDF(*docs.columns, *new)
+
+
+def keep_unrepeated(docs: DataFrame, window: int = 35, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The rows of docs with repeated windows cut out of their texts; a text that loses all its words goes.
+
+    Texts that lose nothing, and all columns but the text (and its length, where docs has a column `n_chars`), stay
+    as they are, whatever they are named.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    its, long = names[docs.columns.index(text)], names[docs.columns.index(n_chars)] if n_chars in docs.columns else None
+    cut = remove_repeats(docs.toDF(*names), window, its)
+    less = F.col("n_removed") > 0
+    out = cut.where("n_removed < n_words or n_words = 0").withColumn(its, F.when(less, F.col("kept")).otherwise(F.col(its).cast("string")).cast(dict(cut.dtypes)[its]))
+    if long:
+        out = out.withColumn(long, F.when(less, F.length(its).cast(dict(cut.dtypes)[long])).otherwise(F.col(long)))
+    return out.select(*names).toDF(*docs.columns)
 
 
 def repeat_digests(docs: DataFrame, window: int = 35, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

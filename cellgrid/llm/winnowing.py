@@ -202,8 +202,10 @@ def _named(met: np.ndarray, index: Items, earlier: pa.Array) -> pa.Array:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, span: int = 10, k: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs, unchanged, in which no benchmark window occurs; null texts stay."""
-    rest = [c for c in docs.columns if c not in (doc_id, text)]
-    marked = _marked(docs, items, span, k, doc_id, text, "item_id", "text", rest, PASS_BYTES)
-    back = {doc_id: "doc_id", text: "text"} | {c: f"carry_{i}" for i, c in enumerate(rest)}
-    return marked.where(F.size("spans") == 0).select(*[F.col(back[c]).alias(c) for c in docs.columns])
+    """The rows of docs, unchanged, in which no benchmark window occurs; null texts stay. Columns may have any names, dots included."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    its_id, its_text = names[docs.columns.index(doc_id)], names[docs.columns.index(text)]
+    rest = [c for c in names if c not in (its_id, its_text)]
+    marked = _marked(docs.toDF(*names), items, span, k, its_id, its_text, "item_id", "text", rest, PASS_BYTES)
+    back = {its_id: "doc_id", its_text: "text"} | {c: f"carry_{i}" for i, c in enumerate(rest)}
+    return marked.where(F.size("spans") == 0).select(*[F.col(back[c]) for c in names]).toDF(*docs.columns)

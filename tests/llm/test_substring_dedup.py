@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from cellgrid.llm.substring_dedup import pack, remove_repeats, repeat_digests, unpack
 from tests.llm.helpers import docs_of, space_words
@@ -43,8 +44,11 @@ def test_digests_and_texts_equal_brute_force(spark):
     for window in (35, 6):
         want = Counter((i if i % 7 else None, n, r, hashlib.sha256(k.encode()).hexdigest()) for i, (n, r, k) in enumerate(brute(texts, window)))
         assert Counter(tuple(r) for r in repeat_digests(docs, window).collect()) == want
-    got = remove_repeats(docs.withColumn("kept", docs.source), 35)
-    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_words", "n_removed", "kept"]
+    clash = docs.withColumns({"kept": docs.source, "tid": docs.source, "c0": docs.source, "a.b": docs.source})
+    with pytest.raises(ValueError):
+        remove_repeats(clash, 35)
+    got = remove_repeats(clash.drop("kept"), 35)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "tid", "c0", "a.b", "n_words", "n_removed", "kept"]
     assert Counter((r.doc_id, r.text, r.n_words, r.n_removed, r.kept) for r in got.collect()) == Counter((i if i % 7 else None, t, *b) for i, (t, b) in enumerate(zip(texts, brute(texts, 35), strict=True)))
     assert repeat_digests(docs.where("false")).collect() == [] and remove_repeats(docs.where("false")).collect() == []
 
