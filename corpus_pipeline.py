@@ -13,13 +13,12 @@ size, source_size, target, copies and taken.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cellgrid.llm._store import keep, table
 from cellgrid.llm.mixing import mix_sources
 from cellgrid.llm.ngram_join import keep_one_of_each
 from cellgrid.llm.quality import keep_good, train_quality
-from cellgrid.llm.substring_dedup import remove_repeats
+from cellgrid.llm.substring_dedup import keep_unrepeated
 from cellgrid.llm.winnowing import decontaminate
 
 
@@ -33,12 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = remove_repeats(docs, window=35)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    out = cut.where("n_removed < n_words or n_words = 0").withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return keep_unrepeated(docs, window=35)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
