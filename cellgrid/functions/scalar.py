@@ -59,7 +59,7 @@ def barcode_global_xy(x: Column, y: Column, pos_x: Column, pos_y: Column) -> tup
 
 
 def cell_global_xy(x: Column, y: Column, pos_x: Column, pos_y: Column) -> tuple[Column, Column]:
-    """Stage coordinates of a cell: not flipped, and the stage's first axis runs against the mask's."""
+    """Stage coordinates of a cell at mask column x and row y: not flipped, and the stage's first axis runs against the mask's rows."""
     return TILE * x / PIXELS + pos_y, TILE * y / PIXELS - pos_x
 
 

@@ -16,8 +16,8 @@ def labelled(mask: DataFrame) -> DataFrame:
 
 
 def cell_table(mask: DataFrame, pixel: float = 1.0) -> DataFrame:
-    """cell_id, fov, label, volume (pixels), x, y (mean index, times `pixel`), and z for masks with slices."""
-    means = [("x", "a0"), ("y", "a1")] + ([("z", "az")] if "az" in mask.columns else [])
+    """cell_id, fov, label, volume (pixels), x, y (mean column and row of the mask, times `pixel`), and z for masks with slices."""
+    means = [("x", "a1"), ("y", "a0")] + ([("z", "az")] if "az" in mask.columns else [])
     scaled = [(F.avg(a) * (1.0 if n == "z" else pixel)).alias(n) for n, a in means]
     return labelled(mask).groupBy("cell_id", "fov", "label").agg(F.count(F.lit(1)).alias("volume"), *scaled)
 
@@ -28,6 +28,14 @@ def with_cell_global_xy(cells: DataFrame, positions: DataFrame) -> DataFrame:
     return cells.join(pos, "fov").withColumns({"global_x": gx, "global_y": gy}).drop("_px", "_py")
 
 
+def segmented_stats(cells: DataFrame, fovs: int) -> DataFrame:
+    """metric, value: segmented cells, and cells for each tile (null without tiles)."""
+    n = cells.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    share = F.try_divide("n", F.lit(float(fovs)))
+    pairs = F.array(F.struct(F.lit("Segmented cells").alias("metric"), F.col("n").alias("value")), F.struct(F.lit("Segmented cells per FOV").alias("metric"), share.alias("value")))
+    return n.select(F.inline(pairs))
+
+
 def strips(overlaps: DataFrame, side: int = PIXELS) -> DataFrame:
     """One row for each tile of each overlap: pair, tile (a or b), fov, and closed-open pixel ranges x0..x1, y0..y1."""
     pair = F.concat_ws("-", "fov_a", "fov_b")

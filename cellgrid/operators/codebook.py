@@ -45,11 +45,15 @@ def decode(molecules: DataFrame, expanded: DataFrame, weight: int = 4) -> DataFr
     """Each molecule with the nearest candidate code: gene, error_type, error_bit and status added, intensity dropped.
 
     Candidates have length one, so the nearest has the largest dot product; ties go to the least place, and a
-    candidate without bits matches nothing. The codebook goes to the tasks as one matrix while it has at most
-    MATRIX numbers; a larger one is joined, as declared.
+    candidate without bits matches nothing. An intensity that is null, of another length than the codes, or that holds
+    a null or a number that is not finite gets no gene. The codebook goes to the tasks as one matrix while it has at
+    most MATRIX numbers; a larger one is joined, with the same result.
     """
     able = expanded.where("weight > 0").select("name", "error_bit", "weight", "place", "code")
     shape = able.agg(F.count(F.lit(1)), F.max(F.size("code"))).first()
+    given = F.col("intensity").cast("array<double>")
+    whole = F.forall(given, lambda v: v.isNotNull() & (F.abs(v) < F.lit(float("inf")))) & (F.size(given) == (shape[1] or 0))
+    molecules = molecules.withColumn("intensity", F.when(whole, given))
     if (shape[0] or 0) * (shape[1] or 0) > MATRIX:
         return _decode_joined(molecules, able, weight)
     rows = sorted(able.collect(), key=lambda r: r.place)
@@ -73,14 +77,14 @@ def decode(molecules: DataFrame, expanded: DataFrame, weight: int = 4) -> DataFr
             yield pa.RecordBatch.from_arrays([*b.columns[1:], *got], names=[*b.schema.names[1:], "gene", "error_type", "error_bit"])
 
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in rest], "gene string, error_type int, error_bit int"])
-    out = molecules.select(F.col("intensity").cast("array<double>").alias("intensity"), *rest).mapInArrow(run, schema)
+    out = molecules.select("intensity", *rest).mapInArrow(run, schema)
     return out.withColumn("status", F.lit("unprocessed"))
 
 
 def _decode_joined(molecules: DataFrame, able: DataFrame, weight: int) -> DataFrame:
     """decode as a declared nearest-neighbour join: set bits are exploded, dots are grouped sums, the best is a grouped maximum."""
     keyed = molecules.withColumn("_m", F.monotonically_increasing_id())
-    seen = keyed.select("_m", F.posexplode(F.col("intensity").cast("array<double>")).alias("i", "v"))
+    seen = keyed.select("_m", F.posexplode("intensity").alias("i", "v"))
     bits = able.select("place", "weight", "name", "error_bit", F.posexplode("code").alias("i", "on")).where("on = 1")
     dots = seen.join(bits, "i").groupBy("_m", "place", "weight", "name", "error_bit").agg(F.sum("v").alias("dot"))
     best = dots.groupBy("_m").agg(F.max(F.struct((F.col("dot") / F.sqrt("weight")).alias("score"), (-F.col("place")).alias("first"), "name", "error_bit", "weight")).alias("b"))

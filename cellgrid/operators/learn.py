@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
@@ -52,12 +54,54 @@ def shuffle_genes(values: DataFrame, cells: DataFrame, genes: list[str], seed: i
     return full.select("cell", "gene", place.alias("k")).join(full.select("gene", "v", dealt.alias("k")), ["gene", "k"]).select("cell", "gene", "v")
 
 
+def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each round that a task meets: rows, sums and sums of products of its vectors."""
+    held: dict[int, list] = {}
+    for b in batches:
+        rounds = b.column(0).to_numpy()
+        v = b.column(1).flatten().to_numpy().reshape(b.num_rows, -1)
+        for r in np.unique(rounds).tolist():
+            x = v[rounds == r]
+            n, s, p = held.get(r, (0, 0.0, 0.0))
+            held[r] = (n + len(x), s + x.sum(0), p + x.T @ x)
+    for r, (n, s, p) in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([n], pa.int64()), pa.array([s.tobytes()], pa.binary()), pa.array([p.tobytes()], pa.binary())], names=["round", "n", "sums", "products"])
+
+
+def _largest(group: pa.Table) -> pa.Table:
+    """The variances along the principal components of one round, in falling order."""
+    n = sum(group.column("n").to_pylist())
+    s = sum(np.frombuffer(x) for x in group.column("sums").to_pylist())
+    p = sum(np.frombuffer(x) for x in group.column("products").to_pylist()).reshape(len(s), len(s))
+    spread = (p - np.outer(s, s) / n) / max(n - 1, 1)
+    return pa.table({"round": group.column("round").slice(0, 1), "variances": pa.array([np.maximum(np.linalg.eigvalsh(spread)[::-1], 0).tolist()], pa.list_(pa.float64()))})
+
+
+def variances(rounds: DataFrame, cells: DataFrame, genes: list[str]) -> dict[int, list[float]]:
+    """By round of values (round, cell, gene, v): the variances along its principal components, all rounds in one pass.
+
+    Tasks send sums of products, genes times genes numbers for each round, which one task a round adds up and solves.
+    """
+    where = F.map_from_entries(F.collect_list(F.struct("gene", F.col("v").cast("double").alias("v"))))
+    maps = rounds.where(F.col("v") != 0).groupBy("round", "cell").agg(where.alias("m"))
+    at = F.transform(F.array(*[F.lit(g) for g in genes]), lambda g: F.coalesce(F.try_element_at("m", g), F.lit(0.0)))
+    each = rounds.select("round").distinct().crossJoin(cells.select("cell"))
+    none = F.array_repeat(F.lit(0.0), len(genes))
+    dense = each.join(maps, ["round", "cell"], "left").select(F.col("round").cast("int").alias("round"), F.when(F.col("m").isNull(), none).otherwise(at).alias("v"))
+    sums = dense.mapInArrow(_moments, "round int, n long, sums binary, products binary")
+    return {r["round"]: r.variances for r in sums.groupBy("round").applyInArrow(_largest, "round int, variances array<double>").collect()}
+
+
 def count_components(values: DataFrame, cells: DataFrame, most: int = 20, rounds: int = 20, seed: int = 0) -> int:
     """Parallel analysis: components whose variance is above the mean of the largest variance of shuffled matrices."""
     genes = gene_order(values)
-    _, seen = pca(vectors(values, cells, genes), most)
-    tops = [pca(vectors(shuffle_genes(values, cells, genes, seed + r), cells, genes), 1)[1][0] for r in range(rounds)]
-    return sum(v > float(np.mean(tops)) for v in seen)
+    values = cut(values.select("cell", "gene", "v"), "values")
+    found = values.withColumn("round", F.lit(-1))
+    for r in range(rounds):
+        found = found.unionByName(shuffle_genes(values, cells, genes, seed + r).withColumn("round", F.lit(r)))
+    got = variances(found, cells, genes)
+    level = float(np.mean([got[r][0] for r in range(rounds)]))
+    return sum(v > level for v in got.get(-1, [])[:most])
 
 
 def _range(n: int) -> Column:
@@ -68,7 +112,9 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, cosine: bool = False,
     """(id, other, dist, rank): the k nearest points (id, v) of every query (id, v), ties to the smaller id.
 
     Points and queries meet block by block: the smaller dealt side is copied to the other's blocks, each task
-    keeps a query's best k of its block, and these are merged. No task holds more than two blocks.
+    keeps a query's best k of its block, and these are merged. No task holds more than two blocks. Every point is
+    compared with every query, so the work is the product of both sides, and a point is copied once for each block of
+    queries: meant for reference sets and cells by the million. A zero vector has distance 1/2 to all where `cosine` is set.
     """
     sizes = [max(1, -(-df.count() // BLOCK)) for df in (queries, points)]
     q = queries.select("id", F.col("v").cast("array<double>").alias("v"), F.pmod(F.xxhash64("id"), F.lit(sizes[0])).alias("qb"), F.explode(_range(sizes[1])).alias("pb"), F.lit(True).alias("asks"))
@@ -86,9 +132,15 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, cosine: bool = False,
         a, b, ia, ib = v[asks], v[~asks], ids[asks], ids[~asks]
         out_i, out_j, out_d = [], [], []
         for s in range(0, len(a), 128):
-            d = ((a[s : s + 128, None, :] - b[None]) ** 2).sum(2) if b.size <= 1 << 16 else np.maximum((a[s : s + 128] ** 2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a[s : s + 128] @ b.T, 0)
+            some = a[s : s + 128]
+            d = (some**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * some @ b.T
             if exclude_self:
                 d[ia[s : s + 128][:, None] == ib[None]] = np.inf
+            # the products are rough: whatever may be among the k nearest is measured by differences
+            near = d <= np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1 :][:, :1] + 1e-9 * (1 + (some**2).sum(1)[:, None] + (b**2).sum(1)[None])
+            at = np.nonzero(near & np.isfinite(d))
+            d[:] = np.inf
+            d[at] = ((some[at[0]] - b[at[1]]) ** 2).sum(1)
             order = np.lexsort((np.broadcast_to(ib, d.shape), d), axis=1)[:, :k]
             rows = np.repeat(np.arange(len(d)), order.shape[1])
             cols = order.reshape(-1)

@@ -138,3 +138,16 @@ def without_names(counts: DataFrame, suffixes: list[str], names: list[str] | Non
 def marker_subset(counts: DataFrame, markers: DataFrame) -> DataFrame:
     """Rows of the genes that any cluster has among its markers (cluster, markers array)."""
     return counts.join(markers.select(F.explode("markers").alias("gene")).distinct(), "gene", "left_semi")
+
+
+def with_spatial(cells: DataFrame) -> DataFrame:
+    """spatial_x, spatial_y added: global_x and global_y where the table has them, else center_x and center_y, else null."""
+    for x, y in (("global_x", "global_y"), ("center_x", "center_y")):
+        if x in cells.columns:
+            return cells.withColumns({"spatial_x": F.col(x).cast("double"), "spatial_y": F.col(y).cast("double")})
+    return cells.withColumns({"spatial_x": F.lit(None).cast("double"), "spatial_y": F.lit(None).cast("double")})
+
+
+def attach_labels(rows: DataFrame, labels: DataFrame, key: str = "cell") -> DataFrame:
+    """Rows with the label (key, label) of their cell; null where a cell has none. Labels are keyed by cell, one row for each."""
+    return rows.drop("label").join(labels.select(key, "label"), key, "left")

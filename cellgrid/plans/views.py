@@ -65,8 +65,8 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """cell, gene, n: parts of urgent orders by customer and brand; brands ending in 1 stand for blanks."""
-    orders = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select("o_orderkey", F.col("o_custkey").alias("cell"))
+    """cell, gene, n: parts ordered by customer and brand; brands ending in 1 stand for blanks."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("cell"))
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_brand").endswith("1"), F.concat(F.lit("blank_"), "p_brand")).otherwise(F.col("p_brand")).alias("gene"))
     joined = orders.join(line, orders.o_orderkey == line.l_orderkey).join(part, line.l_partkey == part.p_partkey)
@@ -85,8 +85,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """round, fov, size: an event type is a round and a user a tile."""
-    events = table(spark, sf_dir, "events").where("ts < timestamp_ntz '2024-01-04 00:00:00'")
-    return events.select(F.col("event_type").alias("round"), F.col("user_id").alias("fov"), F.floor("value").cast("long").alias("size"))
+    return table(spark, sf_dir, "events").select(F.col("event_type").alias("round"), F.col("user_id").alias("fov"), F.floor("value").cast("long").alias("size"))
 
 
 def drifts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,10 +112,10 @@ SQL = {
     "cells": "cells AS (SELECT c_custkey AS cell, CAST(c_nationkey + 1 AS DOUBLE) AS volume, c_mktsegment AS \"cluster\" FROM customer)",
     "counts": """counts AS (
       SELECT o_custkey AS cell, CASE WHEN p_brand LIKE '%1' THEN concat('blank_', p_brand) ELSE p_brand END AS gene, count(*) AS n
-      FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderpriority = '1-URGENT' GROUP BY ALL)""",
+      FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL)""",
     "points": "points AS (SELECT vec_id AS id, floor(CAST(embedding[1] AS DOUBLE) * 4000) AS x, floor(CAST(embedding[2] AS DOUBLE) * 4000) AS y, CAST(label AS VARCHAR) AS label FROM embeddings)",
     "vectors": "vectors AS (SELECT vec_id AS id, list_transform(embedding, lambda v: floor(CAST(v AS DOUBLE) * 1000)) AS v, CAST(label AS VARCHAR) AS label FROM embeddings)",
-    "files": "files AS (SELECT event_type AS round, user_id AS fov, CAST(floor(value) AS BIGINT) AS size FROM events WHERE ts < TIMESTAMP '2024-01-04 00:00:00')",
+    "files": "files AS (SELECT event_type AS round, user_id AS fov, CAST(floor(value) AS BIGINT) AS size FROM events)",
     "drifts": "drifts AS (SELECT s_suppkey AS fov, CAST((s_suppkey % 5) - 2.5 AS DOUBLE) AS x_drift, CAST((s_suppkey % 3) - 1 AS DOUBLE) AS y_drift, CAST(s_suppkey % 4 + 1 AS INT) AS hyb_round FROM supplier)",
 }
 

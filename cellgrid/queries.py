@@ -162,7 +162,7 @@ def _mask_overlaps(s: SparkSession, d: str) -> DataFrame:
     return spatial.fov_overlaps(V.positions(s, d), pixels=V.SIDE)
 
 
-_CELLS = "cell_table AS (SELECT fov * 10000 + label AS cell_id, fov, label, count(*) AS volume, avg(a0) AS x, avg(a1) AS y FROM mask GROUP BY fov, label)"
+_CELLS = "cell_table AS (SELECT fov * 10000 + label AS cell_id, fov, label, count(*) AS volume, avg(a1) AS x, avg(a0) AS y FROM mask GROUP BY fov, label)"
 _strip = lambda t: f"SELECT concat_ws('-', fov_a, fov_b) AS pair, '{t}' AS tile, fov_{t} AS fov, coalesce({t}_x0, 0) AS x0, coalesce({V.SIDE} + {t}_x1, {V.SIDE}) AS x1, coalesce({t}_y0, 0) AS y0, coalesce({V.SIDE} + {t}_y1, {V.SIDE}) AS y1 FROM near_tiles"
 _SHARED = f"""{_overlap_sql('near_tiles', False, V.SIDE)}, strips AS ({_strip('a')} UNION ALL {_strip('b')}),
 strip_px AS (SELECT pair, tile, s.fov * 10000 + label AS cell_id, a0 - x0 AS r0, a1 - y0 AS r1 FROM mask m JOIN strips s USING (fov) WHERE a0 >= x0 AND a0 < x1 AND a1 >= y0 AND a1 < y1),
@@ -465,6 +465,22 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return dealt.groupBy("gene").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
 
 
+@query("p26_spatial_columns", f"{V.sql('mask', 'positions')}, {_CELLS} SELECT cell_id, round(220 * c.x / 2048 + p.y, 6) AS spatial_x, round(220 * c.y / 2048 - p.x, 6) AS spatial_y FROM cell_table c JOIN positions p USING (fov)")
+def _(s: SparkSession, d: str) -> DataFrame:
+    placed = cells.with_cell_global_xy(cells.cell_table(V.mask(s, d)), V.positions(s, d))
+    return r6(matrix.with_spatial(placed), "spatial_x", "spatial_y").select("cell_id", "spatial_x", "spatial_y")
+
+
+@query("a13_segmented_cells", f"{V.sql('mask', 'positions')}, {_CELLS}, n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM cell_table), f AS (SELECT count(*) AS f FROM positions) SELECT 'Segmented cells' AS metric, n AS value FROM n UNION ALL SELECT 'Segmented cells per FOV', round(n / nullif(f, 0), 6) FROM n, f")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return r6(cells.segmented_stats(cells.cell_table(V.mask(s, d)), V.positions(s, d).count()), "value")
+
+
+@query("j20_attach_labels", f"{V.sql('cells', 'counts')} SELECT cell, gene, n, \"cluster\" AS label FROM counts LEFT JOIN cells USING (cell)")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return matrix.attach_labels(V.counts(s, d), V.cells(s, d).select("cell", F.col("cluster").alias("label")))
+
+
 # --- quality tables ------------------------------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,26 @@ def files_of(files: DataFrame, organisation: DataFrame) -> DataFrame:
     return both.groupBy("channelName", "fov").agg(F.min("path").alias("path"))
 
 
+def files_by_pattern(files: DataFrame, organisation: DataFrame) -> DataFrame:
+    """(channelName, fov, path) by each channel's own imageRegExp, with any of the named groups imageType, fov and imagingRound.
+
+    A group that a pattern lacks asks for nothing; a channel without a pattern has no files; of several files of one channel and
+    tile the first path is taken. Patterns are those of the organisation's rows, one column expression for each distinct one.
+    """
+    rows = organisation.where(F.col("imageRegExp").isNotNull()).select("channelName", "imageRegExp", "imageType", F.col("imagingRound").cast("long").alias("imagingRound"))
+    name, found = F.element_at(F.split("path", "/"), -1), None
+    for r in rows.select("imageRegExp").distinct().collect():  # as many as the organisation names
+        pattern = re.sub(r"\(\?P<", "(?<", r.imageRegExp)
+        number = {g: i + 1 for i, g in enumerate(re.findall(r"(?<!\\)\((?:\?<(\w+)>|(?!\?))", pattern)) if g}
+        group = lambda g: F.regexp_extract(name, pattern, number[g]) if g in number else F.lit(None)  # noqa: B023, E731
+        part = files.where(name.rlike(pattern)).select("path", F.lit(r.imageRegExp).alias("imageRegExp"), group("imageType").cast("string").alias("_type"), group("fov").cast("long").alias("fov"), group("imagingRound").cast("long").alias("_round"))
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return files.sparkSession.createDataFrame([], "channelName string, fov long, path string")
+    fits = (F.col("_type").isNull() | (F.col("_type") == F.col("imageType"))) & (F.col("_round").isNull() | (F.col("_round") == F.col("imagingRound")))
+    return found.join(rows, "imageRegExp").where(fits).groupBy("channelName", "fov").agg(F.min("path").alias("path"))
+
+
 def load_image(spark: SparkSession, organisation: DataFrame, path: str, channel: str, z: int | None = None, fiducial: bool = False, project: bool = False) -> DataFrame:
     """The frames of one channel in a stack: its fiducial frame, one z slice, all slices, or their maximum.
 

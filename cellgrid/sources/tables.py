@@ -226,3 +226,15 @@ def write_bundle(tables: dict[str, DataFrame], path: str) -> None:
 
 def read_bundle(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{path}/{n}") for n in names}
+
+
+def write_stats(stats: DataFrame, path: str, overwrite: bool = False) -> None:
+    """Rows (metric, value), some dozens, as one flat JSON object, which read_stats reads; a metric without a value is left out."""
+    held = stats.where("value is not null").groupBy().agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", F.col("value").cast("double").alias("value"))))).alias("m"))
+    held.select(F.to_json("m").alias("value")).coalesce(1).write.mode("overwrite" if overwrite else "error").text(path)
+
+
+def has_positions(spark: SparkSession, folder: str, name: str = "positions.csv") -> bool:
+    """Whether an experiment's folder holds a positions file."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from cellgrid.operators import cells, design, graph, learn, matrix, qc
+from cellgrid.operators import cells, design, graph, learn, matrix, qc, spatial
 
 
 def rows_of(df, *columns):
@@ -25,7 +25,7 @@ def test_mutual_matches(spark):
 def test_masks(spark):
     mask = spark.createDataFrame([(1, 0, i, 1) for i in range(3)] + [(1, 5, 5, 2), (1, 9, 9, 0)], "fov long, a0 long, a1 long, label long")
     table = {r.cell_id: r for r in cells.cell_table(mask).collect()}
-    assert set(table) == {10001, 10002} and (table[10001].volume, table[10001].x, table[10001].y) == (3, 0.0, 1.0)
+    assert set(table) == {10001, 10002} and (table[10001].volume, table[10001].x, table[10001].y) == (3, 1.0, 0.0)
     assert cells.drop_small(mask, 2).count() == 3
     grown = cells.expand_labels(mask, 1, 20)
     assert rows_of(grown.where("label = 2"), "a0", "a1") == [(4, 5), (5, 4), (5, 5), (5, 6), (6, 5)]
@@ -170,3 +170,44 @@ def test_vector_queries_use_whole_embeddings(spark, tmp_path):
     assert len(run("m5_clusters")) == 60
     edges = {(min(i, j), max(i, j)) for i, j, _, _ in near if i % 3 != j % 3}
     assert sum(r.edges for r in run("m6_cluster_links")) == len(edges)
+
+
+def test_linked_cells_have_one_global_place(spark):
+    """The parts of a cell in two tiles lie in one place of the stage, along either of its axes."""
+    side, step, pixel = 22, 20, 2048 / 22
+    plane = {(r, c): 1 for r in range(18, 24) for c in range(3, 9)} | {(r, c): 2 for r in range(8, 14) for c in range(18, 24)}
+    rows = []
+    for fov, (down, right) in {0: (0, 0), 1: (1, 0), 2: (0, 1)}.items():
+        for (r, c), label in plane.items():
+            a0, a1 = r - down * step, c - right * step
+            if 0 <= a0 < side and 0 <= a1 < side:
+                rows.append((fov, a0, a1, label))
+    mask = spark.createDataFrame(rows, "fov long, a0 long, a1 long, label long")
+    positions = spark.createDataFrame([(0, 0.0, 0.0), (1, -200.0, 0.0), (2, 0.0, 200.0)], "fov long, x double, y double")
+    placed = {r.cell_id: (r.global_x, r.global_y) for r in cells.with_cell_global_xy(cells.cell_table(mask, pixel), positions).collect()}
+    links = dict(rows_of(cells.linked_cells(mask, spatial.fov_overlaps(positions, pixels=side), side), "cell_id", "root_id"))
+    assert links == {1: 1, 10001: 1, 2: 2, 20002: 2}
+    for a, b in ((1, 10001), (2, 20002)):
+        assert max(abs(x - y) for x, y in zip(placed[a], placed[b], strict=True)) <= 20  # half a cell, as each tile cuts it
+
+
+def test_spatial_columns_and_labels(spark):
+    both = spark.createDataFrame([(1, 1.0, 2.0, 3.0, 4.0)], "cell long, global_x double, global_y double, center_x double, center_y double")
+    at = lambda df: tuple(matrix.with_spatial(df).select("spatial_x", "spatial_y").first())
+    assert at(both) == (1.0, 2.0) and at(both.drop("global_x", "global_y")) == (3.0, 4.0) and at(both.select("cell")) == (None, None)
+    labels = spark.createDataFrame([(1, "a")], "cell long, label string")
+    rows = spark.createDataFrame([(1, "old"), (2, "old")], "cell long, label string")
+    assert rows_of(matrix.attach_labels(rows, labels), "cell", "label") == [(1, "a"), (2, None)]
+    stats = {r.metric: r.value for r in cells.segmented_stats(rows, 0).collect()}
+    assert stats == {"Segmented cells": 2.0, "Segmented cells per FOV": None}
+
+
+def test_component_count_of_a_planted_matrix(spark):
+    rng = np.random.default_rng(0)
+    x = 5 * np.repeat(rng.normal(size=(120, 2)), 4, axis=1) + rng.normal(size=(120, 8))  # four genes for each of two hidden numbers
+    rows = [(i, f"g{j}", float(x[i, j])) for i in range(120) for j in range(8)]
+    values = spark.createDataFrame(rows, "cell long, gene string, v double")
+    who = values.select("cell").distinct()
+    got = learn.variances(values.withColumn("round", F.lit(0)), who, learn.gene_order(values))[0]
+    assert np.allclose(got, np.linalg.eigvalsh(np.cov(x.T))[::-1])
+    assert learn.count_components(values, who, rounds=5) == 2

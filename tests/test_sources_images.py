@@ -56,6 +56,24 @@ def test_file_names(spark):
     assert [tuple(r) for r in found] == [(2, "/m/Fov-2_seg.pkl")]
 
 
+def test_files_by_pattern_and_stats(spark, tmp_path):
+    from cellgrid.sources import images
+
+    names = ["/d/zscan_2_007.dax", "/d/zscan_3_007.dax", "/d/prestain_007.dax", "/e/zscan_2_007.dax", "/d/other.txt"]
+    files = spark.createDataFrame([(n,) for n in names], "path string")
+    loose, strict = r"(?P<imageType>[a-z]+)_(?P<fov>[0-9]+)", r"(?P<imageType>[a-z]+)_(?P<imagingRound>[0-9]+)_(?P<fov>[0-9]+)"
+    org = spark.createDataFrame([("bit1", strict, "zscan", 2), ("bit2", strict, "zscan", 3), ("DAPI", "(?P<imageType>prestain)_" + "(?P<fov>[0-9]+)", "prestain", -1), ("none", None, "zscan", 1), ("odd", loose, "nowhere", 1)], "channelName string, imageRegExp string, imageType string, imagingRound int")
+    got = sorted(tuple(r) for r in images.files_by_pattern(files, org).collect())
+    assert got == [("DAPI", 7, "/d/prestain_007.dax"), ("bit1", 7, "/d/zscan_2_007.dax"), ("bit2", 7, "/d/zscan_3_007.dax")]
+    assert images.files_by_pattern(files, org.where("false")).collect() == []
+    stats = spark.createDataFrame([("FOVs", 3.0), ("x", 0.5), ("none", None)], "metric string, value double")
+    tables.write_stats(stats, str(tmp_path / "stats"))
+    assert dict(map(tuple, tables.read_stats(spark, str(tmp_path / "stats")).collect())) == {"FOVs": 3.0, "x": 0.5}
+    assert not tables.has_positions(spark, str(tmp_path))
+    (tmp_path / "positions.csv").write_text("1,2")
+    assert tables.has_positions(spark, str(tmp_path))
+
+
 def test_drifts(spark):
     eye = lambda x, y: [[1.0, 0.0, x], [0.0, 1.0, y], [0.0, 0.0, 1.0]]
     df = spark.createDataFrame([(4, [eye(1.0, 2.0), eye(3.0, -4.0)])], "fov long, matrices array<array<array<double>>>")
