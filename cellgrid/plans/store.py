@@ -15,8 +15,10 @@ _own: list[str] = []
 def cut(df: DataFrame, name: str = "plan") -> DataFrame:
     """The rows of df, written once and read back. Only where the session names no folder, as in tests, one of our own is made."""
     spark = df.sparkSession
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="cellgrid-plan-"))
             atexit.register(shutil.rmtree, _own[0], ignore_errors=True)
