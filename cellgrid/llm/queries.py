@@ -130,10 +130,10 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, coalesce(r, doc_id) AS component_id
         FROM sets LEFT JOIN (SELECT a, min(r) AS r FROM reach GROUP BY a) ON doc_id = a""",
     "op3_vantage_points": f"""
-        WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-        sound AS (SELECT vec_id, v, sqrt({_add('v', 'v')}) AS size FROM v WHERE v IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
-        scored AS (SELECT q.vec_id AS query_id, c.vec_id, {_add('q.v', 'c.v')} / (q.size * c.size) AS score FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
-        SELECT query_id, CAST(k AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM scored) WHERE k <= 5""",
+        WITH v AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        sound AS (SELECT r, vec_id, v, sqrt({_add('v', 'v')}) AS size FROM v WHERE v IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+        scored AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, {_add('q.v', 'c.v')} / (q.size * c.size) AS score FROM sound q JOIN sound c ON q.vec_id % 50 = 0 AND q.r <> c.r AND len(q.v) = len(c.v))
+        SELECT query_id, CAST(k AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM scored) WHERE k <= 5""",
     "op5_winnow_benchmark": f"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_LOW}, '{_ALNUM_WORDS}'), CAST([] AS VARCHAR[])) AS w FROM documents),
         b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOW}, '{_ALNUM_WORDS}') AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
