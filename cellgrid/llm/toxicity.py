@@ -2,9 +2,11 @@
 
 The kernel counts the common letter subsequences of two strings, each discounted by the stretch it
 spans, so an insult with gaps or inserted characters stays near the plain one.  A unit is a word
-without punctuation, a run of one-letter words put together, or a window of an overlong word; a text's
-score is a logistic link of its worst unit's margin and of how many units are on the toxic side.  Only a unit that shares a subsequence of the kernel's length with a landmark
-has a kernel value other than zero, which a bit-parallel longest common subsequence finds first.
+without punctuation, a run of one-letter words put together, or a window of an overlong word. The machine
+learns from labelled sentences, each of which stands for its worst unit; a text's score is a logistic link of
+its worst unit's margin and of how many units are on the toxic side.  Only a unit that shares a subsequence of
+the kernel's length with a landmark has a kernel value other than zero, which a bit-parallel longest common
+subsequence finds first.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard as zstd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,9 @@ WINDOW = 24
 #: Landmarks are at most this long: a state of the common subsequence fits 16 bits.
 LANDMARK = 16
 
+#: A sentence of a toxic document is shown as toxic if its unit's kernel with a landmark is over the first; a clean sentence teaches something over the second.
+NEAR, FAR = 0.5, 0.1
+
 _PUNCTUATION = byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
 
@@ -186,20 +193,25 @@ def text_signs(margin: np.ndarray, doc: np.ndarray, n: int, offset: float, times
     return np.column_stack([np.tanh(worst), np.log1p(toxic), 10 * toxic / (np.bincount(doc, times, n) + 10)])
 
 
-def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, sweeps: int = 60) -> tuple[np.ndarray, float]:
-    """A linear support vector machine with hinge loss, by dual coordinate descent; the last weight is the offset's."""
+def _svm(x: np.ndarray, y: np.ndarray, cost: np.ndarray, steps: int = 60) -> tuple[np.ndarray, float]:
+    """A linear support vector machine with squared hinge loss, by Newton's steps over the examples inside the margin; the last
+    weight is the offset's."""
     z = np.column_stack([x, np.ones(len(x))]) * y[:, None]
-    a, w, norm = np.zeros(len(z)), np.zeros(z.shape[1]), (z * z).sum(1)
-    rng = np.random.default_rng(11)
-    for _ in range(sweeps):
-        moved = 0.0
-        for i in rng.permutation(len(z)):
-            new = min(max(a[i] - (z[i] @ w - 1) / norm[i], 0.0), cost[i])
-            if new != a[i]:
-                w += (new - a[i]) * z[i]
-                moved = max(moved, abs(new - a[i]))
-                a[i] = new
-        if moved < 1e-4:
+    w = np.zeros(z.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        return float(w @ w + (cost * np.maximum(1 - z @ w, 0) ** 2).sum()) / 2
+
+    for _ in range(steps):
+        short = 1 - z @ w
+        some = short > 0
+        c, inside = cost[some], z[some]
+        step = np.linalg.solve(np.eye(len(w)) + (inside * c[:, None]).T @ inside, w - inside.T @ (c * short[some]))
+        size, now = 1.0, loss(w)
+        while size > 1e-6 and loss(w - size * step) > now:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     return w[:-1], float(w[-1])
 
@@ -226,15 +238,78 @@ def _link(signs: np.ndarray, y: np.ndarray) -> np.ndarray:
     return v
 
 
-def fit_toxicity(texts: list[str | None], labels: list[int], n_landmarks: int = 32, most_clean: int = 8000) -> ToxicModel:
-    """Fit on whole texts and 0/1 labels. A unit is toxic where far more toxic than clean texts hold it; texts that repeat count once."""
-    once = sorted({(t or "", int(v > 0)) for t, v in zip(texts, labels, strict=True)})
-    y = np.array([v for _, v in once], dtype=np.float64)
-    rows, u, d, times = _unit_counts([t for t, _ in once])
-    bad, good = np.bincount(u, y[d], len(rows)), np.bincount(u, 1 - y[d], len(rows))
+@dataclass
+class Bags:
+    """Labelled sentences as sets of units: the distinct units, a row (unit, sentence, times) for each unit of a sentence, the
+    document of each sentence, and each document's label and a hash of its text."""
+
+    rows: np.ndarray
+    unit: np.ndarray
+    sentence: np.ndarray
+    times: np.ndarray
+    doc: np.ndarray
+    label: np.ndarray
+    tid: np.ndarray
+
+
+def sentences(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The sentences of texts and the text number of each: cut after . ! ? before white space, and at line ends. Null has none."""
+    parts = pc.split_pattern_regex(pc.fill_null(texts.cast(pa.string()), ""), pattern=r"[.!?]+[ \t]+|[\r\n]+")
+    return parts.flatten(), np.repeat(np.arange(len(texts)), parts.value_lengths().to_numpy(zero_copy_only=False))
+
+
+def bags_of(texts: pa.Array, labels: np.ndarray, tids: np.ndarray) -> Bags:
+    parts, doc = sentences(texts)
+    rows, place, sentence = distinct_units(parts)
+    pair, times = np.unique(sentence.astype(np.int64) * max(len(rows), 1) + place, return_counts=True)
+    return Bags(rows, pair % max(len(rows), 1), pair // max(len(rows), 1), times, doc, labels, tids)
+
+
+def merged_bags(parts: list[Bags]) -> Bags:
+    """One table of all; documents go by the hash of their text and their label, and those of one hash and label count once."""
+    if not parts:
+        return Bags(np.zeros((0, WINDOW), np.uint8), *(np.zeros(0, np.int64) for _ in range(6)))
+    rows, place = np.unique(np.concatenate([p.rows for p in parts]).view(f"S{WINDOW}").reshape(-1), return_inverse=True)
+    shift = lambda sizes: np.concatenate([[0], np.cumsum(sizes)])
+    us, ss, ds = shift([len(p.rows) for p in parts]), shift([len(p.doc) for p in parts]), shift([len(p.label) for p in parts])
+    unit = np.concatenate([place[us[i] + p.unit] for i, p in enumerate(parts)])
+    sentence = np.concatenate([p.sentence + ss[i] for i, p in enumerate(parts)])
+    doc = np.concatenate([p.doc + ds[i] for i, p in enumerate(parts)])
+    label, tid = np.concatenate([p.label for p in parts]), np.concatenate([p.tid for p in parts])
+    _, first = np.unique(np.stack([tid, label]), axis=1, return_index=True)
+    number = np.full(len(label), -1)
+    number[first] = np.arange(len(first))
+    live = number[doc] >= 0
+    order = np.argsort(number[doc[live]], kind="stable")
+    again = np.full(len(doc), -1)
+    again[np.flatnonzero(live)[order]] = np.arange(int(live.sum()))
+    ok = again[sentence] >= 0
+    by = np.lexsort((unit[ok], again[sentence[ok]]))
+    times = np.concatenate([p.times for p in parts])
+    return Bags(rows.view(np.uint8).reshape(-1, WINDOW), unit[ok][by], again[sentence[ok]][by], times[ok][by], number[doc[live]][order], label[first], tid[first])
+
+
+def fit_toxicity(texts: list[str | None], labels: list[int], n_landmarks: int = 32) -> ToxicModel:
+    """Fit on whole texts and 0/1 labels."""
+    return fit_bags(merged_bags([bags_of(pa.array(texts, pa.string()), np.array(labels, dtype=np.int64), np.arange(len(texts)))]), n_landmarks)
+
+
+def fit_bags(bags: Bags, n_landmarks: int = 32, rounds: int = 3) -> ToxicModel:
+    """A multiple-instance support vector machine on labelled sentences (Andrews et al. 2003).
+
+    A sentence stands for its unit of the largest margin. Sentences of clean documents are clean; those of toxic documents are
+    toxic where that unit's kernel with a landmark is over NEAR, as a toxic document has clean sentences too. The machine
+    learns both apart, then the units are chosen anew by its margins, for some rounds. Landmarks are units that far more
+    toxic than clean documents hold, unlike each other; each is also shown with one inserted letter.
+    """
+    rows, y = bags.rows, (bags.label > 0).astype(np.float64)
+    d = bags.doc[bags.sentence]
+    n_units = max(len(rows), 1)
+    held = np.unique(d * n_units + bags.unit)
+    bad, good = (np.bincount(held % n_units, w[held // n_units], len(rows)) for w in (y, 1 - y))
     odds = np.log((bad + 0.5) / (y.sum() + 1)) - np.log((good + 0.5) / ((1 - y).sum() + 1))
     size = (rows > 0).sum(1)
-    weight = np.where((size >= LENGTH) & (size <= LANDMARK) & (bad >= 4) & (odds > 2), bad * odds, 0)
+    weight = np.where((size >= LENGTH) & (size <= LANDMARK) & (bad >= 2) & (odds > 2), bad * odds, 0)
     chosen = _landmarks(rows, weight, n_landmarks)
     if not len(chosen):
         p = (y.sum() + 1) / (len(y) + 2)
@@ -247,38 +322,27 @@ def fit_toxicity(texts: list[str | None], labels: list[int], n_landmarks: int =
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     sound = value > 1e-6
     root = vector[:, sound] / np.sqrt(value[sound])  # Nystroem: features whose dot products are the kernel on the landmarks
-    toxic = np.union1d(chosen, np.flatnonzero((bad >= 4) & (odds > 2) & k.any(1)))
-    clean = np.setdiff1d(np.flatnonzero((good > 0) & (odds < 1) & k.any(1)), toxic)
-    clean = clean[np.lexsort((clean, -k[clean].max(1)))][:most_clean]
     near = model.kernel(_stretched(rows[chosen]))
-    x = np.vstack([k[toxic], near, k[clean], np.zeros((1, k.shape[1]))]) @ root
-    n_bad = len(toxic) + len(near)
-    side = np.concatenate([np.ones(n_bad), -np.ones(len(x) - n_bad)])
-    cost = np.where(side > 0, 10.0 * max(1.0, (len(x) - n_bad) / max(n_bad, 1)), 10.0)
-    w, model.offset = _svm(x, side, cost)
-    model.alpha = root @ w
-    model.link = _link(text_signs((k @ model.alpha + model.offset)[u], d, len(y), model.offset, times), y)
+    margin = k.max(1) - good / max(good.max(), 1)  # before a machine is there: likeness to a landmark, less for what clean documents hold
+    toxic_doc = y[d] > 0
+    for _ in range(rounds):
+        plus, minus = (np.unique(_best(bags.unit[of], bags.sentence[of], margin)) for of in (toxic_doc, ~toxic_doc))
+        plus, minus = plus[k[plus].max(1) > NEAR], minus[k[minus].max(1) > FAR]
+        x = np.vstack([k[plus], near, k[minus], np.zeros((1, k.shape[1]))]) @ root
+        side = np.concatenate([np.ones(len(plus) + len(near)), -np.ones(len(minus) + 1)])
+        cost = np.where(side > 0, max(1.0, (side < 0).sum() / max((side > 0).sum(), 1)), 1.0)
+        w, model.offset = _svm(x, side, cost)
+        model.alpha = root @ w
+        margin = k @ model.alpha + model.offset
+    model.link = _link(text_signs(margin[bags.unit], d, len(y), model.offset, bags.times.astype(np.float64)), y)
     return model
 
 
-def _unit_counts(texts: list[str], most: int = 1 << 19) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct unit rows, and for each pair of a text and a unit: unit number, text number, count), read in slices of `most` characters."""
-    found, at, held, since = [], [], 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= most or i == len(texts) - 1:
-            rows, place, doc = distinct_units(pa.array(texts[since : i + 1], type=pa.string()))
-            n = max(len(rows), 1)
-            pair, times = np.unique(doc.astype(np.int64) * n + place, return_counts=True)
-            found.append(rows)
-            at.append((pair % n, pair // n + since, times))
-            held, since = 0, i + 1
-    if not found:
-        return np.zeros((0, WINDOW), np.uint8), *(np.zeros(0, np.int64) for _ in range(3))
-    rows, place = np.unique(np.concatenate(found).view(f"S{WINDOW}").reshape(-1), return_inverse=True)
-    shift = np.concatenate([[0], np.cumsum([len(f) for f in found])])
-    u = np.concatenate([place[shift[i] + x] for i, (x, _, _) in enumerate(at)])
-    return rows.view(np.uint8).reshape(-1, WINDOW), u, np.concatenate([x[1] for x in at]), np.concatenate([x[2] for x in at]).astype(np.float64)
+def _best(unit: np.ndarray, group: np.ndarray, margin: np.ndarray) -> np.ndarray:
+    """The unit of the largest margin of each group, the first of equals."""
+    order = np.lexsort((unit, -margin[unit], group))
+    g = group[order]
+    return unit[order][np.concatenate([[True], g[1:] != g[:-1]])] if len(g) else unit
 
 
 def _landmarks(rows: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
@@ -308,18 +372,29 @@ def _stretched(rows: np.ndarray) -> np.ndarray:
     return np.array(out, dtype=np.uint8).reshape(-1, WINDOW)
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = 3000, most_bytes: int = 1 << 17, folds: int = 5, held_out: int = 0, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = 3000, folds: int = 5, held_out: int = 0, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicModel:
     """Fit on at most `most` labelled documents of each label outside the held-out fold, chosen by a hash of the id.
 
-    The bounds on rows and on the bytes of a text limit only what is fitted on, never what is scored. Rows whose
-    label is null are left out.
+    The bound on rows limits only what is fitted on, never what is scored. Whole texts of any length become sentences of
+    distinct units where they lie; only these reach the driver. Rows whose label is null are left out; without labels,
+    without toxic ones or without landmarks, every score is the smoothed share of toxic documents.
     """
     given = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & (fold(doc_id, folds) != held_out)).select(F.col(doc_id).alias("doc_id"), (F.col(label) > 0).cast("int").alias("label"))
     few = [r for v in (0, 1) for r in given.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
     chosen = docs.sparkSession.createDataFrame(few, given.schema)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").where(F.octet_length("text") <= most_bytes)
-    got = sorted(((r.doc_id, r.text, r.label) for r in rows.collect()), key=lambda r: (r[0], r[1], r[2]))
-    return fit_toxicity([r[1] for r in got], [r[2] for r in got])
+    whole = F.col(text).cast("string")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("tid")).join(F.broadcast(chosen), "doc_id").select("text", "label", "tid")
+    kinds = {"rows": np.uint8, "unit": np.int64, "sentence": np.int64, "times": np.int64, "doc": np.int64, "label": np.int64, "tid": np.int64}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "text"):
+            bags = bags_of(b.column(0), b.column(1).to_numpy(), b.column(2).to_numpy())
+            packed = [zstd.ZstdCompressor(1).compress(np.ascontiguousarray(getattr(bags, c).astype(t)).tobytes()) for c, t in kinds.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed], names=list(kinds))
+
+    got = rows.mapInArrow(run, ", ".join(f"{c} binary" for c in kinds)).toArrow().to_pylist()
+    parts = [Bags(**{c: np.frombuffer(zstd.ZstdDecompressor().decompress(r[c]), t).reshape((-1, WINDOW) if c == "rows" else -1) for c, t in kinds.items()}) for r in got]
+    return fit_bags(merged_bags(parts))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -76,6 +76,54 @@ def test_toxicity_on_the_held_out_fold_with_stretched_insults(spark):
     assert 0 < train_toxicity(docs, labels.where("false")).scores(pa.array(["vugmok"]))[0] < 1
 
 
+def test_sentences_and_bags():
+    texts = pa.array(["One two. Two, three!\nfour", None, "", "one two. two three! four", "e.g. v1.2 x"])
+    parts, doc = tox.sentences(texts)
+    assert [(d, p) for d, p in zip(doc.tolist(), parts.to_pylist(), strict=True) if p] == [(0, "One two"), (0, "Two, three!"), (0, "four"), (3, "one two"), (3, "two three"), (3, "four"), (4, "e.g"), (4, "v1.2 x")]
+    halves = [tox.bags_of(texts[:2], np.array([1, 0]), np.array([7, 8])), tox.bags_of(texts[2:4], np.array([0, 1]), np.array([9, 7]))]
+    one = tox.merged_bags(halves)  # texts of one hash and label count once
+    words = [bytes(r[r > 0]).decode() for r in one.rows]
+    held = {(int(one.tid[one.doc[s]]), words[u], int(t)) for u, s, t in zip(one.unit, one.sentence, one.times, strict=True)}
+    assert held == {(7, w, 1) for w in ("one", "two", "three", "four")} and len(one.unit) == 5 and sorted(one.tid.tolist()) == [7, 8, 9]
+    other = tox.merged_bags(halves[::-1])  # the order in which tasks report plays no part
+    assert all((getattr(one, c) == getattr(other, c)).all() for c in ("rows", "unit", "sentence", "times", "doc", "label", "tid"))
+    assert len(tox.merged_bags([]).rows) == 0
+
+
+def test_text_scores_equal_a_plain_version(spark):
+    model = train_toxicity(*labelled(spark))
+    texts = ["so vugmok it", "Vug-mok! lest in tears", "v u g m o k", "plain words of no harm", "", None, "x" * 60 + " vugmok", "tear " * 50]
+    for t, got in zip(texts, model.scores(pa.array(texts)), strict=True):
+        rows, place, _ = tox.distinct_units(pa.array([t]))
+        margins = []
+        for r in rows[place] if len(place) else []:
+            w = bytes(r[r > 0]).decode("latin1")
+            value = 0.0
+            for mark, own, a in zip(model.landmarks, model.own, model.alpha, strict=True):
+                m = bytes(mark[mark > 0]).decode("latin1")
+                k = plain_kernel(w, m) / math.sqrt((plain_kernel(w, w) or 1.0) * own)
+                value += a * k
+            margins.append(value + model.offset)
+        hits = sum(min(max(m, 0), 1) for m in margins)
+        x = [math.tanh(max([model.offset, *margins])), math.log1p(hits), 10 * hits / (len(margins) + 10), 1]
+        z = float(np.dot(x, model.link))
+        assert got == pytest.approx(1 / (1 + math.exp(-min(max(z, -30), 30))), abs=2e-3)
+
+
+def plain_kernel(s, t, p=tox.LENGTH, decay=tox.DECAY):
+    """The kernel by its recursion, cell by cell."""
+    before = [[1.0] * (len(t) + 1) for _ in range(len(s) + 1)]
+    for _ in range(p - 1):
+        now = [[0.0] * (len(t) + 1) for _ in range(len(s) + 1)]
+        for i in range(1, len(s) + 1):
+            run = 0.0
+            for j in range(1, len(t) + 1):
+                run = decay * run + (decay * decay * before[i - 1][j - 1] if s[i - 1] == t[j - 1] else 0.0)
+                now[i][j] = decay * now[i - 1][j] + run
+        before = now
+    return decay * decay * sum(before[i][j] for i in range(len(s)) for j in range(len(t)) if s[i] == t[j])
+
+
 def test_spaced_runs_are_read_to_their_end(spark):
     for n in [*range(4, 62), 300]:
         letters = "".join(chr(97 + i % 26) for i in range(n))
