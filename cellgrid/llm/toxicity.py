@@ -330,7 +330,7 @@ def fit_bags(bags: Bags, n_landmarks: int = 32, rounds: int = 3) -> ToxicModel:
         plus, minus = plus[k[plus].max(1) > NEAR], minus[k[minus].max(1) > FAR]
         x = np.vstack([k[plus], near, k[minus], np.zeros((1, k.shape[1]))]) @ root
         side = np.concatenate([np.ones(len(plus) + len(near)), -np.ones(len(minus) + 1)])
-        cost = np.where(side > 0, max(1.0, (side < 0).sum() / max((side > 0).sum(), 1)), 1.0)
+        cost = 10.0 * np.where(side > 0, max(1.0, (side < 0).sum() / max((side > 0).sum(), 1)), 1.0)
         w, model.offset = _svm(x, side, cost)
         model.alpha = root @ w
         margin = k @ model.alpha + model.offset
