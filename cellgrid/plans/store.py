@@ -17,7 +17,7 @@ def cut(df: DataFrame, name: str = "plan") -> DataFrame:
     spark = df.sparkSession
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="cellgrid-plan-"))
