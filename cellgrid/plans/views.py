@@ -93,6 +93,44 @@ def drifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(key.alias("fov"), ((key % 5) - 2.5).cast("double").alias("x_drift"), ((key % 3) - 1.0).cast("double").alias("y_drift"), (key % 4 + 1).cast("int").alias("hyb_round"))
 
 
+def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One small frame of 16-bit pixels for each tile: fov, height, width, pixels."""
+    key, a0, a1 = F.col("s_suppkey"), lambda p: F.floor(p / SIDE), lambda p: p % SIDE
+    low = lambda p: F.lpad(F.hex((key * 31 + a0(p) * 17 + a1(p) * 7 + a0(p) * a1(p) * key) % 251), 2, "0")
+    raw = F.unhex(F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1)), lambda p: F.concat(low(p), F.lit("00")))))
+    return table(spark, sf_dir, "supplier").select(key.alias("fov"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"), raw.alias("pixels"))
+
+
+def bright(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """frames of the mask: pixels of cells are 200, all others 10."""
+    cell = F.sort_array(F.collect_set((F.col("a0") * SIDE + F.col("a1")).cast("int")))
+    each = mask(spark, sf_dir).groupBy("fov").agg(cell.alias("at"))
+    raw = F.unhex(F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1)), lambda p: F.when(F.array_contains("at", p), "C800").otherwise("0A00"))))
+    return each.select("fov", F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"), raw.alias("pixels"))
+
+
+def moved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fov, bit, height, width, fixed, moved: each quadrant of `moved` is that of `fixed`, rolled back by (fov % 3 - 1, fov % 5 - 2)."""
+    key, half = F.col("s_suppkey"), SIDE // 2
+    dy, dx = F.pmod(key, F.lit(3)) - 1, F.pmod(key, F.lit(5)) - 2
+
+    def raw(y, x):
+        def low(p):
+            r, c = F.pmod(F.floor(p / SIDE) + y, F.lit(half)), F.pmod(p % SIDE + x, F.lit(half))
+            return F.concat(F.lpad(F.hex((r * 131 + c * 71 + r * c * 37 + r * r * c * 13) * 7919 % 251), 2, "0"), F.lit("00"))
+
+        return F.unhex(F.concat_ws("", F.transform(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1)), low)))
+
+    size = F.lit(SIDE)
+    return table(spark, sf_dir, "supplier").select(key.alias("fov"), F.lit(1).alias("bit"), size.alias("height"), size.alias("width"), raw(F.lit(0), F.lit(0)).alias("fixed"), raw(dy, dx).alias("moved"))
+
+
+def shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fov, bit, dy, dx: many measured shifts of each tile and bit, of a spread that grows with the bit."""
+    wide = 20 + 10 * F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("fov"), F.col("l_linenumber").alias("bit"), (F.col("l_partkey") * 7 % wide).cast("double").alias("dy"), (F.col("l_orderkey") * 3 % wide).cast("double").alias("dx"))
+
+
 _SELECTED = ", ".join(f"('{n}', '{i}', {r}, {c})" for n, i, r, c in CODES)
 SQL = {
     "molecules": """molecules AS (
@@ -116,6 +154,8 @@ SQL = {
     "points": "points AS (SELECT vec_id AS id, floor(CAST(embedding[1] AS DOUBLE) * 4000) AS x, floor(CAST(embedding[2] AS DOUBLE) * 4000) AS y, CAST(label AS VARCHAR) AS label FROM embeddings)",
     "vectors": "vectors AS (SELECT vec_id AS id, list_transform(embedding, lambda v: floor(CAST(v AS DOUBLE) * 1000)) AS v, CAST(label AS VARCHAR) AS label FROM embeddings)",
     "files": "files AS (SELECT event_type AS round, user_id AS fov, CAST(floor(value) AS BIGINT) AS size FROM events)",
+    "frames": f"frames AS (SELECT s_suppkey AS fov, p // {SIDE} AS a0, p % {SIDE} AS a1, (s_suppkey * 31 + (p // {SIDE}) * 17 + (p % {SIDE}) * 7 + (p // {SIDE}) * (p % {SIDE}) * s_suppkey) % 251 AS v FROM supplier, range({SIDE * SIDE}) t(p))",
+    "shifts": "shifts AS (SELECT l_suppkey AS fov, l_linenumber AS bit, CAST(l_partkey * 7 % (20 + 10 * l_linenumber) AS DOUBLE) AS dy, CAST(l_orderkey * 3 % (20 + 10 * l_linenumber) AS DOUBLE) AS dx FROM lineitem)",
     "drifts": "drifts AS (SELECT s_suppkey AS fov, CAST((s_suppkey % 5) - 2.5 AS DOUBLE) AS x_drift, CAST((s_suppkey % 3) - 1 AS DOUBLE) AS y_drift, CAST(s_suppkey % 4 + 1 AS INT) AS hyb_round FROM supplier)",
 }
 

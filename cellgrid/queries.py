@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.operators import cells, codebook, design, learn, matrix, molecules, qc, spatial
+from cellgrid.operators import cells, codebook, design, image, learn, matrix, molecules, qc, spatial
 from cellgrid.plans import views as V
+from cellgrid.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,7 +57,7 @@ def _(s: SparkSession, d: str) -> DataFrame:
 
 @query("a2_count_by_fov", f"{V.sql('molecules')} SELECT fov, count(*) AS n FROM molecules GROUP BY fov")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return V.molecules(s, d).groupBy("fov").agg(F.count(F.lit(1)).alias("n"))
+    return tables.raw_count(V.molecules(s, d))
 
 
 _BITS = f"""grouped AS (SELECT gene, error_bit, error_type, count(*) AS n FROM molecules GROUP BY ALL),
@@ -605,3 +608,148 @@ _URL = r"'^https?://([^/]+)/([a-z]+)/([0-9]+)'"
 def _(s: SparkSession, d: str) -> DataFrame:
     pattern = _URL.strip("'")
     return V.table(s, d, "pages").select("page_id", F.regexp_extract("url", pattern, 2).alias("round"), F.nullif(F.regexp_extract("url", pattern, 3), F.lit("")).cast("long").alias("fov"))
+
+
+# --- images --------------------------------------------------------------------------------------------------------
+
+
+def _floats(frames: DataFrame) -> DataFrame:
+    """fov, a0, a1, v of frames of 64-bit floats."""
+
+    def run(batches):
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                v = np.frombuffer(r.pixels, "<f8")
+                at = np.arange(len(v))
+                yield pd.DataFrame({"fov": r.fov, "a0": at // r.width, "a1": at % r.width, "v": v})
+
+    return r6(frames.select("fov", "width", "pixels").mapInPandas(run, "fov long, a0 long, a1 long, v double"), "v")
+
+
+_SIGMA, _BOX, _LAST = 1.0, 4, V.SIDE - 1
+_BLUR = f"""taps AS (SELECT i, exp(-CAST(i * i AS DOUBLE) / (2 * {_SIGMA} * {_SIGMA})) AS g FROM range(-2, 3) t(i)),
+kernel AS (SELECT i, g / (SELECT sum(g) FROM taps) AS g FROM taps),
+blurred AS (SELECT f.fov, f.a0, f.a1, any_value(f.v) AS v, sum(a.g * b.g * n.v) AS low FROM frames f, kernel a, kernel b, frames n
+  WHERE n.fov = f.fov AND n.a0 = least(greatest(f.a0 + a.i, 0), {_LAST}) AND n.a1 = least(greatest(f.a1 + b.i, 0), {_LAST}) GROUP BY ALL)"""
+
+
+@query("i1_low_pass", f"{V.sql('frames')}, {_BLUR} SELECT fov, a0, a1, round(low, 6) AS v FROM blurred")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return _floats(image.over_frames(V.frames(s, d), lambda a: image.low_pass(a, _SIGMA)))
+
+
+@query("i2_high_pass", f"{V.sql('frames')}, {_BLUR} SELECT fov, a0, a1, round(greatest(v - low, 0), 6) AS v FROM blurred")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return _floats(image.over_frames(V.frames(s, d), lambda a: image.high_pass(a, _SIGMA)))
+
+
+@query("i3_flat_field", f"""{V.sql('frames')}, boxes AS (SELECT f.fov, f.a0, f.a1, any_value(f.v) AS v, avg(n.v) AS mean FROM frames f, range(-2, 2) a(i), range(-2, 2) b(j), frames n
+WHERE n.fov = f.fov AND n.a0 = least(greatest(f.a0 + i, 0), {_LAST}) AND n.a1 = least(greatest(f.a1 + j, 0), {_LAST}) GROUP BY ALL)
+SELECT fov, a0, a1, round(coalesce(v / nullif(mean, 0), 0), 6) AS v FROM boxes""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return _floats(image.over_frames(V.frames(s, d), lambda a: image.flat_field(a, _BOX)))
+
+
+@query("i4_median_image", f"{V.sql('frames')} SELECT a0, a1, median(v) AS value FROM frames GROUP BY a0, a1")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return image.median_image(V.frames(s, d))
+
+
+@query("s19_max_projection", f"{V.sql('frames')} SELECT row, a0, a1, max(v) AS value FROM (SELECT fov % 10 AS row, * FROM frames) GROUP BY ALL")
+def _(s: SparkSession, d: str) -> DataFrame:
+    rows = V.frames(s, d).withColumn("row", F.col("fov") % 10)
+    return image.pixels(image.max_projection(rows, "row"), "row")
+
+
+@query("i5_segment", f"""{V.sql('mask')}, placed AS (SELECT fov, a0, a1, ((fov // 10) * {V.PITCH} + a0) // 5 AS r, ((fov % 10) * {V.PITCH} + a1) // 5 AS c FROM mask),
+firsts AS (SELECT fov, r, c, row_number() OVER (PARTITION BY fov ORDER BY min(a0 * {V.SIDE} + a1)) AS label FROM placed GROUP BY fov, r, c)
+SELECT fov, a0, a1, label FROM placed JOIN firsts USING (fov, r, c)""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return image.segment(V.bright(s, d), lambda a: image.threshold_cells(a, 100))
+
+
+@query("i9_quadrant_shifts", "SELECT s_suppkey AS fov, 1 AS bit, CAST(q AS INT) AS quadrant, CAST(s_suppkey % 3 - 1 AS DOUBLE) AS dy, CAST(s_suppkey % 5 - 2 AS DOUBLE) AS dx FROM supplier, range(4) t(q)")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return image.drift_quadrants(V.moved(s, d))
+
+
+@query("a23_robust_drift", f"""{V.sql('shifts')}, stats AS (SELECT fov, bit, avg(dy) AS my, avg(dx) AS mx, stddev_pop(dy) AS py, stddev_pop(dx) AS px, greatest(coalesce(stddev_samp(dy), 0), coalesce(stddev_samp(dx), 0)) AS wide FROM shifts GROUP BY fov, bit)
+SELECT fov, bit, median(dy) AS dy, median(dx) AS dx FROM shifts JOIN stats USING (fov, bit)
+WHERE wide <= 15 OR (coalesce(abs((dy - my) / nullif(py, 0)), 0) < 1.25 AND coalesce(abs((dx - mx) / nullif(px, 0)), 0) < 1.25) GROUP BY fov, bit""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return image.robust_drift(V.shifts(s, d))
+
+
+@query("i10_translate", f"{V.sql('frames')} SELECT f.fov, f.a0, f.a1, CAST(coalesce(n.v, 0) AS DOUBLE) AS v FROM frames f LEFT JOIN frames n ON n.fov = f.fov AND n.a0 = f.a0 - 3 AND n.a1 = f.a1 + 2")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return _floats(image.over_frames(V.frames(s, d), lambda a: image.translate(a, 3, -2)))
+
+
+# --- names, codes and rows -----------------------------------------------------------------------------------------
+
+
+@query("p1_columns_like", "SELECT p_partkey, len(concat(p_name)) + p_size + len(p_brand) AS width FROM part")
+def _(s: SparkSession, d: str) -> DataFrame:
+    part = V.table(s, d, "part")
+    widths = {c: F.length(c) if dict(part.dtypes)[c] == "string" else F.col(c) for c in ("p_name", "p_size", "p_brand")}
+    renamed = part.select("p_partkey", *[widths[c].alias(f"bit{i + 1}") for i, c in enumerate(widths)])
+    return renamed.select("p_partkey", sum((F.col(c) for c in codebook.columns_like(renamed, "bit")), F.lit(0)).cast("long").alias("width"))
+
+
+@query("p6_status", f"{V.sql('intensities')} SELECT 'unprocessed' AS status, count(*) AS n FROM intensities")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return codebook.decode(V.intensities(s, d), codebook.expand(V.codebook(s))).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("p18_scaled_cells", f"{V.sql('mask')}, {_CELLS} SELECT cell_id, volume, round(x * 0.108, 6) AS x, round(y * 0.108, 6) AS y FROM cell_table")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return r6(cells.cell_table(V.mask(s, d), 0.108), "x", "y").select("cell_id", "volume", "x", "y")
+
+
+@query("p23_without_names", f"{V.sql('counts')} SELECT cell, gene, n FROM counts WHERE NOT ends_with(gene, '2') AND NOT ends_with(gene, '55') AND gene NOT IN ('Brand#13', 'Brand#24')")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return matrix.without_names(V.counts(s, d), ["2", "55"], ["Brand#13", "Brand#24"])
+
+
+@query("m11_marker_subset", f"{V.sql('counts')} SELECT * FROM counts WHERE gene IN ('Brand#12', 'Brand#13', 'Brand#34')")
+def _(s: SparkSession, d: str) -> DataFrame:
+    markers = s.createDataFrame([("a", ["Brand#12", "Brand#13"]), ("b", ["Brand#13", "Brand#34", "absent"])], "cluster string, markers array<string>")
+    return matrix.marker_subset(V.counts(s, d), markers)
+
+
+@query("j21_silhouette_loss", """WITH o AS (SELECT c_mktsegment AS "cluster", avg(c_acctbal) AS original FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1), r AS (SELECT c_mktsegment AS "cluster", avg(c_nationkey) AS reduced FROM customer WHERE c_mktsegment <> 'MACHINERY' GROUP BY 1)
+SELECT "cluster", round(CAST(original AS DOUBLE), 6) AS original, round(CAST(reduced AS DOUBLE), 6) AS reduced, round(CAST(original - reduced AS DOUBLE), 6) AS loss FROM o FULL JOIN r USING ("cluster")""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    rows = lambda value: V.table(s, d, "customer").select(F.col("c_mktsegment").alias("cluster"), F.col(value).cast("double").alias("silhouette"))
+    return r6(learn.silhouette_loss(rows("c_acctbal").where("cluster <> 'BUILDING'"), rows("c_nationkey").where("cluster <> 'MACHINERY'")), "original", "reduced", "loss")
+
+
+@query("j23_channel_row", "SELECT n_name AS channelName, n_regionkey AS imagingRound, n_nationkey AS bitNumber FROM nation WHERE n_regionkey = 2 ORDER BY n_nationkey LIMIT 1")
+def _(s: SparkSession, d: str) -> DataFrame:
+    named = V.table(s, d, "nation").select(F.concat(F.lit("BIT"), "n_regionkey").alias("channelName"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("imagingRound"), F.col("n_nationkey").alias("bitNumber"))
+    return tables.channel_row(named, "bit2").select(F.col("name").alias("channelName"), "imagingRound", "bitNumber")
+
+
+@query("s10_drift_rows", "SELECT s_suppkey AS fov, CAST(b AS INT) AS bit, CAST(s_suppkey % 7 + b AS DOUBLE) AS x_drift, CAST(s_suppkey % 5 - b AS DOUBLE) AS y_drift FROM supplier, range(1, 4) t(b)")
+def _(s: SparkSession, d: str) -> DataFrame:
+    key, num = F.col("s_suppkey"), lambda c: c.cast("double")
+    one = lambda b: F.array(F.array(F.lit(1.0), F.lit(0.0), num(key % 7 + b)), F.array(F.lit(0.0), F.lit(1.0), num(key % 5 - b)), F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0)))
+    return tables.drift_rows(V.table(s, d, "supplier").select(key.alias("fov"), F.array(one(1), one(2), one(3)).alias("matrices")))
+
+
+@query("k2_links_to_roots", "SELECT o_orderkey AS cell_id, min(o_orderkey) OVER (PARTITION BY o_custkey) AS root_id FROM orders")
+def _(s: SparkSession, d: str) -> DataFrame:
+    sets = V.table(s, d, "orders").groupBy("o_custkey").agg(F.collect_list("o_orderkey").alias("cells"))
+    return tables.links_to_roots(sets.select("cells"))
+
+
+@query("g2_initial_codes", """SELECT CAST(row_number() OVER (ORDER BY a, b, c, d) - 1 AS INT) AS row, array_to_string(list_transform(range(16), lambda i: CASE WHEN i IN (a, b, c, d) THEN 1 ELSE 0 END), '') AS bits
+FROM range(16) t(a), range(16) u(b), range(16) v(c), range(16) w(d) WHERE a < b AND b < c AND c < d""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return design.weight_four(s, 16).select("row", F.concat_ws("", F.transform("code", lambda v: v.cast("string"))).alias("bits"))
+
+
+@query("g3_conflicts", """WITH codes AS (SELECT row_number() OVER (ORDER BY a, b, c, d) - 1 AS row, [a, b, c, d] AS places FROM range(10) t(a), range(10) u(b), range(10) v(c), range(10) w(d) WHERE a < b AND b < c AND c < d)
+SELECT CAST(x.row AS INT) AS a, CAST(y.row AS INT) AS b FROM codes x, codes y WHERE x.row <> y.row AND 8 - 2 * len(list_intersect(x.places, y.places)) < 4""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return design.conflicts(design.weight_four(s, 10))
