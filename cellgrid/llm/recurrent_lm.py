@@ -40,6 +40,20 @@ SHARE, ROUNDS = 1.0, 3
 LANES = 256
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _grouped(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places in the order of their keys 0..n-1, where each key begins). Narrow keys sort in linear time."""
+    order = np.argsort(keys.astype(np.int16) if n < 1 << 15 else keys, kind="stable")
+    return order, np.searchsorted(keys[order], np.arange(n))
+
+
 @dataclass
 class Gru:
     """Word numbers are 0..n-1 for words with outputs (n-1 last), n for all others. Word w has class of[w] and place[w] in it."""
@@ -73,18 +87,17 @@ class Gru:
         mass = np.append(np.bincount(of, counts + 1.0), other + 1.0) if n else np.array([other + 1.0])
         return cls(of, place, sizes, {"x": draw(n + 2, 3 * hidden), "u": draw(hidden, 3 * hidden), "b": np.zeros(3 * hidden, np.float32), "c": draw(hidden, c), "cb": np.log(mass / mass.sum()).astype(np.float32), "o": draw(max(c - 1, 1), hidden, width) * 0.1, "ob": bias})
 
-    def step(self, x: np.ndarray, h: np.ndarray, cache: list | None = None) -> np.ndarray:
-        """The next state after the words x. Row rest + 1 of the input table is the start of a text."""
+    def step(self, a: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """The next state after words whose inputs (rows of `inputs`) are a."""
         hidden = h.shape[1]
-        a = self.w["x"][x] + self.w["b"]
         r = h @ self.w["u"]
-        g = 1 / (1 + np.exp(-(a[:, : 2 * hidden] + r[:, : 2 * hidden])))
-        z, reset = g[:, :hidden], g[:, hidden:]
-        new = np.tanh(a[:, 2 * hidden :] + reset * r[:, 2 * hidden :])
-        out = new + z * (h - new)
-        if cache is not None:
-            cache.append((x, h, z, reset, new, r[:, 2 * hidden :]))
-        return out
+        g = _sigmoid(a[:, : 2 * hidden] + r[:, : 2 * hidden])
+        new = np.tanh(a[:, 2 * hidden :] + g[:, hidden:] * r[:, 2 * hidden :])
+        return new + g[:, :hidden] * (h - new)
+
+    def inputs(self) -> np.ndarray:
+        """What each word adds to the gates, a row for each. Row rest + 1 is the start of a text."""
+        return self.w["x"] + self.w["b"]
 
     def classes(self, words: np.ndarray) -> np.ndarray:
         """Class of each word number; the last class holds all other words."""
@@ -96,8 +109,7 @@ class Gru:
         logits = h @ self.w["c"] + self.w["cb"]
         top = logits.max(1)
         out = logits[np.arange(len(c)), c] - top - np.log(np.exp(logits - top[:, None]).sum(1))
-        order = np.argsort(c, kind="stable")
-        cut = np.searchsorted(c[order], np.arange(len(self.sizes) + 1))
+        order, cut = _grouped(c, len(self.sizes) + 1)
         for k, size in enumerate(self.sizes):
             i = order[cut[k] : cut[k + 1]]
             if len(i) and size > 1:
@@ -108,14 +120,22 @@ class Gru:
 
     def train_window(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, h: np.ndarray, rate: float, memory: dict[str, np.ndarray]) -> np.ndarray:
         """One update from a window of words (time x texts); gradients stop at the window's edge. Returns the state to carry on."""
-        cache: list = []
-        states = []
-        for t in range(len(x)):
-            new = self.step(x[t], h, cache)
-            h = np.where(live[t][:, None], new, h)
-            states.append(h)
         hidden = h.shape[1]
-        s, target, on = np.stack(states), y, live
+        whole = live.all(1)
+        a = self.inputs()[x]
+        before, new, past = (np.empty((*x.shape, hidden), np.float32) for _ in range(3))
+        gate = np.empty((*x.shape, 2 * hidden), np.float32)
+        s = np.empty_like(before)
+        for t in range(len(x)):
+            before[t] = h
+            r = h @ self.w["u"]
+            gate[t] = _sigmoid(a[t, :, : 2 * hidden] + r[:, : 2 * hidden])
+            past[t] = r[:, 2 * hidden :]
+            new[t] = np.tanh(a[t, :, 2 * hidden :] + gate[t, :, hidden:] * past[t])
+            out = new[t] + gate[t, :, :hidden] * (h - new[t])
+            h = out if whole[t] else np.where(live[t][:, None], out, h)
+            s[t] = h
+        target, on = y, live
         grad = {k: np.zeros_like(v) for k, v in self.w.items() if k != "x"}
         n = max(int(on.sum()), 1)
         flat, words = s[on], target[on]
@@ -126,8 +146,7 @@ class Gru:
         p[np.arange(len(c)), c] -= 1
         grad["c"], grad["cb"] = flat.T @ p, p.sum(0)
         d_flat = p @ self.w["c"].T
-        order = np.argsort(c, kind="stable")
-        cut = np.searchsorted(c[order], np.arange(len(self.sizes) + 1))
+        order, cut = _grouped(c, len(self.sizes) + 1)
         for k, size in enumerate(self.sizes):
             i = order[cut[k] : cut[k + 1]]
             if len(i) and size > 1:
@@ -139,26 +158,30 @@ class Gru:
                 d_flat[i] += q @ self.w["o"][k][:, :size].T
         d_states = np.zeros_like(s)
         d_states[on] = d_flat
+        z, reset = gate[..., :hidden], gate[..., hidden:]
+        by_z = (before - new) * z * (1 - z)
+        by_new = (1 - z) * (1 - new * new)
+        by_reset = past * reset * (1 - reset)
+        pulls = np.empty((*x.shape, 3 * hidden), np.float32)  # on r = h u; the last third is that on a times the reset gate
+        d_new = np.empty_like(new)
         back = np.zeros_like(h)
-        met, pulls = [], []
         for t in range(len(x) - 1, -1, -1):
-            w, before, z, reset, new, ru = cache[t]
             d = back + d_states[t]
-            d_live = np.where(live[t][:, None], d, 0)
-            d_new, d_z = d_live * (1 - z), d_live * (before - new)
-            d_a = d_new * (1 - new * new)
-            gates = np.concatenate([d_z * z * (1 - z), d_a * ru * reset * (1 - reset), d_a], axis=1)
-            met.append(w)
-            pulls.append(gates)
-            grad["b"] += gates.sum(0)
-            inner = gates.copy()
-            inner[:, 2 * hidden :] *= reset
-            grad["u"] += before.T @ inner
-            back = inner @ self.w["u"].T + d_live * z + np.where(live[t][:, None], 0, d)
-        met, pulls = np.concatenate(met), np.concatenate(pulls)
-        order = np.argsort(met, kind="stable")
-        rows, first = np.unique(met[order], return_index=True)
-        table = np.add.reduceat(pulls[order], first)
+            d_live = d if whole[t] else np.where(live[t][:, None], d, 0)
+            d_new[t] = d_live * by_new[t]
+            pulls[t, :, :hidden] = d_live * by_z[t]
+            pulls[t, :, hidden : 2 * hidden] = d_new[t] * by_reset[t]
+            pulls[t, :, 2 * hidden :] = d_new[t] * reset[t]
+            back = pulls[t] @ self.w["u"].T + d_live * z[t]
+            if not whole[t]:
+                back += np.where(live[t][:, None], 0, d)
+        grad["u"] = before.reshape(-1, hidden).T @ pulls.reshape(-1, 3 * hidden)
+        pulls[..., 2 * hidden :] = d_new
+        pulls, met = pulls.reshape(-1, 3 * hidden), x.reshape(-1)
+        order, cut = _grouped(met, len(self.w["x"]))
+        rows = np.flatnonzero(np.append(cut[1:], len(met)) > cut)
+        table = np.add.reduceat(pulls[order], cut[rows])
+        grad["b"] = table.sum(0)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()) + float((table * table).sum())) / n
         scale = min(1.0, 1.0 / max(norm, 1e-9)) / n
         for k, g in grad.items():  # adaptive steps: each weight by its own mean square gradient
@@ -204,6 +227,7 @@ class Gru:
         h = np.zeros((len(order), self.w["u"].shape[0]), np.float32)
         before = np.full(len(order), self.rest + 1)
         states, targets, held = [], [], 0
+        inputs = self.inputs()
 
         def flush() -> None:
             sizes = [len(t) for t in targets]
@@ -212,7 +236,7 @@ class Gru:
 
         for t in range(int(length[0]) if len(length) else 0):
             n = int(np.searchsorted(-length, -t, side="left"))
-            h = self.step(before[:n], h[:n])
+            h = self.step(inputs[before[:n]], h[:n])
             before = tokens[begin[:n] + t]
             states.append(h)
             targets.append(before)
@@ -264,39 +288,57 @@ def _tokens(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each word of each chunk's dictionary: chunk, place, word, training count."""
-    for b in batches:
-        for chunk, raw, counts in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-            w, n = np.frombuffer(raw, np.int64), np.frombuffer(counts, np.int64)
-            for s in range(0, len(w), 1 << 17):
-                e = min(s + (1 << 17), len(w))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(e - s, chunk)), pa.array(np.arange(s, e), pa.int32()), pa.array(w[s:e]), pa.array(n[s:e])], names=["chunk", "place", "word", "n"])
+def _entries(names: np.ndarray | None = None):
+    """One row for each word of each chunk's dictionary, but for those of `names`: chunk, place, word, training count.
+    The place counts the words that have rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chunk, raw, counts in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                w, n = np.frombuffer(raw, np.int64), np.frombuffer(counts, np.int64)
+                if names is not None:
+                    rest = _numbers(names, w.view(np.uint64)) == len(names)
+                    w, n = w[rest], n[rest]
+                for s in range(0, len(w), 1 << 17):
+                    e = min(s + (1 << 17), len(w))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(e - s, chunk)), pa.array(np.arange(s, e), pa.int32()), pa.array(w[s:e]), pa.array(n[s:e])], names=["chunk", "place", "word", "n"])
+
+    return run
+
+
+def _numbers(names: np.ndarray, dictionary: np.ndarray) -> np.ndarray:
+    """The place of each word of a dictionary among the names, their number for those that are not there."""
+    if not len(names):
+        return np.zeros(len(dictionary), np.int64)
+    order = np.argsort(names)
+    at = np.minimum(np.searchsorted(names[order], dictionary), len(names) - 1)
+    return np.where(names[order][at] == dictionary, order[at], len(names))
 
 
 def _aligned(group: pa.Table) -> pa.Table:
-    """The corpus counts and the output numbers of one chunk's dictionary, in its order."""
-    out = np.empty((2, group.num_rows), "<i8")
-    out[:, group.column("place").to_numpy()] = group.column("c").to_numpy(), group.column("number").to_numpy()
+    """The corpus counts of one chunk's rarer words, in the order of its dictionary."""
+    out = np.empty(group.num_rows, "<i8")
+    out[group.column("place").to_numpy()] = group.column("c").to_numpy()
     raw = np.ascontiguousarray(out.view(np.uint8).reshape(-1, 8).T).tobytes()
-    return pa.table({"chunk": group.column("chunk").slice(0, 1), "known": pa.array([zstd.ZstdCompressor(1).compress(raw)], pa.binary())})
+    return pa.table({"chunk": group.column("chunk").slice(0, 1), "rare": pa.array([zstd.ZstdCompressor(1).compress(raw)], pa.binary())})
 
 
-def _known(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(zstd.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
-    c, number = np.ascontiguousarray(planes.T).view("<i8").reshape(2, -1)
+def _known(row: dict, names: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The corpus counts and the output numbers of a chunk's dictionary."""
+    number = _numbers(names, np.frombuffer(row["words"], np.uint64))
+    c = np.append(frequent, 0)[number]
+    if row["rare"] is not None:
+        planes = np.frombuffer(zstd.ZstdDecompressor().decompress(row["rare"]), np.uint8).reshape(8, -1)
+        c[number == len(names)] = np.ascontiguousarray(planes.T).view("<i8").reshape(-1)
     return c, number
 
 
 def _sample(top: np.ndarray, share: float, rounds: int):
     """Training texts of a chunk as numbers of the model's vocabulary, those of one round: each text is in one of the rounds.
     A share below 1 takes texts by a hash of their doc_id."""
-    order = np.argsort(top)
 
     def run(row: dict, turn: int) -> list[np.ndarray]:
-        dictionary = np.frombuffer(row["words"], np.uint64)
-        at = np.minimum(np.searchsorted(top[order], dictionary), max(len(top) - 1, 0))
-        number = np.where(top[order][at] == dictionary, order[at], len(top)) if len(top) else np.zeros(len(dictionary), np.int64)
+        number = _numbers(top, np.frombuffer(row["words"], np.uint64))
         tokens, cuts, held = number[_tokens(row["tokens"])], np.frombuffer(row["cuts"], np.int64), np.frombuffer(row["held"], bool)
         ids = np.frombuffer(row["ids"], np.int64).astype(np.uint64)
         chosen = (((ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.float64) / 2**24 < share) & ~held
@@ -371,22 +413,22 @@ def score_lm(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str = "
     """
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), (fold(doc_id, folds) == held_out).alias("held"))
     chunks = keep(given.mapInArrow(_chunks(CHUNK), "chunk long, ids binary, missing binary, held binary, cuts binary, tokens binary, words binary, counts binary"), "lm-chunks")
-    entries = chunks.select("chunk", "words", "counts").mapInArrow(_entries, "chunk long, place int, word long, n long")
-    counts = keep(entries.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
+    entries = lambda but=None: chunks.select("chunk", "words", "counts").mapInArrow(_entries(but), "chunk long, place int, word long, n long")
+    counts = keep(entries().groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     names, model = train_lm(chunks, counts, n, vocabulary, hidden, share, rounds)
-    top_mass = int(counts.where("c > 0").orderBy(F.desc("c"), "word").limit(vocabulary).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0])
-    spark = docs.sparkSession
-    ranks = spark.createDataFrame(list(zip(names.view(np.int64).tolist(), range(len(names)), strict=True)), "word long, number long")
-    numbered = counts.join(F.broadcast(ranks), "word", "left").select("word", "c", F.coalesce("number", F.lit(len(names))).alias("number"))
-    known = entries.select("chunk", "place", "word").join(numbered, "word").select("chunk", "place", "c", "number").groupBy("chunk").applyInArrow(_aligned, "chunk long, known binary")
+    # words with outputs stand in nearly every chunk: their counts go with the tasks, and only rarer words are joined
+    held = {r.word: r.c for r in counts.where(F.col("c") > 0).orderBy(F.desc("c"), "word").limit(vocabulary).collect()}
+    frequent = np.array([held[w] for w in names.view(np.int64).tolist()], np.int64)
+    top_mass = int(frequent.sum())
+    rare = entries(names).select("chunk", "place", "word").join(counts, "word").select("chunk", "place", "c").groupBy("chunk").applyInArrow(_aligned, "chunk long, rare binary")
     # within the class of all other words: one more than each count, over those words and one unseen
     rest_total = (n - top_mass) + (v - len(names)) + 1
 
     def counted(row: dict) -> tuple[np.ndarray, ...]:
         """Of one chunk: output numbers of its tokens, text lengths, known tokens, base scores, and shares within the class of other words."""
         tokens, cuts = _tokens(row["tokens"]), np.frombuffer(row["cuts"], np.int64)
-        c, number = _known(row["known"])
+        c, number = _known(row, names, frequent)
         add = lambda x: np.add.reduceat(x[tokens], cuts[:-1])
         inner = np.where(number == len(names), np.log10((c + 1.0) / rest_total), 0.0)
         return number.astype(np.int32)[tokens], np.diff(cuts), add((c > 0).astype(np.int64)), add(np.log10((c + 1.0) / (n + (v + 1)))), add(inner)
@@ -403,7 +445,7 @@ def score_lm(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str = "
         rows: list[dict] = []
         for b in batches:
             for i in range(b.num_rows):
-                rows.append({c: b.column(c)[i].as_py() for c in ("ids", "missing", "held", "cuts", "tokens", "known")})
+                rows.append({c: b.column(c)[i].as_py() for c in ("ids", "missing", "held", "cuts", "tokens", "words", "rare")})
                 if len(rows) * CHUNK >= TOGETHER:
                     yield scored(rows)
                     rows = []
@@ -411,7 +453,7 @@ def score_lm(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str = "
             yield scored(rows)
         release()
 
-    full = chunks.select("chunk", "ids", "missing", "held", "cuts", "tokens").join(known, "chunk")
+    full = chunks.select("chunk", "ids", "missing", "held", "cuts", "tokens", "words").join(rare, "chunk", "left")
     out = keep(full.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores")
     forget(chunks, counts)
     return out

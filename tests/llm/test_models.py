@@ -207,3 +207,59 @@ def test_network_probabilities_add_up_and_training_lowers_loss():
     assert np.allclose(one, after[3], atol=1e-2)
     few = net.score(np.concatenate(texts), cuts, memory=7)
     assert np.allclose(few, after, atol=1e-2)
+
+
+def plain_score(net, text):
+    """The log probability of one text by the definition: a scalar recurrent cell, then softmax over classes and within the class."""
+    w = {k: v.astype(float).tolist() for k, v in net.w.items()}
+    hidden, n_classes = len(w["u"]), len(net.sizes) + 1
+    logistic = lambda v: 1 / (1 + math.exp(-v))
+    share = lambda logits, k: math.exp(logits[k]) / sum(map(math.exp, logits))
+    h, last, total = [0.0] * hidden, net.rest + 1, 0.0
+    for token in text.tolist():
+        a = [v + b for v, b in zip(w["x"][last], w["b"], strict=True)]
+        r = [sum(h[i] * w["u"][i][j] for i in range(hidden)) for j in range(3 * hidden)]
+        z = [logistic(a[j] + r[j]) for j in range(hidden)]
+        reset = [logistic(a[hidden + j] + r[hidden + j]) for j in range(hidden)]
+        new = [math.tanh(a[2 * hidden + j] + reset[j] * r[2 * hidden + j]) for j in range(hidden)]
+        h = [z[j] * h[j] + (1 - z[j]) * new[j] for j in range(hidden)]
+        k = int(net.of[token]) if token < net.rest else n_classes - 1
+        total += math.log(share([sum(h[i] * w["c"][i][c] for i in range(hidden)) + w["cb"][c] for c in range(n_classes)], k))
+        if token < net.rest:
+            within = [sum(h[i] * w["o"][k][i][p] for i in range(hidden)) + w["ob"][k][p] for p in range(int(net.sizes[k]))]
+            total += math.log(share(within, int(net.place[token])))
+        last = token
+    return total
+
+
+def test_network_scores_equal_a_plain_version():
+    rng = np.random.default_rng(5)
+    net = Gru.fresh(np.sort(rng.integers(1, 90, 23))[::-1].astype(float), 40.0, 6)
+    texts = [rng.integers(0, 24, n) for n in (1, 2, 7, 45, 90)]
+    net.train(texts, rate=0.05, lanes=3, passes=3)
+    got = net.score(np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    assert np.allclose(got, [plain_score(net, t) for t in texts], rtol=1e-4)
+
+
+def test_network_steps_follow_measured_slopes():
+    """One plain step of training moves each probed weight against the slope that differences of scores show."""
+    rng = np.random.default_rng(6)
+    net = Gru.fresh(np.sort(rng.integers(1, 90, 12))[::-1].astype(float), 20.0, 5)
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    text = rng.integers(0, 13, 20)
+    x, y = np.concatenate([[net.rest + 1], text[:-1]])[:, None], text[:, None]
+    moved = Gru(net.of, net.place, net.sizes, {k: v.copy() for k, v in net.w.items()})
+    memory: dict = {}
+    moved.train_window(x, y, np.ones((20, 1), bool), np.zeros((1, 5)), 1e-9, memory)
+    for name in ("u", "b", "c", "cb", "x"):
+        slope = np.zeros_like(net.w[name])
+        for at in np.ndindex(*slope.shape):
+            ends = []
+            for step in (1e-5, -1e-5):
+                w = {k: v.copy() for k, v in net.w.items()}
+                w[name][at] += step
+                ends.append(plain_score(Gru(net.of, net.place, net.sizes, w), text))
+            slope[at] = -(ends[0] - ends[1]) / 2e-5
+        seen = np.sqrt(memory[name])  # the first step's mean squares are the squared gradients, scaled alike
+        known = np.abs(slope) / max(np.abs(slope).max(), 1e-12)
+        assert np.allclose(seen / seen.max(), known, atol=2e-3), name
