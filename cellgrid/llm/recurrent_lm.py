@@ -215,7 +215,7 @@ class Gru:
                 h = np.where((x[t] == start)[:, None], 0, h).astype(np.float32)
                 h = self.train_window(x[t : t + WINDOW], y[t : t + WINDOW], live[t : t + WINDOW], h, rate, memory)
 
-    def score(self, tokens: np.ndarray, cuts: np.ndarray, memory: int = 1 << 16) -> np.ndarray:
+    def score(self, tokens: np.ndarray, cuts: np.ndarray, memory: int = 1 << 14) -> np.ndarray:
         """The sum of log_probs of each of the texts that lie side by side, each from a fresh state carried to its end.
 
         Texts advance together, longest first; states are turned into probabilities whenever `memory` have gathered.
@@ -289,19 +289,29 @@ def _tokens(raw: bytes) -> np.ndarray:
 
 
 def _entries(names: np.ndarray | None = None):
-    """One row for each word of each chunk's dictionary, but for those of `names`: chunk, place, word, training count.
-    The place counts the words that have rows."""
+    """One row for each word of each chunk's dictionary, but for those of `names`: chunk, place, word, training count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for chunk, raw, counts in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 w, n = np.frombuffer(raw, np.int64), np.frombuffer(counts, np.int64)
-                if names is not None:
-                    rest = _numbers(names, w.view(np.uint64)) == len(names)
-                    w, n = w[rest], n[rest]
-                for s in range(0, len(w), 1 << 17):
-                    e = min(s + (1 << 17), len(w))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(e - s, chunk)), pa.array(np.arange(s, e), pa.int32()), pa.array(w[s:e]), pa.array(n[s:e])], names=["chunk", "place", "word", "n"])
+                at = np.arange(len(w)) if names is None else np.flatnonzero(_numbers(names, w.view(np.uint64)) == len(names))
+                for s in range(0, len(at), 1 << 17):
+                    i = at[s : s + (1 << 17)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), chunk)), pa.array(i.astype(np.int32)), pa.array(w[i]), pa.array(n[i])], names=["chunk", "place", "word", "n"])
+
+    return run
+
+
+def _frequent(names: np.ndarray, c: np.ndarray):
+    """One row for each word of each chunk's dictionary that is one of `names`: chunk, place, its corpus count and output number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chunk, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                number = _numbers(names, np.frombuffer(raw, np.uint64))
+                i = np.flatnonzero(number < len(names))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(i), chunk)), pa.array(i.astype(np.int32)), pa.array(c[number[i]]), pa.array(number[i])], names=["chunk", "place", "c", "number"])
 
     return run
 
@@ -316,20 +326,16 @@ def _numbers(names: np.ndarray, dictionary: np.ndarray) -> np.ndarray:
 
 
 def _aligned(group: pa.Table) -> pa.Table:
-    """The corpus counts of one chunk's rarer words, in the order of its dictionary."""
-    out = np.empty(group.num_rows, "<i8")
-    out[group.column("place").to_numpy()] = group.column("c").to_numpy()
+    """The corpus counts and the output numbers of one chunk's dictionary, in its order."""
+    out = np.empty((2, group.num_rows), "<i8")
+    out[:, group.column("place").to_numpy()] = group.column("c").to_numpy(), group.column("number").to_numpy()
     raw = np.ascontiguousarray(out.view(np.uint8).reshape(-1, 8).T).tobytes()
-    return pa.table({"chunk": group.column("chunk").slice(0, 1), "rare": pa.array([zstd.ZstdCompressor(1).compress(raw)], pa.binary())})
+    return pa.table({"chunk": group.column("chunk").slice(0, 1), "known": pa.array([zstd.ZstdCompressor(1).compress(raw)], pa.binary())})
 
 
-def _known(row: dict, names: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The corpus counts and the output numbers of a chunk's dictionary."""
-    number = _numbers(names, np.frombuffer(row["words"], np.uint64))
-    c = np.append(frequent, 0)[number]
-    if row["rare"] is not None:
-        planes = np.frombuffer(zstd.ZstdDecompressor().decompress(row["rare"]), np.uint8).reshape(8, -1)
-        c[number == len(names)] = np.ascontiguousarray(planes.T).view("<i8").reshape(-1)
+def _known(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstd.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    c, number = np.ascontiguousarray(planes.T).view("<i8").reshape(2, -1)
     return c, number
 
 
@@ -421,14 +427,16 @@ def score_lm(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str = "
     held = {r.word: r.c for r in counts.where(F.col("c") > 0).orderBy(F.desc("c"), "word").limit(vocabulary).collect()}
     frequent = np.array([held[w] for w in names.view(np.int64).tolist()], np.int64)
     top_mass = int(frequent.sum())
-    rare = entries(names).select("chunk", "place", "word").join(counts, "word").select("chunk", "place", "c").groupBy("chunk").applyInArrow(_aligned, "chunk long, rare binary")
+    rare = entries(names).select("chunk", "place", "word").join(counts, "word").select("chunk", "place", "c", F.lit(len(names)).cast("long").alias("number"))
+    common = chunks.select("chunk", "words").mapInArrow(_frequent(names, frequent), "chunk long, place int, c long, number long")
+    known = rare.unionByName(common).groupBy("chunk").applyInArrow(_aligned, "chunk long, known binary")
     # within the class of all other words: one more than each count, over those words and one unseen
     rest_total = (n - top_mass) + (v - len(names)) + 1
 
     def counted(row: dict) -> tuple[np.ndarray, ...]:
         """Of one chunk: output numbers of its tokens, text lengths, known tokens, base scores, and shares within the class of other words."""
         tokens, cuts = _tokens(row["tokens"]), np.frombuffer(row["cuts"], np.int64)
-        c, number = _known(row, names, frequent)
+        c, number = _known(row["known"])
         add = lambda x: np.add.reduceat(x[tokens], cuts[:-1])
         inner = np.where(number == len(names), np.log10((c + 1.0) / rest_total), 0.0)
         return number.astype(np.int32)[tokens], np.diff(cuts), add((c > 0).astype(np.int64)), add(np.log10((c + 1.0) / (n + (v + 1)))), add(inner)
@@ -445,7 +453,7 @@ def score_lm(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str = "
         rows: list[dict] = []
         for b in batches:
             for i in range(b.num_rows):
-                rows.append({c: b.column(c)[i].as_py() for c in ("ids", "missing", "held", "cuts", "tokens", "words", "rare")})
+                rows.append({c: b.column(c)[i].as_py() for c in ("ids", "missing", "held", "cuts", "tokens", "known")})
                 if len(rows) * CHUNK >= TOGETHER:
                     yield scored(rows)
                     rows = []
@@ -453,7 +461,7 @@ def score_lm(docs: DataFrame, folds: int = 7, held_out: int = 2, doc_id: str = "
             yield scored(rows)
         release()
 
-    full = chunks.select("chunk", "ids", "missing", "held", "cuts", "tokens", "words").join(rare, "chunk", "left")
+    full = chunks.select("chunk", "ids", "missing", "held", "cuts", "tokens").join(known, "chunk")
     out = keep(full.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores")
     forget(chunks, counts)
     return out
