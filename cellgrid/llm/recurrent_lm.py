@@ -54,6 +54,35 @@ def _grouped(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(keys[order], np.arange(n))
 
 
+class _Rows:
+    """Softmax rows of different lengths that lie one after another in `flat`, each with the place of its target. `flat` is overwritten."""
+
+    def __init__(self, flat: np.ndarray, length: np.ndarray, target: np.ndarray) -> None:
+        begin = np.cumsum(length) - length
+        self.flat, self.length, self.begin, self.at = flat, length, begin, begin + target
+
+    def log_shares(self) -> np.ndarray:
+        """The log of each target's share; then `flat` holds exponentials and `total` their sums."""
+        if not len(self.begin):
+            return np.empty(0, np.float32)
+        self.flat -= np.repeat(np.maximum.reduceat(self.flat, self.begin), self.length)
+        found = self.flat[self.at]
+        np.exp(self.flat, out=self.flat)
+        self.total = np.add.reduceat(self.flat, self.begin)
+        return found - np.log(self.total)
+
+    def slopes(self) -> None:
+        """Turn `flat` into shares less one at each target: the slopes of the loss."""
+        if len(self.begin):
+            self.log_shares()
+            self.flat /= np.repeat(self.total, self.length)
+            self.flat[self.at] -= 1
+
+
+def _with_one(states: np.ndarray) -> np.ndarray:
+    return np.concatenate([states, np.ones((len(states), 1), states.dtype)], axis=1)
+
+
 @dataclass
 class Gru:
     """Word numbers are 0..n-1 for words with outputs (n-1 last), n for all others. Word w has class of[w] and place[w] in it."""
@@ -88,12 +117,18 @@ class Gru:
         return cls(of, place, sizes, {"x": draw(n + 2, 3 * hidden), "u": draw(hidden, 3 * hidden), "b": np.zeros(3 * hidden, np.float32), "c": draw(hidden, c), "cb": np.log(mass / mass.sum()).astype(np.float32), "o": draw(max(c - 1, 1), hidden, width) * 0.1, "ob": bias})
 
     def step(self, a: np.ndarray, h: np.ndarray) -> np.ndarray:
-        """The next state after words whose inputs (rows of `inputs`) are a."""
-        hidden = h.shape[1]
-        r = h @ self.w["u"]
-        g = _sigmoid(a[:, : 2 * hidden] + r[:, : 2 * hidden])
-        new = np.tanh(a[:, 2 * hidden :] + g[:, hidden:] * r[:, 2 * hidden :])
-        return new + g[:, :hidden] * (h - new)
+        """The next states (hidden x texts) after words whose inputs are the columns of a."""
+        hidden = len(h)
+        r = self.w["u"].T @ h
+        g = _sigmoid(a[: 2 * hidden] + r[: 2 * hidden])
+        new = r[2 * hidden :]
+        new *= g[hidden:]
+        new += a[2 * hidden :]
+        np.tanh(new, out=new)
+        out = h - new
+        out *= g[:hidden]
+        out += new
+        return out
 
     def inputs(self) -> np.ndarray:
         """What each word adds to the gates, a row for each. Row rest + 1 is the start of a text."""
@@ -103,84 +138,99 @@ class Gru:
         """Class of each word number; the last class holds all other words."""
         return np.append(self.of, len(self.sizes))[words]
 
+    def outputs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the classes, and of the words of each class, each with its offsets as the last row."""
+        return np.vstack([self.w["c"], self.w["cb"]]), np.concatenate([self.w["o"], self.w["ob"][:, None]], axis=1)
+
+    def within(self, states: np.ndarray, words: np.ndarray, cut: np.ndarray, o: np.ndarray) -> tuple[_Rows, list[np.ndarray]]:
+        """Logits within the classes, of states in the order of their classes; also as one matrix for each class."""
+        n = np.diff(cut)
+        end = np.cumsum(n * self.sizes)
+        flat = np.empty(end[-1] if len(end) else 0, states.dtype)
+        parts = [flat[e - m * size : e].reshape(m, size) for e, m, size in zip(end.tolist(), n.tolist(), self.sizes.tolist(), strict=True)]
+        for k, part in enumerate(parts):
+            np.matmul(states[cut[k] : cut[k + 1]], o[k, :, : part.shape[1]], out=part)
+        return _Rows(flat, np.repeat(self.sizes, n), self.place[words[: cut[-1]]]), parts
+
     def log_probs(self, h: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural log of P(class | state), times P(word | class, state) for words with outputs."""
-        c = self.classes(words)
-        logits = h @ self.w["c"] + self.w["cb"]
-        top = logits.max(1)
-        out = logits[np.arange(len(c)), c] - top - np.log(np.exp(logits - top[:, None]).sum(1))
-        order, cut = _grouped(c, len(self.sizes) + 1)
-        for k, size in enumerate(self.sizes):
-            i = order[cut[k] : cut[k + 1]]
-            if len(i) and size > 1:
-                inner = h[i] @ self.w["o"][k][:, :size] + self.w["ob"][k][:size]
-                m = inner.max(1)
-                out[i] += inner[np.arange(len(i)), self.place[words[i]]] - m - np.log(np.exp(inner - m[:, None]).sum(1))
+        class_of = self.classes(words)
+        order, cut = _grouped(class_of, len(self.sizes) + 1)
+        (c, o), states, class_of = self.outputs(), _with_one(h[order]), class_of[order]
+        logits = c.T @ states.T
+        logits -= logits.max(0)
+        found = logits[class_of, np.arange(len(class_of))] - np.log(np.exp(logits, out=logits).sum(0))
+        found[: cut[-1]] += self.within(states, words[order], cut, o)[0].log_shares()
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
     def train_window(self, x: np.ndarray, y: np.ndarray, live: np.ndarray, h: np.ndarray, rate: float, memory: dict[str, np.ndarray]) -> np.ndarray:
-        """One update from a window of words (time x texts); gradients stop at the window's edge. Returns the state to carry on."""
-        hidden = h.shape[1]
-        whole = live.all(1)
-        a = self.inputs()[x]
-        before, new, past = (np.empty((*x.shape, hidden), np.float32) for _ in range(3))
-        gate = np.empty((*x.shape, 2 * hidden), np.float32)
-        s = np.empty_like(before)
-        for t in range(len(x)):
+        """One update from a window of words (time x texts); gradients stop at the window's edge. Returns the state to carry on.
+
+        Places that are not live end a lane: they have no target, so no gradient either. Inside, arrays are hidden x texts,
+        so that each gate is one block of memory.
+        """
+        (steps, lanes), hidden = x.shape, h.shape[1]
+        h, u, a = h.T, np.ascontiguousarray(self.w["u"].T), self.inputs()[x]
+        before, new, past, s = (np.empty((steps, hidden, lanes), np.float32) for _ in range(4))
+        gate = np.empty((steps, 2 * hidden, lanes), np.float32)
+        for t in range(steps):
             before[t] = h
-            r = h @ self.w["u"]
-            gate[t] = _sigmoid(a[t, :, : 2 * hidden] + r[:, : 2 * hidden])
-            past[t] = r[:, 2 * hidden :]
-            new[t] = np.tanh(a[t, :, 2 * hidden :] + gate[t, :, hidden:] * past[t])
-            out = new[t] + gate[t, :, :hidden] * (h - new[t])
-            h = out if whole[t] else np.where(live[t][:, None], out, h)
-            s[t] = h
-        target, on = y, live
-        grad = {k: np.zeros_like(v) for k, v in self.w.items() if k != "x"}
-        n = max(int(on.sum()), 1)
-        flat, words = s[on], target[on]
-        c = self.classes(words)
-        logits = flat @ self.w["c"] + self.w["cb"]
-        p = np.exp(logits - logits.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(len(c)), c] -= 1
-        grad["c"], grad["cb"] = flat.T @ p, p.sum(0)
-        d_flat = p @ self.w["c"].T
-        order, cut = _grouped(c, len(self.sizes) + 1)
-        for k, size in enumerate(self.sizes):
-            i = order[cut[k] : cut[k + 1]]
-            if len(i) and size > 1:
-                inner = flat[i] @ self.w["o"][k][:, :size] + self.w["ob"][k][:size]
-                q = np.exp(inner - inner.max(1, keepdims=True))
-                q /= q.sum(1, keepdims=True)
-                q[np.arange(len(i)), self.place[words[i]]] -= 1
-                grad["o"][k][:, :size], grad["ob"][k][:size] = flat[i].T @ q, q.sum(0)
-                d_flat[i] += q @ self.w["o"][k][:, :size].T
-        d_states = np.zeros_like(s)
+            r, add = u @ before[t], np.ascontiguousarray(a[t].T)
+            _sigmoid(np.add(add[: 2 * hidden], r[: 2 * hidden], out=gate[t]))
+            past[t] = r[2 * hidden :]
+            np.multiply(gate[t, hidden:], past[t], out=new[t])
+            new[t] += add[2 * hidden :]
+            np.tanh(new[t], out=new[t])
+            np.subtract(before[t], new[t], out=s[t])
+            s[t] *= gate[t, :hidden]
+            s[t] += new[t]
+            h = s[t]
+        on = np.flatnonzero(live)
+        words = y.reshape(-1)[on]
+        class_of = self.classes(words)
+        order, cut = _grouped(class_of, len(self.sizes) + 1)
+        on, words, class_of = on[order], words[order], class_of[order]  # by class, so that each class is a run of rows
+        n = max(len(on), 1)
+        (c, o), states = self.outputs(), _with_one(s.transpose(0, 2, 1).reshape(-1, hidden)[on])
+        p = c.T @ states.T
+        p -= p.max(0)
+        np.exp(p, out=p)
+        p /= p.sum(0)
+        p[class_of, np.arange(len(on))] -= 1
+        by_class, d_flat = states.T @ p.T, p.T @ self.w["c"].T
+        rows, parts = self.within(states, words, cut, o)
+        rows.slopes()
+        by_word = np.zeros_like(o)
+        for k, q in enumerate(parts):
+            if len(q):
+                i = slice(cut[k], cut[k + 1])
+                by_word[k, :, : q.shape[1]] = states[i].T @ q
+                d_flat[i] += q @ self.w["o"][k, :, : q.shape[1]].T
+        grad = {"u": np.zeros_like(self.w["u"]), "c": by_class[:-1], "cb": by_class[-1], "o": by_word[:, :-1], "ob": by_word[:, -1]}
+        d_states = np.zeros((steps * lanes, hidden), np.float32)
         d_states[on] = d_flat
-        z, reset = gate[..., :hidden], gate[..., hidden:]
+        d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, hidden).transpose(0, 2, 1))
+        z, reset = gate[:, :hidden], gate[:, hidden:]
         by_z = (before - new) * z * (1 - z)
         by_new = (1 - z) * (1 - new * new)
         by_reset = past * reset * (1 - reset)
-        pulls = np.empty((*x.shape, 3 * hidden), np.float32)  # on r = h u; the last third is that on a times the reset gate
-        d_new = np.empty_like(new)
-        back = np.zeros_like(h)
-        for t in range(len(x) - 1, -1, -1):
-            d = back + d_states[t]
-            d_live = d if whole[t] else np.where(live[t][:, None], d, 0)
-            d_new[t] = d_live * by_new[t]
-            pulls[t, :, :hidden] = d_live * by_z[t]
-            pulls[t, :, hidden : 2 * hidden] = d_new[t] * by_reset[t]
-            pulls[t, :, 2 * hidden :] = d_new[t] * reset[t]
-            back = pulls[t] @ self.w["u"].T + d_live * z[t]
-            if not whole[t]:
-                back += np.where(live[t][:, None], 0, d)
-        grad["u"] = before.reshape(-1, hidden).T @ pulls.reshape(-1, 3 * hidden)
-        pulls[..., 2 * hidden :] = d_new
-        pulls, met = pulls.reshape(-1, 3 * hidden), x.reshape(-1)
-        order, cut = _grouped(met, len(self.w["x"]))
-        rows = np.flatnonzero(np.append(cut[1:], len(met)) > cut)
-        table = np.add.reduceat(pulls[order], cut[rows])
+        pulls = np.empty((3 * hidden, steps, lanes), np.float32)
+        d, back = np.empty((3 * hidden, lanes), np.float32), np.zeros((hidden, lanes), np.float32)  # d: on r = u h; its last third is that on a times the reset gate
+        for t in range(steps - 1, -1, -1):
+            back += d_states[t]
+            np.multiply(back, by_z[t], out=d[:hidden])
+            d_new = back * by_new[t]
+            np.multiply(d_new, by_reset[t], out=d[hidden : 2 * hidden])
+            np.multiply(d_new, reset[t], out=d[2 * hidden :])
+            grad["u"] += before[t] @ d.T
+            pulls[: 2 * hidden, t], pulls[2 * hidden :, t] = d[: 2 * hidden], d_new
+            back *= z[t]
+            back += u.T @ d
+        met = x.reshape(-1)
+        rows, place = np.unique(met, return_inverse=True)
+        table = np.stack([np.bincount(place, g, len(rows)) for g in pulls.reshape(3 * hidden, -1)], axis=1).astype(np.float32)
         grad["b"] = table.sum(0)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()) + float((table * table).sum())) / n
         scale = min(1.0, 1.0 / max(norm, 1e-9)) / n
@@ -192,10 +242,11 @@ class Gru:
         table = table * scale
         kept[rows] = np.where(kept[rows] == 0, table * table, 0.99 * kept[rows] + 0.01 * table * table)
         self.w["x"][rows] -= rate * table / (np.sqrt(kept[rows]) + 1e-4)
-        return h
+        return h.T
 
     def train(self, texts: list[np.ndarray], rate: float = 0.004, lanes: int = 96, passes: int = 1, memory: dict[str, np.ndarray] | None = None) -> None:
-        """Texts (word numbers with ends) are put end to end in lanes of equal length; the state goes on within a lane, and starts afresh with a text.
+        """Texts (word numbers with ends) are put end to end in lanes of equal length; the state goes on within a lane; it is
+        zero where a text and a window start together, and elsewhere the input of a start is learnt to clear it.
         `memory` holds the mean square gradients of earlier calls, and is carried on."""
         if not texts:
             return
@@ -224,7 +275,7 @@ class Gru:
         order = np.argsort(-length, kind="stable")
         begin, length = cuts[:-1][order], length[order]
         out = np.zeros(len(order))
-        h = np.zeros((len(order), self.w["u"].shape[0]), np.float32)
+        h = np.zeros((self.w["u"].shape[0], len(order)), np.float32)
         before = np.full(len(order), self.rest + 1)
         states, targets, held = [], [], 0
         inputs = self.inputs()
@@ -232,11 +283,11 @@ class Gru:
         def flush() -> None:
             sizes = [len(t) for t in targets]
             of = np.concatenate([order[:n] for n in sizes])
-            out[:] += np.bincount(of, self.log_probs(np.concatenate(states), np.concatenate(targets)), len(out))
+            out[:] += np.bincount(of, self.log_probs(np.concatenate(states, axis=1).T.copy(), np.concatenate(targets)), len(out))
 
         for t in range(int(length[0]) if len(length) else 0):
             n = int(np.searchsorted(-length, -t, side="left"))
-            h = self.step(inputs[before[:n]], h[:n])
+            h = self.step(np.ascontiguousarray(inputs[before[:n]].T), h[:, :n])
             before = tokens[begin[:n] + t]
             states.append(h)
             targets.append(before)
