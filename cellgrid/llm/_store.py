@@ -53,12 +53,12 @@ def temporary() -> Iterator[None]:
         forget(*_scopes.pop())
 
 
-def keep(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
+def keep(df: DataFrame, name: str, lasting: bool = False, codec: str = "snappy") -> DataFrame:
     """Write the rows as a table in the shared folder and read it: lineage ends here, and a lost executor loses nothing."""
     spark = df.sparkSession
     small_batches(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out.kept_at = path
     if _scopes and not lasting:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cellgrid.llm._store import fold, table
 from cellgrid.llm.mixing import mix_sources
 from cellgrid.llm.ngram_join import near_duplicates
+from cellgrid.llm.packing import pack_documents, vocabulary
 from cellgrid.llm.quality import score_quality, train_quality
 from cellgrid.llm.recurrent_lm import score_lm
 from cellgrid.llm.substring_dedup import repeat_digests
@@ -84,6 +85,11 @@ def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sums(length_histogram(table(spark, sf_dir, "documents")))
 
 
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), size=4096, end=2)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality_gam": op2_quality_gam,
@@ -95,6 +101,7 @@ QUERIES = {
     "op8_url_automaton": op8_url_automaton,
     "op9_toxicity_svm": op9_toxicity_svm,
     "op10_token_lengths": op10_token_lengths,
+    "op11_window_packing": op11_window_packing,
 }
 
 _HOST = "regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)"
