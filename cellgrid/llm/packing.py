@@ -9,6 +9,8 @@ windows of its neighbours in a reduction tree of bounded groups, so the corpus e
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -28,7 +30,7 @@ WINDOWS = 32
 #: Tasks or groups whose open windows meet in one group of the tree: at most FAN_IN * WINDOWS windows.
 FAN_IN = 32
 #: Units that an encoder remembers, and the bytes beyond which a unit is not remembered.
-REMEMBERED, LONGEST = 250_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 #: Bytes of ids in one batch of results.
 OUT_BYTES = 2 << 20
 
@@ -42,12 +44,23 @@ _CLASS[byte_class((0x41, 0x5A), (0x61, 0x7A))] = _LETTER
 _CLASS[0x27] = _BOUND
 
 
+#: Words of small Latin letters that are their own NFC form.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 for itself, the others from U+0100 on."""
+    printable = [33 <= b <= 126 or 161 <= b <= 255 and b != 173 for b in range(256)]
+    return [chr(b) if printable[b] else chr(256 + b - sum(printable[:b])) for b in range(256)]
+
+
 class Encoder:
     """Ids of texts by a lower-casing word BPE, each distinct unit encoded once.
 
     The vocabulary's own pattern never matches across white space, nor across a change between ASCII letters,
     digits and signs (but for an apostrophe), and takes digits one by one; ids of a text are thus those of its
-    units in turn. Strings of special tokens in a text are ordinary text.
+    units in turn. A unit of small Latin letters alone goes to the merges as it is, any other through the whole tokenizer.
+    Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -58,7 +71,10 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merges = self.tokenizer.model
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def units(self, texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
         """The units of all texts in turn, and the first unit of each text (the last entry counts all)."""
@@ -79,26 +95,49 @@ class Encoder:
         column = pa.StringArray.from_buffers(len(at), pa.py_buffer(ends), pa.py_buffer(data[solid]))
         return column.dictionary_encode(), np.searchsorted(at, offsets)
 
+    def _remember(self, coded: dict[str, bytes]) -> None:
+        """Keep what was met last: the older half goes once the newer one is full."""
+        for u, ids in coded.items():
+            if len(u) <= LONGEST:
+                self.known[u] = ids
+        if len(self.known) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+
     def _bytes(self, units: list[str]) -> list[bytes]:
-        if len(self.known) + len(units) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = [u for u in units if u not in known]
-        coded = {u: np.array(e.ids, dtype="<u4").tobytes() for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True)}
-        known.update((u, b) for u, b in coded.items() if len(u) <= LONGEST)
-        return [known[u] if u in known else coded[u] for u in units]
+        known, older, merges, letters = self.known.get, self.older.get, self.merges.tokenize, self.letters
+        coded: dict[str, bytes] = {}
+        others = []
+        out = []
+        for u in units:
+            ids = known(u)
+            if ids is None:
+                ids = older(u)
+                if ids is None:
+                    if _PLAIN(u):
+                        ids = array("I", [t.id for t in merges(u if u.isascii() else "".join([letters[b] for b in u.encode()]))]).tobytes()
+                    else:
+                        others.append(len(out))
+                if ids is not None:
+                    coded[u] = ids
+            out.append(ids)
+        for i, e in zip(others, self.tokenizer.encode_batch_fast([units[i] for i in others], add_special_tokens=False), strict=True):
+            coded[units[i]] = out[i] = array("I", e.ids).tobytes()
+        self._remember(coded)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in turn, and where each text's ids begin (the last entry counts all). Null texts have none."""
         column, first = self.units(texts)
-        parts = self._bytes(column.dictionary.to_pylist())
-        size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
-        source = np.cumsum(size) - size
+        parts = self._bytes(column.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, parts), dtype=np.int32, count=len(parts)) // 4
+        source = np.cumsum(size, dtype=np.int32) - size
         codes = column.indices.to_numpy()
         lengths = size[codes]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.repeat(source[codes] - ends[:-1], lengths) + np.arange(ends[-1])
-        return np.frombuffer(b"".join(parts), dtype="<u4")[at], ends[first]
+        ends = np.zeros(len(codes) + 1, dtype=np.int32)
+        np.cumsum(lengths, out=ends[1:])
+        at = np.repeat(source[codes] - ends[:-1], lengths)
+        at += np.arange(ends[-1], dtype=np.int32)
+        return np.frombuffer(b"".join(parts), dtype="=u4")[at], ends[first]
 
 
 @lru_cache(maxsize=2)
