@@ -9,6 +9,7 @@ from cellgrid.llm._store import fold, table
 from cellgrid.llm.mixing import mix_sources
 from cellgrid.llm.ngram_join import near_duplicates
 from cellgrid.llm.packing import pack_documents, vocabulary
+from cellgrid.llm.prefix_trie import prefix_trie
 from cellgrid.llm.quality import score_quality, train_quality
 from cellgrid.llm.recurrent_lm import score_lm
 from cellgrid.llm.substring_dedup import repeat_digests
@@ -16,6 +17,7 @@ from cellgrid.llm.token_counts import length_histogram, suffix_sums
 from cellgrid.llm.toxicity import score_toxicity, train_toxicity
 from cellgrid.llm.url_rules import Rule, judge_urls
 from cellgrid.llm.vantage_points import nearest
+from cellgrid.llm.whitening import fit_whitening, whiten
 from cellgrid.llm.winnowing import find_overlaps
 
 URL_RULES = (
@@ -90,6 +92,15 @@ def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return whiten(embeddings, fit_whitening(embeddings), components=8)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), family=100, most=6)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality_gam": op2_quality_gam,
@@ -102,6 +113,8 @@ QUERIES = {
     "op9_toxicity_svm": op9_toxicity_svm,
     "op10_token_lengths": op10_token_lengths,
     "op11_window_packing": op11_window_packing,
+    "op12_jacobi_whitening": op12_jacobi_whitening,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _HOST = "regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)"
@@ -116,6 +129,8 @@ _SPACE_WORDS = r"[^\x20\x09-\x0D]+"
 _ALNUM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _add = lambda a, b: f"list_reduce(list_transform(range(1, len({a}) + 1), lambda i: {a}[i] * {b}[i]), lambda s, x: s + x, CAST(0 AS DOUBLE))"
 
+_crc32 = lambda s: f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({s}, ''), lambda ch: CAST(ascii(ch) AS BIGINT))), lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"
+
 ORACLE_SQL = {
     "op8_url_automaton": f"""
         WITH split AS (
@@ -159,4 +174,14 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
                sha256(CASE WHEN places IS NULL THEN array_to_string(w, ' ') ELSE coalesce((SELECT string_agg(w[p], ' ' ORDER BY p) FROM (SELECT unnest(range(1, len(w) + 1)) AS p) WHERE NOT list_contains(places, p)), '') END) AS kept_sha256
         FROM d LEFT JOIN gone USING (r)""",
+    "op13_prefix_trie": f"""
+        WITH own AS (SELECT conv_id, list(md5(coalesce(role, '')) || md5(coalesce(text, '')) ORDER BY turn NULLS FIRST) AS m, list(length(coalesce(text, '')) ORDER BY turn NULLS FIRST) AS n FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        shared AS (SELECT *, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM own),
+        rebuilt AS (SELECT o.conv_id, coalesce(b.m, [])[1:h] || o.m[h + 1:] AS m, coalesce(b.n, [])[1:h] || o.n[h + 1:] AS n FROM shared o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+        members AS (SELECT conv_id, d, md5(array_to_string(m[1:d], '')) AS k, md5(array_to_string(m[1:d - 1], '')) AS pk, CASE WHEN d > 0 THEN n[d] ELSE 0 END AS chars, d = len(m) AS ends FROM (SELECT *, unnest(range(0, len(m) + 1)) AS d FROM rebuilt)),
+        nodes AS (SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(pk) AS pk, (count(*) - 1) * any_value(chars) AS saved, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM members GROUP BY k, d),
+        kids AS (SELECT pk AS k, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+        sums AS (SELECT a.k, a.d, count(*) FILTER (n_children IS NULL) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM (SELECT * FROM nodes LEFT JOIN kids USING (k, d)) u JOIN members a ON a.conv_id = u.conv_id AND a.d <= u.d GROUP BY a.k, a.d)
+        SELECT x.conv_id, x.d AS depth, p.conv_id AS parent_conv_id, x.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, x.ends_sha256
+        FROM nodes x LEFT JOIN nodes p ON x.d > 0 AND p.k = x.pk AND p.d = x.d - 1 LEFT JOIN kids ON kids.k = x.k AND kids.d = x.d JOIN sums ON sums.k = x.k AND sums.d = x.d""",
 }
