@@ -63,7 +63,7 @@ def test_stages_equal_plain_versions(spark, tmp_path):
     sizes = {s: sum(len(space_words(r[1])) for r in rows if r[3] == s) for s in {r[3] for r in rows}}
     want = brute_targets(sizes)
     for s, t in want.items():
-        assert abs(sum(r.taken for r in mixed if r.source == s) - t) <= max(0.1 * t, 250)
+        assert abs(sum(r.taken for r in mixed if r.source == s) - t) <= max(0.02 * t, 60)
 
 
 def test_near_duplicates_keep_one_row_of_each_component(spark):
