@@ -155,6 +155,39 @@ def translate(image: np.ndarray, dy: float, dx: float) -> np.ndarray:
     return out
 
 
+def warp(image: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """The image as `inverse` sees it: a 3 x 3 matrix from each pixel (x, y, 1) of the result to its place in the image.
+
+    Values between pixels are bilinear; everything beyond the border is 0. A projective matrix is divided by its last row.
+    """
+    image = np.asarray(image, dtype=np.float64)
+    h, w = image.shape
+    y, x = np.mgrid[:h, :w]
+    m = np.asarray(inverse, dtype=np.float64)
+    sx, sy, sw = (m[i, 0] * x + m[i, 1] * y + m[i, 2] for i in range(3))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        sx, sy = np.nan_to_num(sx / sw, nan=-2.0, posinf=-2.0, neginf=-2.0), np.nan_to_num(sy / sw, nan=-2.0, posinf=-2.0, neginf=-2.0)
+    x0, y0 = np.floor(np.clip(sx, -2, w + 1)), np.floor(np.clip(sy, -2, h + 1))
+    fx, fy = np.clip(sx, -2, w + 1) - x0, np.clip(sy, -2, h + 1) - y0
+    wide = np.pad(image, 3)
+    at = lambda dy, dx: wide[(y0 + dy + 3).astype(int).clip(0, h + 5), (x0 + dx + 3).astype(int).clip(0, w + 5)]
+    return (1 - fy) * ((1 - fx) * at(0, 0) + fx * at(0, 1)) + fy * ((1 - fx) * at(1, 0) + fx * at(1, 1))
+
+
+def warp_frames(frames: DataFrame, transforms: DataFrame) -> DataFrame:
+    """frames (fov, height, width, pixels) warped by their tile's inverse (fov, matrix: array of 3 arrays), as 64-bit floats; tiles without one drop out."""
+    paired = frames.join(transforms.select("fov", F.flatten("matrix").cast("array<double>").alias("_m")), "fov")
+    rest = [c for c in frames.columns if c != "pixels"]
+    kinds = dict(frames.dtypes)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            moved = [warp(np.frombuffer(p, "<u2").reshape(h, w), np.array(m).reshape(3, 3)).astype("<f8").tobytes() for p, h, w, m in zip(pdf["pixels"], pdf["height"], pdf["width"], pdf["_m"], strict=True)]
+            yield pdf[rest].assign(pixels=moved)
+
+    return paired.select(*rest, "pixels", "_m").mapInPandas(run, ", ".join([*[f"`{c}` {kinds[c]}" for c in rest], "pixels binary"]))
+
+
 def threshold_cells(image: np.ndarray, level: float, least: int = 1) -> np.ndarray:
     """Labels of connected bright areas (4-neighbours) of at least `least` pixels, numbered in reading order: the default labeller."""
     on = np.asarray(image) > level

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -108,17 +108,8 @@ def _range(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def nearest(queries: DataFrame, points: DataFrame, k: int, cosine: bool = False, exclude_self: bool = False) -> DataFrame:
-    """(id, other, dist, rank): the k nearest points (id, v) of every query (id, v), ties to the smaller id.
-
-    Points and queries meet block by block: the smaller dealt side is copied to the other's blocks, each task
-    keeps a query's best k of its block, and these are merged. No task holds more than two blocks. Every point is
-    compared with every query, so the work is the product of both sides, and a point is copied once for each block of
-    queries: meant for reference sets and cells by the million. A zero vector has distance 1/2 to all where `cosine` is set.
-    """
-    sizes = [max(1, -(-df.count() // BLOCK)) for df in (queries, points)]
-    q = queries.select("id", F.col("v").cast("array<double>").alias("v"), F.pmod(F.xxhash64("id"), F.lit(sizes[0])).alias("qb"), F.explode(_range(sizes[1])).alias("pb"), F.lit(True).alias("asks"))
-    p = points.select("id", F.col("v").cast("array<double>").alias("v"), F.explode(_range(sizes[0])).alias("qb"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(sizes[1])).alias("pb"), F.lit(False).alias("asks"))
+def block_search(k: int, cosine: bool, exclude_self: bool):
+    """What a task does with one block of queries (asks) and one of points: (id, other, dist) of the k nearest of this block."""
 
     def run(group: pa.Table) -> pa.Table:
         t = group.combine_chunks()
@@ -141,23 +132,42 @@ def nearest(queries: DataFrame, points: DataFrame, k: int, cosine: bool = False,
             at = np.nonzero(near & np.isfinite(d))
             d[:] = np.inf
             d[at] = ((some[at[0]] - b[at[1]]) ** 2).sum(1)
-            order = np.lexsort((np.broadcast_to(ib, d.shape), d), axis=1)[:, :k]
+            dist = d / 2 if cosine else np.sqrt(d)
+            order = np.lexsort((np.broadcast_to(ib, d.shape), np.round(dist, 9)), axis=1)[:, :k]
             rows = np.repeat(np.arange(len(d)), order.shape[1])
             cols = order.reshape(-1)
-            keep = np.isfinite(d[rows, cols])
+            keep = np.isfinite(dist[rows, cols])
             out_i.append(ia[s : s + 128][rows[keep]])
             out_j.append(ib[cols[keep]])
-            out_d.append(d[rows[keep], cols[keep]] / 2 if cosine else np.sqrt(d[rows[keep], cols[keep]]))
+            out_d.append(dist[rows[keep], cols[keep]])
         return pa.table({"id": np.concatenate(out_i), "other": np.concatenate(out_j), "dist": np.concatenate(out_d)})
 
-    found = q.unionByName(p).groupBy("qb", "pb").applyInArrow(run, "id long, other long, dist double")
+    return run
+
+
+def nearest(queries: DataFrame, points: DataFrame, k: int, cosine: bool = False, exclude_self: bool = False) -> DataFrame:
+    """(id, other, dist, rank): the k nearest points (id, v) of every query (id, v), ties to the smaller id.
+
+    Points and queries meet block by block: the smaller dealt side is copied to the other's blocks, each task
+    keeps a query's best k of its block, and these are merged. No task holds more than two blocks. Every point is
+    compared with every query, so the work is the product of both sides, and a point is copied once for each block of
+    queries: meant for reference sets and cells by the million. A zero vector has distance 1/2 to all where `cosine` is set.
+    """
+    sizes = [max(1, -(-df.count() // BLOCK)) for df in (queries, points)]
+    q = queries.select("id", F.col("v").cast("array<double>").alias("v"), F.pmod(F.xxhash64("id"), F.lit(sizes[0])).alias("qb"), F.explode(_range(sizes[1])).alias("pb"), F.lit(True).alias("asks"))
+    p = points.select("id", F.col("v").cast("array<double>").alias("v"), F.explode(_range(sizes[0])).alias("qb"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(sizes[1])).alias("pb"), F.lit(False).alias("asks"))
+
+    found = q.unionByName(p).groupBy("qb", "pb").applyInArrow(block_search(k, cosine, exclude_self), "id long, other long, dist double")
     rank = F.row_number().over(W.partitionBy("id").orderBy(F.round("dist", 9), "other"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def transfer_labels(points: DataFrame, reference: DataFrame, k: int = 5) -> DataFrame:
-    """id, label, votes: the most frequent label among a point's k nearest reference points (id, v, label), ties to the smaller label."""
-    votes = nearest(points, reference, k).join(reference.select(F.col("id").alias("other"), "label"), "other")
+def transfer_labels(points: DataFrame, reference: DataFrame, k: int = 5, search: Callable[[DataFrame, DataFrame, int], DataFrame] = nearest) -> DataFrame:
+    """id, label, votes: the most frequent label among a point's k nearest reference points (id, v, label), ties to the smaller label.
+
+    `search` is nearest, or neighbours.nearest, which visits only cells that may hold a neighbour.
+    """
+    votes = search(points, reference, k).join(reference.select(F.col("id").alias("other"), "label"), "other")
     counts = votes.groupBy("id", "label").agg(F.count(F.lit(1)).alias("votes"))
     return counts.withColumn("r", F.row_number().over(W.partitionBy("id").orderBy(F.desc("votes"), "label"))).where("r = 1").drop("r")
 

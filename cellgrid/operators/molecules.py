@@ -80,22 +80,29 @@ def with_global_xy(molecules: DataFrame, positions: DataFrame) -> DataFrame:
     return molecules.drop("global_x", "global_y").join(pos, "fov").withColumns({"global_x": gx, "global_y": gy}).drop("_px", "_py")
 
 
-def assign_to_cells(molecules: DataFrame, mask: DataFrame, drifts: DataFrame | None = None, scale: int = 1, transpose: bool = False, flip_x: bool = True, flip_y: bool = True, side: int = PIXELS) -> DataFrame:
-    """cell_id added: the label of the mask pixel under each molecule, 0 where there is none.
-
-    mask has a row for each labelled pixel: fov, a0, a1, label, and az where it has slices. The array lookup
-    becomes an equi-join on tile and pixel, so its size follows the labelled pixels.
-    """
-    m = molecules.drop("cell_id")
+def mask_place(molecules: DataFrame, drifts: DataFrame | None = None, scale: int = 1, transpose: bool = False, flip_x: bool = True, flip_y: bool = True, side: int = PIXELS, slices: bool = False) -> DataFrame:
+    """a0 and a1 added, the mask pixel under each molecule, and az with `slices`; drifts of its tile are added first."""
     dx, dy = F.lit(0.0), F.lit(0.0)
+    m = molecules
     if drifts is not None:
         m = m.join(drifts.select("fov", F.col("x_drift").alias("_dx"), F.col("y_drift").alias("_dy")), "fov", "left")
         dx, dy = F.coalesce("_dx", F.lit(0.0)), F.coalesce("_dy", F.lit(0.0))
     px, py = pixel(F.col("x"), dx, scale, flip_x, side), pixel(F.col("y"), dy, scale, flip_y, side)
-    keys = {"a0": py if transpose else px, "a1": px if transpose else py} | ({"az": z_slice(F.col("z"))} if "az" in mask.columns else {})
-    m = m.withColumns(keys)
+    keys = {"a0": py if transpose else px, "a1": px if transpose else py} | ({"az": z_slice(F.col("z"))} if slices else {})
+    return m.withColumns(keys).drop("_dx", "_dy")
+
+
+def assign_to_cells(molecules: DataFrame, mask: DataFrame, drifts: DataFrame | None = None, scale: int = 1, transpose: bool = False, flip_x: bool = True, flip_y: bool = True, side: int = PIXELS) -> DataFrame:
+    """cell_id added: the label of the mask pixel under each molecule, 0 where there is none.
+
+    mask has a row for each labelled pixel: fov, a0, a1, label, and az where it has slices. The array lookup
+    becomes an equi-join on tile and pixel, so its size follows the labelled pixels; where masks come as arrays,
+    tiles.assign_by_tiles shuffles one row for each tile instead.
+    """
+    m = mask_place(molecules.drop("cell_id"), drifts, scale, transpose, flip_x, flip_y, side, slices="az" in mask.columns)
+    keys = ["a0", "a1", *(["az"] if "az" in mask.columns else [])]
     found = m.join(mask.where("label <> 0").select("fov", *keys, "label"), ["fov", *keys], "left")
-    return found.withColumn("cell_id", cell_id(F.col("fov"), F.col("label"))).drop("label", "_dx", "_dy", *keys)
+    return found.withColumn("cell_id", cell_id(F.col("fov"), F.col("label"))).drop("label", *keys)
 
 
 def link_cells(molecules: DataFrame, links: DataFrame) -> DataFrame:

@@ -53,6 +53,26 @@ def codebook(spark: SparkSession, sf_dir: str = "") -> DataFrame:
     return spark.createDataFrame(CODES, "name string, id string, row int, code array<int>")
 
 
+#: Bits of a code made of a part's size and brand.
+PART_BITS = 12
+
+
+def part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code for each size and brand that parts have, as a codebook: bit i is on where size * (2 i + 3) + brand * (i + 1) leaves under 5 of 16."""
+    number = F.substring("p_brand", 7, 2).cast("int")
+    part = table(spark, sf_dir, "part").select(F.col("p_size").cast("int").alias("size"), number.alias("number")).distinct()
+    code = F.transform(F.sequence(F.lit(0), F.lit(PART_BITS - 1)), lambda i: ((F.col("size") * (2 * i + 3) + F.col("number") * (i + 1)) % 16 < 5).cast("int"))
+    name = F.concat_ws("-", "number", "size")
+    return part.select(name.alias("name"), name.alias("id"), (F.col("number") * 100 + F.col("size")).alias("row"), code.alias("code"))
+
+
+def stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fov, az, a0, a1, label: four slices of the mask, each a pixel lower, with labels of its own; some cells are missing from some slices."""
+    px = mask(spark, sf_dir).select("*", F.explode(F.array(*[F.lit(i).cast("long") for i in range(4)])).alias("az"))
+    own = F.when(F.col("az") % 2 == 1, 60 - F.col("label")).otherwise(F.col("label"))
+    return px.where(((F.col("label") + F.col("fov")) % 6 != F.col("az")) & (F.col("a0") + F.col("az") < SIDE)).select("fov", "az", (F.col("a0") + F.col("az")).alias("a0"), "a1", own.alias("label"))
+
+
 def intensities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-number intensities of 16 bits for every molecule."""
     line = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("barcode_id"), F.col("l_suppkey").alias("fov")).distinct()
@@ -88,6 +108,11 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.col("event_type").alias("round"), F.col("user_id").alias("fov"), F.floor("value").cast("long").alias("size"))
 
 
+def files_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """files without those of purchases by every seventh user."""
+    return files(spark, sf_dir).where("not (round = 'purchase' and fov % 7 = 0)")
+
+
 def drifts(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
     return table(spark, sf_dir, "supplier").select(key.alias("fov"), ((key % 5) - 2.5).cast("double").alias("x_drift"), ((key % 3) - 1.0).cast("double").alias("y_drift"), (key % 4 + 1).cast("int").alias("hyb_round"))
@@ -145,6 +170,10 @@ SQL = {
     "mask": f"""mask AS (SELECT * FROM (
       SELECT fov, a0, a1, CASE WHEN ((fov // 10) * {PITCH} + a0) % 5 = 4 OR ((fov % 10) * {PITCH} + a1) % 5 = 4 THEN 0 ELSE 1 + (a0 // 5) * 5 + a1 // 5 END AS label
       FROM (SELECT s_suppkey AS fov, p // {SIDE} AS a0, p % {SIDE} AS a1 FROM supplier, range({SIDE * SIDE}) t(p))) WHERE label <> 0)""",
+    "part_codes": f"""part_codes AS (SELECT concat(number, '-', size) AS name, number * 100 + size AS "row", list_transform(range(0, {PART_BITS}), lambda i: CASE WHEN (size * (2 * i + 3) + number * (i + 1)) % 16 < 5 THEN 1 ELSE 0 END) AS code
+      FROM (SELECT DISTINCT p_size AS size, CAST(substr(p_brand, 7, 2) AS INT) AS number FROM part))""",
+    "stack": f"""stack AS (SELECT fov, az, a0 + az AS a0, a1, CASE WHEN az % 2 = 1 THEN 60 - label ELSE label END AS label FROM mask, range(4) t(az) WHERE (label + fov) % 6 <> az AND a0 + az < {SIDE})""",
+    "files_with_gaps": "files_with_gaps AS (SELECT * FROM files WHERE NOT (round = 'purchase' AND fov % 7 = 0))",
     "codebook": f"codebook AS (SELECT * FROM (VALUES {_SELECTED}) t(name, id, \"row\", code))",
     "intensities": "intensities AS (SELECT DISTINCT l_orderkey * 10 + l_linenumber AS barcode_id, l_suppkey AS fov, list_transform(range(16), lambda i: CAST(((l_orderkey * 10 + l_linenumber) * (i * i + 3) + i * 7) % 97 AS DOUBLE)) AS intensity FROM lineitem)",
     "cells": "cells AS (SELECT c_custkey AS cell, CAST(c_nationkey + 1 AS DOUBLE) AS volume, c_mktsegment AS \"cluster\" FROM customer)",

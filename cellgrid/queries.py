@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.operators import cells, codebook, design, image, learn, matrix, molecules, qc, spatial
+from cellgrid.operators import cells, codebook, design, image, learn, leiden, markers, matrix, molecules, neighbours, qc, spatial, tiles
 from cellgrid.plans import views as V
+from cellgrid.plans.mask_store import MaskStore
+from cellgrid.plans.store import fresh_path
 from cellgrid.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,13 +113,22 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return r6(molecules.with_global_xy(V.molecules(s, d), V.positions(s, d)), "global_x", "global_y").select("barcode_id", "fov", "global_x", "global_y")
 
 
-@query("j3_assign_to_cells", f"""{V.sql('molecules', 'mask', 'drifts')},
+_ASSIGNED = f"""{V.sql('molecules', 'mask', 'drifts')},
 placed AS (SELECT barcode_id, m.fov, least({V.SIDE} - floor(round_even(m.x + x_drift, 0) / 93), {V.SIDE - 1}) AS a0, least({V.SIDE} - floor(round_even(m.y + y_drift, 0) / 93), {V.SIDE - 1}) AS a1 FROM molecules m LEFT JOIN drifts d USING (fov))
-SELECT barcode_id, CASE WHEN (fov * 10000 + coalesce(label, 0)) % 10000 = 0 THEN 0 ELSE fov * 10000 + label END AS cell_id FROM placed LEFT JOIN mask USING (fov, a0, a1)""")
+SELECT barcode_id, CASE WHEN (fov * 10000 + coalesce(label, 0)) % 10000 = 0 THEN 0 ELSE fov * 10000 + label END AS cell_id FROM placed LEFT JOIN mask USING (fov, a0, a1)"""
+
+
+@query("j3_assign_to_cells", _ASSIGNED)
 def _(s: SparkSession, d: str) -> DataFrame:
     return molecules.assign_to_cells(V.molecules(s, d), V.mask(s, d), V.drifts(s, d), scale=93, side=V.SIDE).select("barcode_id", "cell_id")
 
 
+@query("j3_assign_by_tiles", _ASSIGNED)
+def _(s: SparkSession, d: str) -> DataFrame:
+    packed = tiles.pack_tiles(V.mask(s, d), V.SIDE)
+    return tiles.assign_by_tiles(V.molecules(s, d).drop("z"), packed, V.drifts(s, d), scale=93, side=V.SIDE).select("barcode_id", "cell_id")
+
+
 # --- tiles ---------------------------------------------------------------------------------------------------------
 
 
@@ -245,15 +256,36 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return qc.label_points(V.mask(s, d))
 
 
+@query("q15_contours", f"""{V.sql('mask')}, sides AS (SELECT fov, label, count(*) AS area, sum(4 - n) AS length FROM (
+  SELECT m.fov, m.label, m.a0, m.a1, count(o.label) AS n FROM mask m LEFT JOIN mask o ON o.fov = m.fov AND o.label = m.label AND abs(o.a0 - m.a0) + abs(o.a1 - m.a1) = 1 GROUP BY ALL) GROUP BY fov, label)
+SELECT fov, label, CAST(area AS BIGINT) AS area, CAST(length AS BIGINT) AS length FROM sides""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    rings = tiles.contours(tiles.pack_tiles(V.mask(s, d), V.SIDE))
+    return rings.groupBy("fov", "label").agg(F.sum("area").alias("area"), F.sum("length").alias("length"))
+
+
+@query("i5_stitch_slices", f"""{V.sql('mask', 'stack')}, area AS (SELECT fov, az, label, count(*) AS n FROM stack GROUP BY ALL),
+pairs AS (SELECT b.fov, b.az, b.label, a.label AS prev, count(*) AS k FROM stack a JOIN stack b ON a.fov = b.fov AND a.az + 1 = b.az AND a.a0 = b.a0 AND a.a1 = b.a1 GROUP BY ALL),
+shares AS (SELECT p.*, CAST(k AS DOUBLE) / (x.n + y.n - k) AS iou FROM pairs p JOIN area x ON x.fov = p.fov AND x.az = p.az AND x.label = p.label JOIN area y ON y.fov = p.fov AND y.az = p.az - 1 AND y.label = p.prev),
+tops AS (SELECT * FROM (SELECT *, max(iou) OVER (PARTITION BY fov, az, prev) AS best FROM shares WHERE iou >= 0.25) WHERE iou = best),
+links AS (SELECT fov, az, label, prev FROM (SELECT *, row_number() OVER (PARTITION BY fov, az, label ORDER BY iou DESC, prev) AS r FROM tops) WHERE r = 1),
+roots AS (SELECT fov, az, label, row_number() OVER (PARTITION BY fov ORDER BY az, label) AS cell FROM area ANTI JOIN links USING (fov, az, label)),
+chain AS (SELECT * FROM roots UNION ALL SELECT l.fov, l.az, l.label, c.cell FROM chain c JOIN links l ON l.fov = c.fov AND l.az = c.az + 1 AND l.prev = c.label)
+SELECT fov, az, a0, a1, cell AS label FROM stack JOIN chain USING (fov, az, label)""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return tiles.stitch_slices(V.stack(s, d))
+
+
 # --- codebooks -----------------------------------------------------------------------------------------------------
 
 _EXPANDED = """expanded AS (SELECT name, id, "row", b AS error_bit, list_transform(code, lambda v, i: CASE WHEN i = b THEN 1 - v ELSE v END) AS code FROM codebook, range(17) t(b)),
 weighted AS (SELECT *, list_sum(code) AS weight, b_place AS place FROM (SELECT *, error_bit * 1000000 + "row" AS b_place FROM expanded))"""
 
 
-@query("p2_expand_codebook", f"{V.sql('codebook')}, {_EXPANDED} SELECT name, id, error_bit, CAST(weight AS INT) AS weight, array_to_string(code, '') AS bits, round(sqrt(CAST(1 AS DOUBLE) / weight), 6) AS unit FROM weighted")
+@query("p2_expand_codebook", f"""{V.sql('part_codes')}, expanded AS (SELECT name, b AS error_bit, list_transform(code, lambda v, i: CASE WHEN i = b THEN 1 - v ELSE v END) AS code FROM part_codes, range({V.PART_BITS + 1}) t(b))
+SELECT name, name AS id, error_bit, CAST(list_sum(code) AS INT) AS weight, array_to_string(code, '') AS bits, round(sqrt(CAST(1 AS DOUBLE) / nullif(list_sum(code), 0)), 6) AS unit FROM expanded""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    out = codebook.expand(V.codebook(s))
+    out = codebook.expand(V.part_codes(s, d))
     return out.select("name", "id", F.col("error_bit").cast("long").alias("error_bit"), "weight", F.concat_ws("", F.transform("code", lambda v: v.cast("string"))).alias("bits"), F.round(F.array_max("unit"), 6).alias("unit"))
 
 
@@ -264,14 +296,14 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return codebook.decode(V.intensities(s, d), codebook.expand(V.codebook(s))).select("barcode_id", "fov", "gene", "error_type", "error_bit")
 
 
-@query("a25_hamming", f"""{V.sql('codebook')} SELECT CAST(list_sum(list_transform(range(1, 17), lambda i: CASE WHEN a.code[i] <> b.code[i] THEN 1 ELSE 0 END)) AS INT) AS distance, count(*) AS n FROM codebook a JOIN codebook b ON a."row" < b."row" GROUP BY 1""")
+@query("a25_hamming", f"""{V.sql('part_codes')} SELECT CAST(list_sum(list_transform(range(1, {V.PART_BITS + 1}), lambda i: CASE WHEN a.code[i] <> b.code[i] THEN 1 ELSE 0 END)) AS INT) AS distance, count(*) AS n FROM part_codes a JOIN part_codes b ON a."row" < b."row" GROUP BY 1""")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return codebook.hamming_histogram(V.codebook(s))
+    return codebook.hamming_histogram(V.part_codes(s, d))
 
 
-@query("a26_bit_load", f"{V.sql('codebook')} SELECT round(stddev_pop(load), 6) AS load_std FROM (SELECT i, CAST(sum(code[i]) AS DOUBLE) AS load FROM codebook, range(1, 17) t(i) GROUP BY i)")
+@query("a26_bit_load", f"{V.sql('part_codes')} SELECT round(stddev_pop(load), 6) AS load_std FROM (SELECT i, CAST(sum(code[i]) AS DOUBLE) AS load FROM part_codes, range(1, {V.PART_BITS + 1}) t(i) GROUP BY i)")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return r6(codebook.bit_load(V.codebook(s)), "load_std")
+    return r6(codebook.bit_load(V.part_codes(s, d)), "load_std")
 
 
 @query("g1_organisation", f"""SELECT concat('bit', b) AS channel, CAST(b AS INT) AS bit, CAST((b - 1) // {_N} + 1 AS INT) AS hyb_round, {_COLOUR}[(b - 1) % {_N} + 1] AS colour, array_to_string(list_transform(range(7), lambda z: (b - 1) % {_N} + z * {_N + 1}), ',') AS frames FROM range(1, 17) t(b)
@@ -318,9 +350,9 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return matrix.bit_counts(V.counts(s, d), _book_of_brands(s))
 
 
-@query("j11_empty_cells", f"{V.sql('cells', 'counts')} SELECT cell FROM cells WHERE cell NOT IN (SELECT cell FROM counts)")
+@query("j11_empty_cells", f"{V.sql('cells', 'counts')} SELECT cell FROM cells WHERE cell NOT IN (SELECT cell FROM counts WHERE gene = 'Brand#55')")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return matrix.empty_cells(V.counts(s, d), V.cells(s, d)).select("cell")
+    return matrix.empty_cells(V.counts(s, d).where("gene = 'Brand#55'"), V.cells(s, d)).select("cell")
 
 
 @query("j11_dense_totals", f"{V.sql('cells', 'counts')} SELECT cell, CAST(coalesce(sum(n), 0) AS BIGINT) AS total FROM cells LEFT JOIN counts USING (cell) GROUP BY cell")
@@ -414,14 +446,14 @@ _KNN = "knn AS (SELECT * FROM (SELECT a.id, b.id AS other, b.label, sqrt(list_su
 @query("j22_neighbour_graph", f"{V.sql('vectors')}, {_KNN.format(on='a.id <> b.id', n=10)} SELECT id, other, round(dist, 6) AS dist, CAST(k AS INT) AS rank FROM knn")
 def _(s: SparkSession, d: str) -> DataFrame:
     v = V.vectors(s, d)
-    return r6(learn.nearest(v, v, 10, exclude_self=True), "dist")
+    return r6(neighbours.nearest(v, v, 10, exclude_self=True), "dist")
 
 
 @query("m8_transfer_labels", f"""{V.sql('vectors')}, {_KNN.format(on='a.id % 2 = 0 AND b.id % 2 = 1', n=5)}, votes AS (SELECT id, label, count(*) AS votes FROM knn GROUP BY id, label)
 SELECT id, label, votes FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) AS r FROM votes) WHERE r = 1""")
 def _(s: SparkSession, d: str) -> DataFrame:
     v = V.vectors(s, d)
-    return learn.transfer_labels(v.where("id % 2 = 0"), v.where("id % 2 = 1"))
+    return learn.transfer_labels(v.where("id % 2 = 0"), v.where("id % 2 = 1"), search=neighbours.nearest)
 
 
 @query("a24_silhouettes", f"""{V.sql('vectors')}, means AS (SELECT a.id, a.label AS own, b.label AS other, sum(sqrt(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: (a.v[i] - b.v[i]) * (a.v[i] - b.v[i]))))) / CASE WHEN a.label = b.label THEN nullif(count(*) - 1, 0) ELSE count(*) END AS m FROM vectors a, vectors b GROUP BY a.id, a.label, b.label),
@@ -454,6 +486,17 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return learn.propagate_labels(learn.nearest(v, v, 10, exclude_self=True))
 
 
+@query("m5_leiden")
+def _(s: SparkSession, d: str) -> DataFrame:
+    v = V.vectors(s, d)
+    return leiden.leiden(neighbours.nearest(v, v, 10, exclude_self=True).select("id", "other"))
+
+
+@query("m10_markers")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return markers.find_markers(V.counts(s, d).select("cell", "gene", F.col("n").alias("v")), V.cells(s, d).select("cell", "cluster"))
+
+
 @query("m6_cluster_links")
 def _(s: SparkSession, d: str) -> DataFrame:
     v = V.vectors(s, d)
@@ -591,9 +634,9 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return qc.completeness(V.files(s, d).select("round", "fov").distinct())
 
 
-@query("j24_missing_files", f"{V.sql('files')} SELECT round, fov FROM (SELECT DISTINCT round FROM files), (SELECT DISTINCT fov FROM files) EXCEPT SELECT round, fov FROM files")
+@query("j24_missing_files", f"{V.sql('files', 'files_with_gaps')} SELECT round, fov FROM (SELECT DISTINCT round FROM files_with_gaps), (SELECT DISTINCT fov FROM files_with_gaps) EXCEPT SELECT round, fov FROM files_with_gaps")
 def _(s: SparkSession, d: str) -> DataFrame:
-    return qc.missing_files(V.files(s, d)).select("round", "fov")
+    return qc.missing_files(V.files_with_gaps(s, d)).select("round", "fov")
 
 
 @query("a21_uneven_rounds", f"{V.sql('files')} SELECT round, count(DISTINCT size) AS sizes FROM files GROUP BY round HAVING count(DISTINCT size) > 1")
@@ -685,6 +728,33 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return _floats(image.over_frames(V.frames(s, d), lambda a: image.translate(a, 3, -2)))
 
 
+_WARP = [[0.75, 0.25, 1.5], [-0.25, 0.75, 4.25], [0.0, 0.0, 1.0]]
+
+
+@query("i10_warp", f"""{V.sql('frames')}, placed AS (SELECT fov, a0, a1, 0.75::DOUBLE * a1 + 0.25 * a0 + 1.5 AS x, -0.25::DOUBLE * a1 + 0.75 * a0 + 4.25 AS y FROM frames),
+taps AS (SELECT p.fov, p.a0, p.a1, n.v * (CASE WHEN i = 0 THEN 1 - (y - floor(y)) ELSE y - floor(y) END) * (CASE WHEN j = 0 THEN 1 - (x - floor(x)) ELSE x - floor(x) END) AS v
+  FROM placed p, range(2) t(i), range(2) u(j) LEFT JOIN frames n ON n.fov = p.fov AND n.a0 = floor(y) + i AND n.a1 = floor(x) + j)
+SELECT fov, a0, a1, round(coalesce(sum(v), 0), 6) AS v FROM taps GROUP BY fov, a0, a1""")
+def _(s: SparkSession, d: str) -> DataFrame:
+    inverse = F.array(*[F.array(*map(F.lit, row)) for row in _WARP])
+    frames = V.frames(s, d)
+    return _floats(image.warp_frames(frames, frames.select("fov", inverse.alias("matrix"))))
+
+
+@query("i7_mask_store", ORACLE_SQL["i5_segment"])
+def _(s: SparkSession, d: str) -> DataFrame:
+    """Every other tile is asked for first; the second time only the others are made."""
+    store, frames = MaskStore(s, fresh_path(s, "masks")), V.bright(s, d)
+    labels = lambda a: image.threshold_cells(a, 100)
+    store.masks(frames.where("fov % 2 = 0"), labels)
+    return tiles.unpack_tiles(store.masks(frames, labels)).drop("az")
+
+
+@query("s3_footer_count", "SELECT count(*) AS n FROM lineitem")
+def _(s: SparkSession, d: str) -> DataFrame:
+    return tables.footer_counts(s, f"{d}/lineitem.parquet")[0]
+
+
 # --- names, codes and rows -----------------------------------------------------------------------------------------
 
 

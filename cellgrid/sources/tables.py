@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,10 +153,39 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
 
 
 def raw_count(molecules: DataFrame) -> DataFrame:
-    """fov, n; from Parquet footers where the session pushes aggregates down."""
+    """fov, n; footer_counts answers the same of a table whose folders are tiles without reading it."""
     return molecules.groupBy("fov").agg(F.count(F.lit(1)).alias("n"))
 
 
+@contextlib.contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Settings under which Spark reads Parquet through its newer source and answers counts from footers.
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+def footer_counts(spark: SparkSession, path: str, by: str | None = None) -> tuple[DataFrame, str]:
+    """((n) or (by, n), the plan): rows of a Parquet table from its files' footers; no column is read.
+
+    `by` must be a column of the table's folders, such as fov. The answer has one row for each of its values.
+    """
+    with _settings(spark, _FOOTERS):
+        rows = spark.read.parquet(path)
+        counted = (rows.groupBy(by) if by else rows).agg(F.count(F.lit(1)).alias("n"))
+        plan = counted._jdf.queryExecution().optimizedPlan().toString() + counted._jdf.queryExecution().executedPlan().toString()
+        out = spark.createDataFrame(counted.collect(), counted.schema)
+    return out, plan
+
+
 def template_names(spark: SparkSession, path: str) -> DataFrame:
     """name, kind ('blank' or 'gene') of a template's lines."""
     lines = spark.read.text(path).select(F.trim("value").alias("name")).where("name <> ''")
