@@ -6,7 +6,7 @@ without punctuation, a run of one-letter words put together, or a window of an o
 learns from labelled sentences, each of which stands for its worst unit; a text's score is a logistic link of
 its worst unit's margin and of how many units are on the toxic side.  Only a unit that shares a subsequence of
 the kernel's length with a landmark has a kernel value other than zero, which a bit-parallel longest common
-subsequence finds first.
+subsequence finds first; so insults of fewer bytes than that have no value and are no landmarks.
 """
 
 from __future__ import annotations
@@ -26,13 +26,20 @@ from cellgrid.llm._text import _LOWER, NON_SPACE, byte_class, flat, pieces, word
 
 #: Length of the subsequences that the kernel counts, and the discount of each position they span.
 LENGTH, DECAY = 4, 0.75
-#: Longer words are read in windows of so many bytes, each starting half a window after the last.
-WINDOW = 24
+#: Longer words are read in windows of so many bytes, each starting STEP after the last: any 17 bytes in a row lie whole in one.
+WINDOW, STEP = 24, 8
 #: Landmarks are at most this long: a state of the common subsequence fits 16 bits.
 LANDMARK = 16
 
-#: A sentence of a toxic document is shown as toxic if its unit's kernel with a landmark is over the first; a clean sentence teaches something over the second.
-NEAR, FAR = 0.5, 0.1
+#: A clean sentence teaches something where its unit's kernel with a landmark is over this.
+FAR = 0.1
+#: What folds within the training rows choose from: costs of an example, and how near to a landmark the unit of a toxic
+#: document's sentence must be for the sentence to be shown as toxic.
+COSTS, NEARS, FOLDS = (1.0, 3.0, 10.0, 30.0), (0.35, 0.5, 0.65), 3
+#: Documents that a rare unit is in at most, and hashes of rare units by which near copies are told.
+RARE, KEYS = 20, 4
+#: Share of landmarks that may be there by chance.
+CHANCE = 0.1
 
 _PUNCTUATION = byte_class((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 
@@ -51,20 +58,20 @@ def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     short = length <= WINDOW
     starts, ends, docs, more = [start[short]], [end[short]], [doc[short]], []
     if len(long):
-        half = WINDOW // 2
-        n = -(-(length[long] - WINDOW) // half) + 1
+        n = -(-(length[long] - WINDOW) // STEP) + 1
         i = np.repeat(long, n)
-        shift = (np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)) * half
+        shift = (np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)) * STEP
         starts.append(start[i] + shift)
         ends.append(np.minimum(start[i] + shift + WINDOW, end[i]))
         docs.append(doc[i])
-    lone = length == 1
+    letters = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before each byte
+    lone = letters[end] - letters[start] == 1
     edge = np.flatnonzero(np.diff(np.concatenate([[0], (lone[1:] & lone[:-1] & (doc[1:] == doc[:-1])).astype(np.int8), [0]])))
     at = len(data)
     for a, z in zip(edge[::2], edge[1::2] + 1, strict=True):
         if z - a >= LENGTH:
-            run = data[start[a:z]]
-            for s in range(0, max(len(run) - WINDOW, 0) + WINDOW // 2, WINDOW // 2):  # the last window holds the run's end
+            run = np.concatenate([data[i:j] for i, j in zip(start[a:z], end[a:z], strict=True)])
+            for s in range(0, max(len(run) - WINDOW, 0) + STEP, STEP):  # the last window holds the run's end
                 part = run[s : s + WINDOW]
                 more.append(part)
                 starts.append(np.array([at]))
@@ -298,19 +305,18 @@ def fit_bags(bags: Bags, n_landmarks: int = 32, rounds: int = 3) -> ToxicModel:
     """A multiple-instance support vector machine on labelled sentences (Andrews et al. 2003).
 
     A sentence stands for its unit of the largest margin. Sentences of clean documents are clean; those of toxic documents are
-    toxic where that unit's kernel with a landmark is over NEAR, as a toxic document has clean sentences too. The machine
-    learns both apart, then the units are chosen anew by its margins, for some rounds. Landmarks are units that far more
-    toxic than clean documents hold, unlike each other; each is also shown with one inserted letter.
+    toxic where that unit's kernel with a landmark is near enough, as a toxic document has clean sentences too. The machine
+    learns both apart, then the units are chosen anew by its margins, for some rounds. Landmarks are units that toxic
+    documents hold more often than chance explains, unlike each other; each is also shown with one inserted letter. The cost
+    of an example and how near is enough are chosen by folds within these documents: the pair of the least loss on documents
+    that it was not fitted on, plus the share of stretched landmarks on the clean side; ties go to the first pair.
     """
     rows, y = bags.rows, (bags.label > 0).astype(np.float64)
     d = bags.doc[bags.sentence]
     n_units = max(len(rows), 1)
     held = np.unique(d * n_units + bags.unit)
-    bad, good = (np.bincount(held % n_units, w[held // n_units], len(rows)) for w in (y, 1 - y))
-    odds = np.log((bad + 0.5) / (y.sum() + 1)) - np.log((good + 0.5) / ((1 - y).sum() + 1))
-    size = (rows > 0).sum(1)
-    weight = np.where((size >= LENGTH) & (size <= LANDMARK) & (bad >= 2) & (odds > 2), bad * odds, 0)
-    chosen = _landmarks(rows, weight, n_landmarks)
+    good = np.bincount(held % n_units, (1 - y)[held // n_units], len(rows))
+    chosen = _landmarks(rows, held % n_units, held // n_units, y, good, n_landmarks)
     if not len(chosen):
         p = (y.sum() + 1) / (len(y) + 2)
         none = np.zeros((0, LANDMARK), dtype=np.uint8)
@@ -320,22 +326,65 @@ def fit_bags(bags: Bags, n_landmarks: int = 32, rounds: int = 3) -> ToxicModel:
     k = model.kernel(rows)
     gram = np.clip(model.kernel(np.pad(landmarks, ((0, 0), (0, WINDOW - LANDMARK)))), 0, 1)
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
-    sound = value > 1e-6
-    root = vector[:, sound] / np.sqrt(value[sound])  # Nystroem: features whose dot products are the kernel on the landmarks
+    whole = value > 1e-6
+    root = vector[:, whole] / np.sqrt(value[whole])  # Nystroem: features whose dot products are the kernel on the landmarks
     near = model.kernel(_stretched(rows[chosen]))
-    margin = k.max(1) - good / max(good.max(), 1)  # before a machine is there: likeness to a landmark, less for what clean documents hold
-    toxic_doc = y[d] > 0
+    first = k.max(1) - good / max(good.max(), 1)  # before a machine is there: likeness to a landmark, less for what clean documents hold
+    fold_of = _spread(bags.tid) % np.uint64(FOLDS)
+    best = None
+    for cost in COSTS:
+        for least in NEARS:
+            loss = 0.0
+            for f in range(FOLDS):
+                ours, theirs = fold_of != f, fold_of == f
+                if not theirs.any() or len(np.unique(y[ours])) < 2:
+                    continue
+                alpha, offset, link = _machine(bags, k, near, root, first, y, ours, cost, least, rounds)
+                z = text_signs((k @ alpha + offset)[bags.unit], d, len(y), offset, bags.times.astype(np.float64))[theirs] @ link[:-1] + link[-1]
+                loss += float(np.logaddexp(0, np.where(y[theirs] > 0, -z, z)).mean()) + float(np.mean(near @ alpha + offset <= 0))
+            if best is None or loss < best[0] - 1e-9:
+                best = (loss, cost, least)
+    model.alpha, model.offset, model.link = _machine(bags, k, near, root, first, y, np.ones(len(y), dtype=bool), *best[1:], rounds)
+    return model
+
+
+def _spread(tids: np.ndarray) -> np.ndarray:
+    return (tids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+
+
+def _machine(bags: Bags, k: np.ndarray, near: np.ndarray, root: np.ndarray, margin: np.ndarray, y: np.ndarray, ours: np.ndarray, price: float, least: float, rounds: int) -> tuple[np.ndarray, float, np.ndarray]:
+    """Weights of the landmarks, offset and link, fitted on the documents that are `ours`."""
+    d = bags.doc[bags.sentence]
+    able = np.flatnonzero((k.max(1) > FAR)[bags.unit] & ours[d])  # no other unit can stand for its sentence
+    unit, sentence, bad = bags.unit[able], bags.sentence[able], y[d[able]] > 0
     for _ in range(rounds):
-        plus, minus = (np.unique(_best(bags.unit[of], bags.sentence[of], margin)) for of in (toxic_doc, ~toxic_doc))
-        plus, minus = plus[k[plus].max(1) > NEAR], minus[k[minus].max(1) > FAR]
+        plus, minus = (np.unique(_best(unit[of], sentence[of], margin)) for of in (bad, ~bad))
+        plus, minus = plus[k[plus].max(1) > least], minus[k[minus].max(1) > FAR]
         x = np.vstack([k[plus], near, k[minus], np.zeros((1, k.shape[1]))]) @ root
         side = np.concatenate([np.ones(len(plus) + len(near)), -np.ones(len(minus) + 1)])
-        cost = 10.0 * np.where(side > 0, max(1.0, (side < 0).sum() / max((side > 0).sum(), 1)), 1.0)
-        w, model.offset = _svm(x, side, cost)
-        model.alpha = root @ w
-        margin = k @ model.alpha + model.offset
-    model.link = _link(text_signs(margin[bags.unit], d, len(y), model.offset, bags.times.astype(np.float64)), y)
-    return model
+        cost = price * np.where(side > 0, max(1.0, (side < 0).sum() / max((side > 0).sum(), 1)), 1.0)
+        w, offset = _svm(x, side, cost)
+        alpha = root @ w
+        margin = k @ alpha + offset
+    signs = text_signs(margin[bags.unit], d, len(y), offset, bags.times.astype(np.float64))
+    return alpha, offset, _link(signs[ours], y[ours])
+
+
+def _chance(hits: np.ndarray, held: np.ndarray, share: float) -> np.ndarray:
+    """A bound on the chance that so many of `held` documents are toxic: exp(-held * divergence of their share from `share`)."""
+    if not 0 < share < 1:
+        return np.ones(len(hits))
+    q = np.divide(hits, held, out=np.zeros(len(hits)), where=held > 0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        apart = np.where(q > 0, q * np.log(q / share), 0) + np.where(q < 1, (1 - q) * np.log((1 - q) / (1 - share)), 0)
+    return np.where(q > share, np.exp(-held * apart), 1.0)
+
+
+def _beyond_chance(hits: np.ndarray, held: np.ndarray, share: float) -> float:
+    """The greatest chance that is still no accident among so many units (Benjamini and Hochberg 1995, at CHANCE); 0 if there is none. Units of one document are no test."""
+    chance = np.sort(_chance(hits, held, share)[held >= 2])
+    passed = np.flatnonzero(chance <= CHANCE * np.arange(1, len(chance) + 1) / max(len(chance), 1))
+    return float(chance[passed[-1]]) if len(passed) else 0.0
 
 
 def _best(unit: np.ndarray, group: np.ndarray, margin: np.ndarray) -> np.ndarray:
@@ -345,16 +394,51 @@ def _best(unit: np.ndarray, group: np.ndarray, margin: np.ndarray) -> np.ndarray
     return unit[order][np.concatenate([[True], g[1:] != g[:-1]])] if len(g) else unit
 
 
-def _landmarks(rows: np.ndarray, weight: np.ndarray, most: int) -> np.ndarray:
-    """Units of great weight that are unlike those chosen before: each likeness to one of them scales the weight down."""
-    able = np.flatnonzero(weight > 0.02 * weight.max(initial=0))
-    able = able[np.lexsort((able, -weight[able]))][: 40 * most]
-    left, short = weight[able].copy(), np.ascontiguousarray(rows[able][:, :LANDMARK])
-    own = subsequence_kernel(short, short) if len(able) else np.zeros(0)
+def _independent(unit: np.ndarray, doc: np.ndarray, y: np.ndarray, n_units: int) -> np.ndarray:
+    """How many toxic documents hold each unit, near copies of one document counted once.
+
+    Documents are taken for copies if the rare units of both (held by at most RARE documents) have one least hash; of KEYS
+    hashes, the one that gives the fewest counts.
+    """
+    mine = y[doc] > 0
+    unit, doc = unit[mine], doc[mine]
+    rare = np.bincount(unit, minlength=n_units)[unit] <= RARE
+    counts = []
+    for i in range(KEYS):
+        with np.errstate(over="ignore"):
+            spread = (unit.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15 + 2 * i)
+            spread = (spread ^ (spread >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        key = np.arange(len(y)).astype(np.uint64)  # a document without rare units is like no other
+        least = np.full(len(y), np.iinfo(np.uint64).max)
+        np.minimum.at(least, doc[rare], spread[rare])
+        key = np.where(least < np.iinfo(np.uint64).max, least, key)
+        pairs = np.unique(np.stack([unit.astype(np.uint64), key[doc]]), axis=1)
+        counts.append(np.bincount(pairs[0].astype(np.int64), minlength=n_units))
+    return np.min(counts, axis=0).astype(np.float64)
+
+
+def _landmarks(rows: np.ndarray, unit: np.ndarray, doc: np.ndarray, y: np.ndarray, good: np.ndarray, most: int) -> np.ndarray:
+    """Units (pairs of unit and doc say who holds them) that toxic documents hold beyond chance, unlike those chosen before.
+
+    Likeness to a landmark scales a unit down. Where labels are so few that nothing is beyond chance, units of at least two
+    toxic documents are taken.
+    """
+    size = (rows > 0).sum(1)
+    able = (size >= LENGTH) & (size <= LANDMARK)
+    share, n_bad, n_good = (y.mean() if len(y) else 0.0), y.sum(), (1 - y).sum()
+    bad = _independent(unit, doc, y, len(rows))
+    odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((good + 0.5) / (n_good + 1))
+    limit = _beyond_chance(bad, bad + good, share)
+    sound = _chance(bad, bad + good, share) <= limit if limit else bad >= 2
+    weight = np.where(able & sound & (odds > 2), bad * odds, 0)
+    some = np.flatnonzero(weight > 0.02 * weight.max(initial=0))
+    some = some[np.lexsort((some, -weight[some]))][: 40 * most]
+    left, short = weight[some].copy(), np.ascontiguousarray(rows[some][:, :LANDMARK])
+    own = subsequence_kernel(short, short) if len(some) else np.zeros(0)
     chosen: list[int] = []
-    while len(chosen) < most and len(able) and left.max() > 0.02 * weight.max():
+    while len(chosen) < most and len(some) and left.max() > 0.02 * weight.max():
         i = int(np.argmax(left))
-        chosen.append(int(able[i]))
+        chosen.append(int(some[i]))
         like = subsequence_kernel(short, np.repeat(short[i : i + 1], len(short), axis=0)) / np.sqrt(own * own[i])
         left *= 1 - np.clip(like, 0, 1)
         left[i] = 0

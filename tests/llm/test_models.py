@@ -263,3 +263,28 @@ def test_network_steps_follow_measured_slopes():
         seen = np.sqrt(memory[name])  # the first step's mean squares are the squared gradients, scaled alike
         known = np.abs(slope) / max(np.abs(slope).max(), 1e-12)
         assert np.allclose(seen / seen.max(), known, atol=2e-3), name
+
+
+def test_units_hold_every_stretch_of_a_landmarks_length_and_runs_of_any_letters():
+    """Any 17 bytes of an overlong word lie whole in one unit; letters of one code point each are put together."""
+    word = "".join(chr(97 + i * 7 % 26) for i in range(61))
+    held = lambda text: [bytes(r[r > 0]).decode(errors="replace") for r in tox.distinct_units(pa.array([text]))[0]]
+    for at in range(len(word) - 16):
+        assert any(word[at : at + 17] in u for u in held(word))
+    assert "idióts" in held("so i d i ó t s there") and "идиот" in held("и д и о т")
+    assert max(map(len, held(" ".join("и" * 40)))) == 12  # a window of 24 bytes
+
+
+def test_landmarks_are_beyond_chance_and_copies_count_once():
+    rng = np.random.default_rng(5)
+    hits, held = np.array([2.0, 30.0, 3.0, 0.0, 1.0]), np.array([2.0, 31.0, 40.0, 9.0, 1.0])
+    chance = tox._chance(hits, held, 0.1)
+    exact = [sum(math.comb(int(n), i) * 0.1**i * 0.9 ** (n - i) for i in range(int(h), int(n) + 1)) for h, n in zip(hits, held, strict=True)]
+    assert (chance >= np.array(exact) - 1e-12).all() and chance[1] < 1e-20 and chance[2] == chance[3] == 1.0
+    assert tox._beyond_chance(np.array([1.0, 2.0]), np.array([30.0, 20.0]), 0.1) == 0.0
+    # twenty near copies of one toxic document share nine of ten rare units; thirty others hold the insult
+    texts = [" ".join([f"rare{i}" for i in range(30) if i != c] + ["oddword"]) for c in range(20)]
+    texts += [" ".join(["".join(rng.choice(list("abcdefghij"), 9)) for _ in range(20)] + ["vugmok"] * (j < 30)) for j in range(300)]
+    labels = [1] * 20 + [int(j < 30) for j in range(300)]
+    model = tox.fit_toxicity(texts, labels)
+    assert {bytes(r[r > 0]) for r in model.landmarks} == {b"vugmok"}
