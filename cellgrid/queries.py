@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.operators import cells, codebook, design, image, learn, leiden, markers, matrix, molecules, neighbours, qc, spatial, tiles
+from cellgrid.operators import cells, codebook, design, image, layout, learn, leiden, markers, matrix, molecules, neighbours, qc, spatial, tiles
 from cellgrid.plans import views as V
 from cellgrid.plans.mask_store import MaskStore
 from cellgrid.plans.store import fresh_path
@@ -492,6 +492,14 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return leiden.leiden(neighbours.nearest(v, v, 10, exclude_self=True).select("id", "other"))
 
 
+@query("m6_layout")
+def _(s: SparkSession, d: str) -> DataFrame:
+    v = V.vectors(s, d)
+    scored, _ = learn.pca(v, 2, key="id")
+    start = scored.select("id", F.element_at("pc", 1).alias("x"), F.element_at("pc", 2).alias("y"))
+    return layout.layout(layout.fuzzy_graph(neighbours.nearest(v, v, 10, exclude_self=True)), start)
+
+
 @query("m10_markers")
 def _(s: SparkSession, d: str) -> DataFrame:
     return markers.find_markers(V.counts(s, d).select("cell", "gene", F.col("n").alias("v")), V.cells(s, d).select("cell", "cluster"))
