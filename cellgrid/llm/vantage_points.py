@@ -183,10 +183,17 @@ def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
 
 
 def sound_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """vec_id (long) and v (array<double>) of the rows that can take part: no null, non-finite or missing component, not all zero, no null id."""
+    """vec_id (long) and v (array<double>) of the rows that can take part: no null, non-finite or missing component, not all zero, no null id.
+
+    Vectors so small or so large that their squares leave the range of a double are scaled by a power of two, which no cosine shows.
+    """
     v = F.col(embedding).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0))
+    top = F.array_max(F.transform(v, F.abs))
+    power = F.greatest(F.least(-F.floor(F.log2(top)), F.lit(1000)), F.lit(-1000))
+    scaled = F.when(top.between(1e-100, 1e100), v).otherwise(F.transform(v, lambda x: x * F.pow(F.lit(2.0), power)))
+    good = F.col(vec_id).isNotNull() & v.isNotNull() & finite & F.exists(v, lambda x: x != 0)
+    return vectors.where(good).select(F.col(vec_id).cast("long").alias("vec_id"), scaled.alias("v"))
 
 
 def _unit(v: np.ndarray) -> np.ndarray:

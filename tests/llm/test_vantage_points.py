@@ -81,3 +81,29 @@ def test_greater_factors_prune_more_and_keep_recall():
     found = vp.search_shard(ids, v, ids[:60], q, 5, 1.5)
     both = set(zip(*map(list, exact[:2]), strict=True)) & set(zip(*map(list, found[:2]), strict=True))
     assert len(both) >= 0.9 * len(exact[0])
+
+
+def test_recall_through_cells_at_a_greater_factor(spark, monkeypatch):
+    """Many cells and shards, a factor over one: at least 0.9 of the exact neighbours, most of them with fewer visits."""
+    monkeypatch.setattr(vp, "SHARD", 50)
+    monkeypatch.setattr(vp, "LEAF", 8)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(15, 12))
+    rows = [(i, [float(x) for x in centres[i % 15] + 0.3 * rng.normal(size=12)]) for i in range(900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact, loose = (set(map(tuple, vp.nearest(frame, F.col("vec_id") % 5 == 0, k=5, factor=f).select("query_id", "vec_id").collect())) for f in (1.0, 1.5))
+    assert len(exact) == 180 * 5 and len(exact & loose) >= 0.9 * len(exact)
+
+
+def test_vectors_beyond_the_range_of_squares_take_part(spark):
+    rng = np.random.default_rng(10)
+    plain = rng.normal(size=(30, 6))
+    scales = [1.0, 1e-170, 1e160, 1e-300, 1e300]
+    rows = [(i, [float(x) for x in v * scales[i % 5]]) for i, v in enumerate(plain)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in vp.nearest(frame, F.lit(True), k=3).collect()}
+    unit = plain / np.linalg.norm(plain, axis=1)[:, None]
+    cos = unit @ unit.T - 9 * np.eye(30)
+    for i in range(30):
+        for r, j in enumerate(np.argsort(-cos[i], kind="stable")[:3]):
+            assert got[i, r + 1][0] == j and abs(got[i, r + 1][1] - cos[i, j]) < 1e-12
