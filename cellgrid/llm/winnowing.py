@@ -15,10 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellgrid.llm._store import forget, keep
 from cellgrid.llm._text import ALNUM, flat, grams, pieces, within, words
 
 #: Bytes of benchmark text that one pass sends to every task; a larger benchmark takes more passes.
 PASS_BYTES = 16 << 20
+#: Passes in one stage: each is a Python worker and an index for every running task.
+CHAIN = 4
 
 
 def fingerprints(gram: np.ndarray, first: np.ndarray, span: int, k: int) -> np.ndarray:
@@ -95,8 +98,8 @@ def find_overlaps(docs: DataFrame, items: DataFrame, span: int = 10, k: int = 5,
     """doc_id, n_words, spans (array of struct<at, to>: word ranges hit, apart and ascending), items (sorted array of item ids as text).
 
     Documents are read once, in a narrow stage without a shuffle; the benchmark goes to the tasks in
-    passes of at most `pass_bytes`, chained in the same stage, so what is sent is bounded whatever its
-    size. Items without words, null items and items with a null id hit nothing; an item shorter than
+    passes of at most `pass_bytes`, at most CHAIN of them in one stage: rows are written between stages, so
+    what a task holds is bounded whatever the benchmark's size. Items without words, null items and items with a null id hit nothing; an item shorter than
     `span` is one window of its own length. Null and empty documents have no words and no hits; repeated
     rows are judged each.
     """
@@ -112,11 +115,21 @@ def _marked(docs: DataFrame, items: DataFrame, span: int, k: int, doc_id: str, t
     extra = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
     out = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"), F.expr("cast(array() as array<struct<at: long, to: long>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"), *extra)
     schema = ", ".join([f"doc_id {kinds[doc_id]}", "text string", "n_words long", "spans array<struct<at: long, to: long>>", "items array<string>", *[f"carry_{i} {kinds[c]}" for i, c in enumerate(carry)]])
+    written, sent = None, []
     for p in range(passes):
+        if p and p % CHAIN == 0:
+            before, written = written, keep(out, "overlaps", lasting=True)
+            out = written
+            for done in sent:
+                done.destroy()
+            sent = []
+            if before is not None:
+                forget(before)
         part = items if passes == 1 else items.where(F.pmod(F.xxhash64("id"), F.lit(passes)) == p)
         rows = part.toArrow()
         index = index_items(rows.column(0).to_pylist(), rows.column(1).to_pylist(), span, k)
-        out = out.mapInArrow(_matcher(docs.sparkSession.sparkContext.broadcast(index), span, k), schema)
+        sent.append(docs.sparkSession.sparkContext.broadcast(index))
+        out = out.mapInArrow(_matcher(sent[-1], span, k), schema)
     return out
 
 

@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from cellgrid.llm import mixing
+from cellgrid.llm import mixing, winnowing
 from cellgrid.llm.mixing import mix_sources, pivot, settle
 from cellgrid.llm.queries import op4_mix_sources
 from cellgrid.llm.token_counts import length_histogram, quantile, suffix_sums, truncated_total
@@ -37,7 +37,8 @@ def brute_hits(text, items, span):
 
 
 @pytest.mark.parametrize("pass_bytes", [1 << 20, 200])
-def test_overlaps_equal_brute_force(spark, pass_bytes):
+def test_overlaps_equal_brute_force(spark, monkeypatch, pass_bytes):
+    monkeypatch.setattr(winnowing, "CHAIN", 2)
     rng = random.Random(5)
     vocab = ["Aa", "b", "c9", "é", "dd-e", "f"]
     items = [(i, " ".join(rng.choice(vocab) for _ in range(rng.choice([3, 9, 10, 14, 30])))) for i in range(25)] + [(90, None), (91, ""), (92, "..."), (None, "b c9 é"), (7, "x y z")]
