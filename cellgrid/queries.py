@@ -512,11 +512,11 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return r6(learn.cluster_links(graph, v.select("id", F.col("label").alias("cluster"))), "expected", "strength")
 
 
-@query("o9_shuffle_genes", f"{V.sql('cells', 'counts')} SELECT gene, CAST(sum(n) AS DOUBLE) AS total, (SELECT count(*) FROM cells) AS n FROM counts GROUP BY gene")
+@query("o9_shuffle_genes", f"{V.sql('cells', 'counts')} SELECT gene, CAST(sum(n) AS DOUBLE) AS total, (SELECT count(*) FROM cells) AS n, CAST(sum(n * n) AS DOUBLE) AS squares, count(*) AS present, CAST(max(n) AS DOUBLE) AS top FROM counts GROUP BY gene")
 def _(s: SparkSession, d: str) -> DataFrame:
     values = V.counts(s, d).withColumn("v", F.col("n").cast("double"))
     dealt = learn.shuffle_genes(values, V.cells(s, d), learn.gene_order(values), 3)
-    return dealt.groupBy("gene").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
+    return dealt.groupBy("gene").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"), F.sum(F.col("v") * F.col("v")).alias("squares"), F.count(F.when(F.col("v") > 0, 1)).alias("present"), F.max("v").alias("top"))
 
 
 @query("p26_spatial_columns", f"{V.sql('mask', 'positions')}, {_CELLS} SELECT cell_id, round(220 * c.x / 2048 + p.y, 6) AS spatial_x, round(220 * c.y / 2048 - p.x, 6) AS spatial_y FROM cell_table c JOIN positions p USING (fov)")
