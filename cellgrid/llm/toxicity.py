@@ -28,6 +28,8 @@ from cellgrid.llm._text import _LOWER, NON_SPACE, byte_class, flat, pieces, word
 LENGTH, DECAY = 4, 0.75
 #: Longer words are read in windows of so many bytes, each starting STEP after the last: any 17 bytes in a row lie whole in one.
 WINDOW, STEP = 24, 8
+#: Runs of one-letter words are read in shorter windows, four bytes apart, so that an insult among other letters is a greater part of one.
+SPACED = 20
 #: Landmarks are at most this long: a state of the common subsequence fits 16 bits.
 LANDMARK = 16
 
@@ -71,8 +73,8 @@ def units(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     for a, z in zip(edge[::2], edge[1::2] + 1, strict=True):
         if z - a >= LENGTH:
             run = np.concatenate([data[i:j] for i, j in zip(start[a:z], end[a:z], strict=True)])
-            for s in range(0, max(len(run) - WINDOW, 0) + STEP, STEP):  # the last window holds the run's end
-                part = run[s : s + WINDOW]
+            for s in range(0, max(len(run) - SPACED // 2, 1), SPACED // 5):  # the last windows are the run's end, from 20 bytes down to 10
+                part = run[s : s + SPACED]
                 more.append(part)
                 starts.append(np.array([at]))
                 ends.append(np.array([at + len(part)]))
