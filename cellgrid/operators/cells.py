@@ -51,8 +51,11 @@ def strips(overlaps: DataFrame, side: int = PIXELS) -> DataFrame:
 
 
 def strip_pixels(mask: DataFrame, overlaps: DataFrame, side: int = PIXELS) -> DataFrame:
-    """Labelled pixels in each strip, with their place in it: pair, tile, cell_id, r0, r1 (and az)."""
-    held = labelled(mask).join(strips(overlaps, side), "fov").where("a0 >= x0 and a0 < x1 and a1 >= y0 and a1 < y1")
+    """Labelled pixels in each strip, with their place in it: pair, tile, cell_id, r0, r1 (and az).
+
+    Pixels are often exploded from rows of tiles, which the planner takes for as few as the tiles; a broadcast would hold them all.
+    """
+    held = labelled(mask).hint("merge").join(strips(overlaps, side), "fov").where("a0 >= x0 and a0 < x1 and a1 >= y0 and a1 < y1")
     rest = ["az"] if "az" in mask.columns else []
     return held.select("pair", "tile", "cell_id", (F.col("a0") - F.col("x0")).alias("r0"), (F.col("a1") - F.col("y0")).alias("r1"), *rest)
 
@@ -62,7 +65,7 @@ def shared_pixels(mask: DataFrame, overlaps: DataFrame, side: int = PIXELS) -> D
     px = strip_pixels(mask, overlaps, side)
     keys = [c for c in px.columns if c not in ("tile", "cell_id")]
     a, b = (px.where(F.col("tile") == t).drop("tile").withColumnRenamed("cell_id", t) for t in ("a", "b"))
-    return a.join(b, keys).groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return a.join(b.hint("merge"), keys).groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
 def mutual_matches(shared: DataFrame) -> DataFrame:
@@ -106,7 +109,7 @@ def tag_sizes(cells: DataFrame, least: float, factor: float) -> DataFrame:
 def drop_small(mask: DataFrame, least: int) -> DataFrame:
     """The pixels of labels with at least `least` pixels."""
     big = mask.where("label <> 0").groupBy("fov", "label").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    return mask.join(big.select("fov", "label"), ["fov", "label"], "left_semi")
+    return mask.join(big.select("fov", "label").hint("merge"), ["fov", "label"], "left_semi")
 
 
 def expand_labels(mask: DataFrame, distance: int = 3, side: int = PIXELS) -> DataFrame:

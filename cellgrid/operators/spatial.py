@@ -12,7 +12,8 @@ def pairs_within(points: DataFrame, key: str, x: str, y: str, radius: float) ->
     """(a, b, d2): ordered pairs of points at most `radius` apart, each point with itself too.
 
     Squares have the radius as their side, so only one side is copied, to its nine squares, and the join is
-    an equi-join on the square: shuffled and, where squares are crowded, split by the planner.
+    an equi-join on the square: shuffled and, where squares are crowded, split by the planner. The copies look as
+    few as the points to the planner, so a broadcast is ruled out.
     """
     square = lambda c: F.floor(F.col(c) / radius)
     a = points.select(F.col(key).alias("a"), F.col(x).alias("ax"), F.col(y).alias("ay"), square(x).alias("sx"), square(y).alias("sy"))
@@ -20,7 +21,7 @@ def pairs_within(points: DataFrame, key: str, x: str, y: str, radius: float) ->
     b = points.select(F.col(key).alias("b"), F.col(x).alias("bx"), F.col(y).alias("by"), F.explode(around).alias("s"))
     b = b.select("b", "bx", "by", (square("bx") + F.col("s.i")).alias("sx"), (square("by") + F.col("s.j")).alias("sy"))
     dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
-    return a.join(b, ["sx", "sy"]).select("a", "b", (dx * dx + dy * dy).alias("d2")).where(F.col("d2") <= radius * radius)
+    return a.join(b.hint("merge"), ["sx", "sy"]).select("a", "b", (dx * dx + dy * dy).alias("d2")).where(F.col("d2") <= radius * radius)
 
 
 def fov_overlaps(positions: DataFrame, side: float = TILE, trim: bool = False, pixels: int = PIXELS) -> DataFrame:
