@@ -101,7 +101,8 @@ def assign_to_cells(molecules: DataFrame, mask: DataFrame, drifts: DataFrame | N
     """
     m = mask_place(molecules.drop("cell_id"), drifts, scale, transpose, flip_x, flip_y, side, slices="az" in mask.columns)
     keys = ["a0", "a1", *(["az"] if "az" in mask.columns else [])]
-    found = m.join(mask.where("label <> 0").select("fov", *keys, "label"), ["fov", *keys], "left")
+    px = mask.where("label <> 0").select("fov", *keys, "label").hint("merge")  # exploded pixels look small to the planner, which would broadcast them
+    found = m.join(px, ["fov", *keys], "left")
     return found.withColumn("cell_id", cell_id(F.col("fov"), F.col("label"))).drop("label", *keys)
 
 
