@@ -113,18 +113,20 @@ def stitch_slices(stack: DataFrame, least: float = 0.25) -> DataFrame:
 
     A label goes on with the label of the slice before that it shares most with (intersection over union of at least
     `least`; ties to the smaller), if no other label of its slice shares more with that one. Cells of a tile are numbered by
-    their first slice and their label in it. Only counts of labels, a tile's worth at a time, meet in one task.
+    their first slice and their label in it. Only counts of labels, a tile's worth at a time, meet in one task. Pixels may be
+    exploded from few rows, which the planner takes for small: no side of these joins is broadcast.
     """
     px = stack.where("label <> 0").select("fov", "az", "a0", "a1", "label")
     area = px.groupBy("fov", "az", "label").agg(F.count(F.lit(1)).alias("n"))
     above = px.select("fov", (F.col("az") + 1).alias("az"), "a0", "a1", F.col("label").alias("prev"))
-    both = px.join(above, ["fov", "az", "a0", "a1"]).groupBy("fov", "az", "label", "prev").agg(F.count(F.lit(1)).alias("both"))
-    sized = both.join(area, ["fov", "az", "label"]).join(area.select("fov", (F.col("az") + 1).alias("az"), F.col("label").alias("prev"), F.col("n").alias("m")), ["fov", "az", "prev"])
+    both = px.join(above.hint("merge"), ["fov", "az", "a0", "a1"]).groupBy("fov", "az", "label", "prev").agg(F.count(F.lit(1)).alias("both"))
+    before = area.select("fov", (F.col("az") + 1).alias("az"), F.col("label").alias("prev"), F.col("n").alias("m"))
+    sized = both.join(area.hint("merge"), ["fov", "az", "label"]).join(before.hint("merge"), ["fov", "az", "prev"])
     iou = F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
     shares = sized.withColumn("iou", iou).where(F.col("iou") >= least)
     top = shares.withColumn("best", F.max("iou").over(W.partitionBy("fov", "az", "prev"))).where(F.col("iou") == F.col("best"))
     link = top.groupBy("fov", "az", "label").agg(F.max(F.struct("iou", (-F.col("prev")).alias("p"))).alias("b")).select("fov", "az", "label", (-F.col("b.p")).alias("prev"))
-    nodes = area.join(link, ["fov", "az", "label"], "left").select("fov", F.col("az").cast("long").alias("az"), F.col("label").cast("long").alias("label"), F.col("prev").cast("long").alias("prev"))
+    nodes = area.join(link.hint("merge"), ["fov", "az", "label"], "left").select("fov", F.col("az").cast("long").alias("az"), F.col("label").cast("long").alias("label"), F.col("prev").cast("long").alias("prev"))
 
     def number(group: pa.Table) -> pa.Table:
         t = group.sort_by([("az", "ascending"), ("label", "ascending")])
@@ -140,7 +142,7 @@ def stitch_slices(stack: DataFrame, least: float = 0.25) -> DataFrame:
         return pa.table({"fov": t.column("fov"), "az": t.column("az"), "label": t.column("label"), "cell": pa.array(list(cell.values()), pa.int64())})
 
     names = nodes.groupBy("fov").applyInArrow(number, "fov long, az long, label long, cell long")
-    return px.join(names, ["fov", "az", "label"]).select("fov", "az", "a0", "a1", F.col("cell").alias("label"))
+    return px.join(names.hint("merge"), ["fov", "az", "label"]).select("fov", "az", "a0", "a1", F.col("cell").alias("label"))
 
 
 def trace(mask: np.ndarray) -> list[tuple[int, np.ndarray]]:
