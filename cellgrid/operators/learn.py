@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from cellgrid.plans.store import cut
 
-#: Vectors that one task's block of a neighbour search holds.
-BLOCK = 2048
+#: Vectors of a lot in a neighbour search over few vectors, and the most that a lot of many may have.
+BLOCK, LARGE = 2048, 65_536
+#: Lots of queries and of points, unless these grew over LARGE vectors.
+QUERY_LOTS, POINT_LOTS = 32, 8
 
 
 def gene_order(values: DataFrame) -> list[str]:
@@ -108,6 +110,54 @@ def _range(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
+def lots(n: int, block: int, most: int) -> int:
+    """Into how many lots n rows are dealt: of about `block` rows, but at most `most` lots as long as a lot has no more than LARGE rows.
+
+    A row is copied once for each lot of the other side, so up to most * LARGE rows what is shuffled grows with the rows only.
+    """
+    return max(1, min(-(-n // block), most), -(-n // LARGE))
+
+
+def best_of(a: np.ndarray, ia: np.ndarray, b: np.ndarray, ib: np.ndarray, k: int, exclude_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in a, id in b, squared distance) of the k nearest of b for each row of a, ties to the smaller id. ib must be rising."""
+    squares = (b**2).sum(1)
+    turned = np.ascontiguousarray(-2 * b.T)
+    width, rows = len(b), max(16, (1 << 20) // len(b))
+    groups = min(width, 16 * k)
+    top = squares.max()
+    out = [], [], []
+    for s in range(0, len(a), rows):
+        some, mine = a[s : s + rows], ia[s : s + rows]
+        d = some @ turned
+        d += squares
+        if exclude_self:
+            low, high = np.searchsorted(ib, mine), np.searchsorted(ib, mine, side="right")
+            for r in np.flatnonzero(high > low):
+                d[r, low[r] : high[r]] = np.inf
+        # each group's least is one of the group: the k-th of the leasts is no less than the k-th of all
+        least = d[:, : width - width % groups].reshape(len(some), -1, groups).min(1)
+        level = np.partition(least, k - 1, axis=1)[:, k - 1] if k <= groups else np.full(len(some), np.inf)
+        # the products are rough: whatever may be among the k nearest is measured by differences
+        level += 4e-9 * (1 + (some**2).sum(1) + top)
+        row, col = np.divmod(np.flatnonzero(((d <= level[:, None]) & (d < np.inf)).ravel()), width)
+        exact = np.empty(len(row))
+        for i in range(0, len(row), 1 << 16):
+            at = slice(i, i + (1 << 16))
+            exact[at] = ((some[row[at]] - b[col[at]]) ** 2).sum(1)
+        order = np.lexsort((col, np.round(np.sqrt(exact), 9), row))
+        row, col, exact = row[order], col[order], exact[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = place < k
+        for o, x in zip(out, (row[keep] + s, ib[col[keep]], exact[keep]), strict=True):
+            o.append(x)
+    return tuple(np.concatenate(o) for o in out)
+
+
+def unpacked(table: pa.Table, column: str = "v") -> np.ndarray:
+    """A column of arrays of one length as a matrix."""
+    return table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+
+
 def block_search(k: int, cosine: bool, exclude_self: bool):
     """What a task does with one block of queries (asks) and one of points: (id, other, dist) of the k nearest of this block."""
 
@@ -116,31 +166,14 @@ def block_search(k: int, cosine: bool, exclude_self: bool):
         asks = t.column("asks").to_numpy()
         if asks.all() or not asks.any():
             return pa.table({"id": pa.array([], pa.int64()), "other": pa.array([], pa.int64()), "dist": pa.array([], pa.float64())})
-        ids = t.column("id").to_numpy()
-        v = t.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        ids, v = t.column("id").to_numpy(), unpacked(t)
         if cosine:
             v = v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-300)
-        a, b, ia, ib = v[asks], v[~asks], ids[asks], ids[~asks]
-        out_i, out_j, out_d = [], [], []
-        for s in range(0, len(a), 128):
-            some = a[s : s + 128]
-            d = (some**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * some @ b.T
-            if exclude_self:
-                d[ia[s : s + 128][:, None] == ib[None]] = np.inf
-            # the products are rough: whatever may be among the k nearest is measured by differences
-            near = d <= np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1 :][:, :1] + 1e-9 * (1 + (some**2).sum(1)[:, None] + (b**2).sum(1)[None])
-            at = np.nonzero(near & np.isfinite(d))
-            d[:] = np.inf
-            d[at] = ((some[at[0]] - b[at[1]]) ** 2).sum(1)
-            dist = d / 2 if cosine else np.sqrt(d)
-            order = np.lexsort((np.broadcast_to(ib, d.shape), np.round(dist, 9)), axis=1)[:, :k]
-            rows = np.repeat(np.arange(len(d)), order.shape[1])
-            cols = order.reshape(-1)
-            keep = np.isfinite(dist[rows, cols])
-            out_i.append(ia[s : s + 128][rows[keep]])
-            out_j.append(ib[cols[keep]])
-            out_d.append(dist[rows[keep], cols[keep]])
-        return pa.table({"id": np.concatenate(out_i), "other": np.concatenate(out_j), "dist": np.concatenate(out_d)})
+        places = np.flatnonzero(~asks)
+        places = places[np.argsort(ids[places], kind="stable")]
+        ia = ids[asks]
+        row, other, d = best_of(v[asks], ia, v[places], ids[places], k, exclude_self)
+        return pa.table({"id": ia[row], "other": other, "dist": d / 2 if cosine else np.sqrt(d)})
 
     return run
 
@@ -148,16 +181,16 @@ def block_search(k: int, cosine: bool, exclude_self: bool):
 def nearest(queries: DataFrame, points: DataFrame, k: int, cosine: bool = False, exclude_self: bool = False) -> DataFrame:
     """(id, other, dist, rank): the k nearest points (id, v) of every query (id, v), ties to the smaller id.
 
-    Points and queries meet block by block: the smaller dealt side is copied to the other's blocks, each task
-    keeps a query's best k of its block, and these are merged. No task holds more than two blocks. Every point is
-    compared with every query, so the work is the product of both sides, and a point is copied once for each block of
-    queries: meant for reference sets and cells by the million. A zero vector has distance 1/2 to all where `cosine` is set.
+    Points and queries meet lot by lot, each task keeps a query's best k of its lot, and these are merged. No task holds
+    more than two lots. Every point is compared with every query, so the work is the product of both sides; what is shuffled
+    grows with them (see lots). A zero vector has distance 1/2 to all where `cosine` is set.
     """
-    sizes = [max(1, -(-df.count() // BLOCK)) for df in (queries, points)]
+    sizes = [lots(queries.count(), BLOCK, QUERY_LOTS), lots(points.count(), BLOCK, POINT_LOTS)]
     q = queries.select("id", F.col("v").cast("array<double>").alias("v"), F.pmod(F.xxhash64("id"), F.lit(sizes[0])).alias("qb"), F.explode(_range(sizes[1])).alias("pb"), F.lit(True).alias("asks"))
     p = points.select("id", F.col("v").cast("array<double>").alias("v"), F.explode(_range(sizes[0])).alias("qb"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(sizes[1])).alias("pb"), F.lit(False).alias("asks"))
 
-    found = q.unionByName(p).groupBy("qb", "pb").applyInArrow(block_search(k, cosine, exclude_self), "id long, other long, dist double")
+    met = q.unionByName(p).repartition(sizes[0] * sizes[1], "qb", "pb")
+    found = met.groupBy("qb", "pb").applyInArrow(block_search(k, cosine, exclude_self), "id long, other long, dist double")
     rank = F.row_number().over(W.partitionBy("id").orderBy(F.round("dist", 9), "other"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
@@ -216,30 +249,45 @@ def communities(shares: DataFrame, k: int = 8, seed: int = 1) -> DataFrame:
 
 
 def silhouettes(points: DataFrame, block: int = 1024) -> DataFrame:
-    """id, cluster, silhouette of points (id, v, cluster), exact: mean distances to every cluster, block against block.
+    """id, cluster, silhouette of points (id, v, cluster), exact: mean distances to every cluster, lot against lot.
 
-    A point alone in its cluster has 0. Tasks return sums for each point and cluster, never pairs.
+    A point alone in its cluster has 0. Tasks return sums for each point and cluster, never pairs. All pairs are measured,
+    but what is shuffled grows with the points (see lots).
     """
-    n = max(1, -(-points.count() // block))
-    lots = _range(n)
-    base = points.select("id", F.col("v").cast("array<double>").alias("v"), F.col("cluster").cast("string").alias("cluster"), F.pmod(F.xxhash64("id"), F.lit(n)).alias("own"))
-    a = base.select("id", "v", "cluster", F.col("own").alias("qb"), F.explode(lots).alias("pb"), F.lit(True).alias("asks"))
-    b = base.select("id", "v", "cluster", F.explode(lots).alias("qb"), F.col("own").alias("pb"), F.lit(False).alias("asks"))
+    count = points.count()
+    qs, ps = lots(count, block, QUERY_LOTS), lots(count, block, POINT_LOTS)
+    base = points.select("id", F.col("v").cast("array<double>").alias("v"), F.col("cluster").cast("string").alias("cluster"))
+    a = base.select("*", F.pmod(F.xxhash64("id"), F.lit(qs)).alias("qb"), F.explode(_range(ps)).alias("pb"), F.lit(True).alias("asks"))
+    b = base.select("*", F.explode(_range(qs)).alias("qb"), F.pmod(F.xxhash64("id"), F.lit(ps)).alias("pb"), F.lit(False).alias("asks"))
 
     def run(group: pa.Table) -> pa.Table:
         t = group.combine_chunks()
         asks, ids, names = t.column("asks").to_numpy(), t.column("id").to_numpy(), np.array(t.column("cluster").to_pylist(), dtype=object)
-        v = t.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        v = unpacked(t)
         if asks.all() or not asks.any():
             return pa.table({"id": pa.array([], pa.int64()), "cluster": pa.array([], pa.string()), "other": pa.array([], pa.string()), "s": pa.array([], pa.float64())})
-        x, y = v[asks], v[~asks]
-        d = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * x @ y.T, 0))
-        d[ids[asks][:, None] == ids[~asks][None]] = 0
-        others = sorted(set(names[~asks]))
-        sums = np.stack([d[:, names[~asks] == o].sum(1) for o in others], axis=1)
-        return pa.table({"id": np.repeat(ids[asks], len(others)), "cluster": np.repeat(names[asks], len(others)).tolist(), "other": list(others) * int(asks.sum()), "s": sums.reshape(-1)})
-
-    sums = a.unionByName(b).groupBy("qb", "pb").applyInArrow(run, "id long, cluster string, other string, s double").groupBy("id", "cluster", "other").agg(F.sum("s").alias("s"))
+        others, code = np.unique(names[~asks].astype(str), return_inverse=True)
+        order = np.argsort(code, kind="stable")
+        starts = np.searchsorted(code[order], np.arange(len(others)))
+        x, y, ix, iy = v[asks], v[~asks][order], ids[asks], ids[~asks][order]
+        turned, squares = np.ascontiguousarray(-2 * y.T), (y**2).sum(1)
+        by_id = np.argsort(iy, kind="stable")
+        rows, sums = max(16, (1 << 20) // len(y)), np.empty((len(x), len(others)))
+        for i in range(0, len(x), rows):
+            some, mine = x[i : i + rows], ix[i : i + rows]
+            d = some @ turned
+            d += squares
+            d += (some**2).sum(1)[:, None]
+            np.sqrt(np.maximum(d, 0, out=d), out=d)
+            low, high = (np.searchsorted(iy[by_id], mine, side=e) for e in ("left", "right"))
+            for r in np.flatnonzero(high > low):
+                d[r, by_id[low[r] : high[r]]] = 0
+            sums[i : i + rows] = np.add.reduceat(d, starts, axis=1)
+        n = len(others)
+        return pa.table({"id": np.repeat(ix, n), "cluster": pa.array(np.repeat(names[asks], n), pa.string()), "other": pa.array(np.tile(others.astype(object), len(x)), pa.string()), "s": sums.reshape(-1)})
+
+    met = a.unionByName(b).repartition(qs * ps, "qb", "pb")
+    sums = met.groupBy("qb", "pb").applyInArrow(run, "id long, cluster string, other string, s double").groupBy("id", "cluster", "other").agg(F.sum("s").alias("s"))
     sizes = base.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumnRenamed("cluster", "other")
     means = sums.join(sizes, "other").select("id", "cluster", "other", "n", F.when(F.col("other") == F.col("cluster"), F.try_divide("s", F.col("n") - 1)).otherwise(F.col("s") / F.col("n")).alias("m"))
     own = F.max(F.when(F.col("other") == F.col("cluster"), F.col("m")))

@@ -1,8 +1,9 @@
 """Plans and steps that must stay bounded on tables too large for a test."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from cellgrid.operators import cells, molecules, spatial, tiles
+from cellgrid.operators import cells, learn, molecules, spatial, tiles
 
 
 def exploded(spark, slices=1):
@@ -39,3 +40,20 @@ def test_pixels_under_molecules_are_never_broadcast(spark):
 
 def test_pixels_of_slices_are_never_broadcast(spark):
     assert "Broadcast" not in plan(tiles.stitch_slices(exploded(spark, 3)))
+
+
+def test_copies_of_vectors_do_not_grow_with_their_number():
+    assert [learn.lots(n, 2048, 32) for n in (1, 2048, 2049, 100_000, 600_000)] == [1, 1, 2, 32, 32]
+    assert 600_000 / learn.lots(600_000, 2048, learn.POINT_LOTS) <= learn.LARGE * 1.2 and learn.lots(64 * learn.LARGE, 2048, 32) == 64
+
+
+def test_best_of_in_few_columns_with_copies_and_self():
+    rng = np.random.default_rng(5)
+    b = np.concatenate([rng.integers(-3, 4, size=(500, 4)), np.zeros((300, 4))]).astype(float)
+    a, ids = b[::7], np.arange(800) * 3
+    for k in (1, 5, 60):
+        row, other, d = learn.best_of(a, ids[::7], b, ids, k, True)
+        full = ((a[:, None] - b[None]) ** 2).sum(2)
+        full[np.arange(len(a)), np.arange(0, 800, 7)] = np.inf
+        want = np.argsort(full, axis=1, kind="stable")[:, :k]
+        assert (other.reshape(len(a), k) == ids[want]).all() and (d.reshape(len(a), k) == np.take_along_axis(full, want, 1)).all() and (row == np.repeat(np.arange(len(a)), k)).all()
