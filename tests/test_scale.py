@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from cellgrid.operators import cells, learn, molecules, spatial, tiles
+from cellgrid.operators import cells, learn, molecules, neighbours, spatial, tiles
 
 
 def exploded(spark, slices=1):
@@ -57,3 +57,16 @@ def test_best_of_in_few_columns_with_copies_and_self():
         full[np.arange(len(a)), np.arange(0, 800, 7)] = np.inf
         want = np.argsort(full, axis=1, kind="stable")[:, :k]
         assert (other.reshape(len(a), k) == ids[want]).all() and (d.reshape(len(a), k) == np.take_along_axis(full, want, 1)).all() and (row == np.repeat(np.arange(len(a)), k)).all()
+
+
+def test_a_query_is_copied_once_for_each_lot_of_cells(spark, monkeypatch):
+    """Without clusters nearly all cells are visited: 600 queries by 60 cells, but no more than four lots."""
+    monkeypatch.setattr(neighbours, "CELL", 10)
+    monkeypatch.setattr(neighbours, "BLOCK", 150)
+    rng = np.random.default_rng(6)
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(600, 12)))], "id long, v array<double>")
+    index = neighbours.build_index(points)
+    lot, pieces, most = index._lots_of_cells()
+    assert most <= 5 and (pieces == 1).all() and max(np.bincount(lot, index.counts)) <= 200
+    rows = lambda df: sorted((r["id"], r["rank"], r["other"]) for r in df.collect())
+    assert rows(index.search(points, 3, exclude_self=True)) == rows(learn.nearest(points, points, 3, exclude_self=True))
