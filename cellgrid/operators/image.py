@@ -74,11 +74,17 @@ def drift_quadrants(pairs: DataFrame) -> DataFrame:
 
 def robust_drift(shifts: DataFrame, spread: float = 15.0, most: float = 1.25) -> DataFrame:
     """fov, bit, dy, dx: the median shift; where a sample deviation is over `spread`, only quadrants with both |z| (population) under `most` count."""
-    by = ["fov", "bit"]
-    stats = shifts.groupBy(*by).agg(*[f(c).alias(f"{n}_{c}") for c in ("dy", "dx") for n, f in (("m", F.avg), ("p", F.stddev_pop), ("s", F.stddev_samp))])
-    z = lambda c: F.coalesce(F.abs(F.try_divide(F.col(c) - F.col(f"m_{c}"), F.col(f"p_{c}"))), F.lit(0.0)) < most
-    wide = F.greatest(F.coalesce("s_dy", F.lit(0.0)), F.coalesce("s_dx", F.lit(0.0))) > spread
-    kept = shifts.join(stats, by).where(~wide | (z("dy") & z("dx")))
+    by, axes = ["fov", "bit"], ("dy", "dx")
+    # sums of squares above the least value: whole numbers of pixels stay exact in any order, so a tie with a limit is one
+    low = shifts.groupBy(*by).agg(*[F.min(c).alias(f"l_{c}") for c in axes])
+    above = shifts.join(low, by).withColumns({f"u_{c}": F.col(c) - F.col(f"l_{c}") for c in axes})
+    u = lambda c: F.col(f"u_{c}")
+    stats = above.groupBy(*by).agg(*[f.alias(f"{n}_{c}") for c in axes for n, f in (("n", F.count(u(c))), ("s", F.sum(u(c))), ("q", F.sum(u(c) * u(c))))])
+    n, s = (lambda c: F.col(f"n_{c}")), (lambda c: F.col(f"s_{c}"))
+    q = lambda c: n(c) * F.col(f"q_{c}") - s(c) * s(c)
+    z = lambda c: F.coalesce((q(c) <= 0) | (F.abs(n(c) * u(c) - s(c)) < most * F.sqrt(q(c))), F.lit(True))
+    wide = lambda c: F.coalesce(q(c) > spread * spread * n(c) * (n(c) - 1), F.lit(False))
+    kept = above.join(stats, by).where(~(wide("dy") | wide("dx")) | (z("dy") & z("dx")))
     return kept.groupBy(*by).agg(F.median("dy").alias("dy"), F.median("dx").alias("dx"))
 
 
