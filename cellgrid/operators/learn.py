@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cellgrid.plans.store import cut
+from cellgrid.plans.store import cut, forget
 
 #: Vectors of a lot in a neighbour search over few vectors, and the most that a lot of many may have.
 BLOCK, LARGE = 2048, 65_536
@@ -70,15 +70,18 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([n], pa.int64()), pa.array([s.tobytes()], pa.binary()), pa.array([p.tobytes()], pa.binary())], names=["round", "n", "sums", "products"])
 
 
-def _largest(group: pa.Table) -> pa.Table:
-    """The variances along the principal components of one round, in falling order."""
-    n = sum(group.column("n").to_pylist())
+def _falling(group: pa.Table, n: int) -> pa.Table:
+    """The variances along the principal components of one round of n rows, in falling order."""
     s = sum(np.frombuffer(x) for x in group.column("sums").to_pylist())
     p = sum(np.frombuffer(x) for x in group.column("products").to_pylist()).reshape(len(s), len(s))
     spread = (p - np.outer(s, s) / n) / max(n - 1, 1)
     return pa.table({"round": group.column("round").slice(0, 1), "variances": pa.array([np.maximum(np.linalg.eigvalsh(spread)[::-1], 0).tolist()], pa.list_(pa.float64()))})
 
 
+def _largest(group: pa.Table) -> pa.Table:
+    return _falling(group, sum(group.column("n").to_pylist()))
+
+
 def variances(rounds: DataFrame, cells: DataFrame, genes: list[str]) -> dict[int, list[float]]:
     """By round of values (round, cell, gene, v): the variances along its principal components, all rounds in one pass.
 
@@ -94,14 +97,100 @@ def variances(rounds: DataFrame, cells: DataFrame, genes: list[str]) -> dict[int
     return {r["round"]: r.variances for r in sums.groupBy("round").applyInArrow(_largest, "round int, variances array<double>").collect()}
 
 
-def count_components(values: DataFrame, cells: DataFrame, most: int = 20, rounds: int = 20, seed: int = 0) -> int:
-    """Parallel analysis: components whose variance is above the mean of the largest variance of shuffled matrices."""
+def dealt_place(places: np.ndarray, size: int, seed: int, gene: int) -> np.ndarray:
+    """A pseudorandom permutation of 0 ... size - 1 for each seed and gene, at some places: six rounds of a Feistel network, again where it leaves the range."""
+    half = np.uint64(max(1, (max(size - 1, 1).bit_length() + 1) // 2))
+    mask = (np.uint64(1) << half) - np.uint64(1)
+    keys = np.random.SeedSequence([seed, gene]).generate_state(6, np.uint64)
+    out = places.astype(np.uint64)
+    todo = np.arange(len(out))
+    while len(todo):
+        left, right = out[todo] >> half, out[todo] & mask
+        for key in keys:
+            h = (right + key) * np.uint64(0x9E3779B97F4A7C15)
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            left, right = right, left ^ ((h ^ (h >> np.uint64(32))) & mask)
+        out[todo] = left << half | right
+        todo = todo[out[todo] >= np.uint64(size)]
+    return out.astype(np.int64)
+
+
+def numbered(cells: DataFrame, lots: int) -> DataFrame:
+    """cell, i: the cells numbered from 0 without gaps. Only the sizes of `lots` lots are collected."""
+    lot = cells.select("cell", F.pmod(F.xxhash64("cell"), F.lit(lots)).cast("int").alias("lot"))
+    sizes = {r.lot: r["count"] for r in lot.groupBy("lot").count().collect()}
+    starts = np.concatenate([[0], np.cumsum([sizes.get(k, 0) for k in range(lots)])])[:-1].tolist()
+    start = F.broadcast(cells.sparkSession.createDataFrame(list(enumerate(starts)), "lot int, start long"))
+    place = F.row_number().over(W.partitionBy("lot").orderBy("cell")) - 1
+    return lot.withColumn("k", place).join(start, "lot").select("cell", (F.col("start") + F.col("k")).alias("i"))
+
+
+def _sums(round: int, s: np.ndarray, p: np.ndarray) -> pa.Table:
+    return pa.table({"round": pa.array([round], pa.int32()), "sums": pa.array([s.tobytes()], pa.binary()), "products": pa.array([p.tobytes()], pa.binary())})
+
+
+def _entries(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of cells, genes and values, one of each for every value of rows (i, g, v)."""
+    n = b.column(1).value_lengths().to_numpy()
+    return np.repeat(b.column(0).to_numpy(), n), b.column(1).flatten().to_numpy(), b.column(2).flatten().to_numpy()
+
+
+def count_components(values: DataFrame, cells: DataFrame, most: int = 20, rounds: int = 20, seed: int = 0, block: int | None = None) -> int:
+    """Parallel analysis: components whose variance is above the mean of the largest variance of shuffled matrices.
+
+    A gene's values are dealt anew in two steps. Each gene goes through a permutation of its own over all cells, which sends
+    every value to a block of places; only values that are not 0 are sent, once for all rounds. Then each round
+    permutes every gene within the blocks. So each round has every gene in a random order over all cells, and what is
+    shuffled does not grow with the rounds. A block has `block` cells, about a million numbers unless given.
+    """
+    values = cut(values.select("cell", "gene", F.col("v").cast("double").alias("v")), "values")
     genes = gene_order(values)
-    values = cut(values.select("cell", "gene", "v"), "values")
-    found = values.withColumn("round", F.lit(-1))
-    for r in range(rounds):
-        found = found.unionByName(shuffle_genes(values, cells, genes, seed + r).withColumn("round", F.lit(r)))
-    got = variances(found, cells, genes)
+    size, width = cells.count(), len(genes)
+    block = block or max(256, (1 << 20) // max(width, 1))
+    names = F.broadcast(values.sparkSession.createDataFrame(list(enumerate(genes)), "g int, gene string"))
+    kept = values.where(F.col("v") != 0).join(names, "gene")
+    each = kept.groupBy("cell").agg(F.collect_list("g").alias("g"), F.collect_list("v").alias("v"))
+    rows = cut(numbered(cells, max(1, size // 65_536 + 1)).join(each, "cell").select("i", "g", "v"), "rows")
+
+    def observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s, p = np.zeros(width), np.zeros((width, width))
+        for b in batches:
+            for start in range(0, b.num_rows, block):
+                part = b.slice(start, block)
+                _, g, v = _entries(part)
+                x = np.zeros((part.num_rows, width))
+                x[np.repeat(np.arange(part.num_rows), part.column(1).value_lengths().to_numpy()), g] = v
+                s, p = s + x.sum(0), p + x.T @ x
+        yield _sums(-1, s, p).to_batches()[0]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, g, v = _entries(b)
+            order = np.argsort(g, kind="stable")
+            at, g, v = at[order], g[order], v[order]
+            for k, start, n in zip(*np.unique(g, return_index=True, return_counts=True), strict=True):
+                at[start : start + n] = dealt_place(at[start : start + n], size, seed, int(k)) // block
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(g), pa.array(v)], names=["block", "g", "v"])
+
+    def shuffled(key: tuple, group: pa.Table) -> pa.Table:
+        at = key[0].as_py()
+        n = min(block, size - at * block)
+        g, v = group.column("g").to_numpy(), group.column("v").to_numpy()
+        order = np.lexsort((v, g))  # the order of arrival must not matter
+        x, ends = np.zeros((width, n)), np.searchsorted(g[order], np.arange(width + 1))
+        for k in range(width):
+            x[k, : ends[k + 1] - ends[k]] = v[order[ends[k] : ends[k + 1]]]
+        out = []
+        for r in range(rounds):
+            np.random.default_rng([seed + r, at]).permuted(x, axis=1, out=x)
+            out.append(_sums(r, x.sum(1), x @ x.T))
+        return pa.concat_tables(out)
+
+    blocks = -(-size // block)
+    met = rows.mapInArrow(deal, "block long, g int, v double").repartition(min(max(blocks, 1), 4096), "block")
+    sums = rows.mapInArrow(observed, "round int, sums binary, products binary").unionByName(met.groupBy("block").applyInArrow(shuffled, "round int, sums binary, products binary"))
+    got = {r["round"]: r.variances for r in sums.groupBy("round").applyInArrow(lambda group: _falling(group, size), "round int, variances array<double>").collect()}
+    forget(values, rows)
     level = float(np.mean([got[r][0] for r in range(rounds)]))
     return sum(v > level for v in got.get(-1, [])[:most])
 

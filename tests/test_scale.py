@@ -82,3 +82,19 @@ def test_a_shift_at_the_limit_does_not_count_in_any_order(spark):
     rows = [(fov, 1, i, float(v), 0.0) for fov in range(200) for i, v in enumerate(rng.permutation(TIED))]
     got = image.robust_drift(spark.createDataFrame(rows, "fov long, bit int, quadrant int, dy double, dx double").repartition(4)).collect()
     assert {(r.dy, r.dx) for r in got} == {(float(np.median([v for v in TIED if 9 < v < 71])), 0.0)} and len(got) == 200
+
+
+def test_values_are_shuffled_once_for_all_rounds(spark, monkeypatch):
+    """Rounds deal within blocks of cells, to which each gene went by a permutation of its own; no round shuffles the matrix."""
+
+    def each_round(*_):
+        raise AssertionError("the matrix is shuffled for a round")
+
+    monkeypatch.setattr(learn, "shuffle_genes", each_round)
+    for size in (1, 2, 3, 100, 4097):
+        assert sorted(learn.dealt_place(np.arange(size), size, 1, 2).tolist()) == list(range(size))
+    assert abs(np.corrcoef(*[learn.dealt_place(np.arange(4097), 4097, 1, g) for g in (0, 1)])[0, 1]) < 0.06
+    rng = np.random.default_rng(0)
+    x = 5 * np.repeat(rng.normal(size=(300, 2)), 4, axis=1) + rng.normal(size=(300, 8))  # four genes for each of two hidden numbers
+    values = spark.createDataFrame([(i, f"g{j}", float(x[i, j])) for i in range(300) for j in range(8)], "cell long, gene string, v double")
+    assert learn.count_components(values, values.select("cell").distinct(), rounds=5, block=64) == 2
