@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -113,11 +115,33 @@ def drop_small(mask: DataFrame, least: int) -> DataFrame:
 
 
 def expand_labels(mask: DataFrame, distance: int = 3, side: int = PIXELS) -> DataFrame:
-    """The mask grown by `distance` pixels: a free pixel takes the nearest label's, ties to the smaller label."""
-    reach = [(i, j) for i in range(-distance, distance + 1) for j in range(-distance, distance + 1) if i * i + j * j <= distance * distance]
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(i * i + j * j).alias("d")) for i, j in reach])
+    """The mask grown by `distance` pixels: a free pixel takes the nearest label's, ties to the smaller label.
+
+    A task holds one slice of a tile as an array, so labelled pixels are shuffled, not their copies.
+    """
     rest = ["az"] if "az" in mask.columns else []
-    near = mask.where("label <> 0").select("fov", *rest, "a0", "a1", "label", F.explode(steps).alias("s"))
-    near = near.select("fov", *rest, (F.col("a0") + F.col("s.i")).alias("a0"), (F.col("a1") + F.col("s.j")).alias("a1"), F.struct(F.col("s.d").alias("d"), "label").alias("c"))
-    near = near.where(f"a0 between 0 and {side - 1} and a1 between 0 and {side - 1}")
-    return near.groupBy("fov", *rest, "a0", "a1").agg(F.min("c").alias("c")).select("fov", *rest, "a0", "a1", F.col("c.label").alias("label"))
+    by, columns = ["fov", *rest], ["fov", *rest, "a0", "a1", "label"]
+    reach: dict[int, list[tuple[int, int]]] = {}
+    for i in range(-distance, distance + 1):
+        for j in range(-distance, distance + 1):
+            if i * i + j * j <= distance * distance:
+                reach.setdefault(i * i + j * j, []).append((i, j))
+    wide, none = side + 2 * distance, np.iinfo(np.int64).max
+
+    def run(group: pa.Table) -> pa.Table:
+        a0, a1, label = (group.column(c).to_numpy().astype(np.int64) for c in ("a0", "a1", "label"))
+        had = np.full((wide, wide), none)
+        np.minimum.at(had, (a0 + distance, a1 + distance), label)
+        out = np.full((side, side), none)
+        for d in sorted(reach):
+            near = np.minimum.reduce([had[distance + i : distance + i + side, distance + j : distance + j + side] for i, j in reach[d]])
+            out = np.where(out == none, near, out)
+        found = np.nonzero(out != none)
+        got = {c: group.column(c).take(pa.array(np.zeros(len(found[0]), dtype=np.int64))) for c in by}
+        got |= {c: pa.array(x).cast(group.column(c).type) for c, x in (("a0", found[0]), ("a1", found[1]), ("label", out[found]))}
+        return pa.table(got)
+
+    kinds = dict(mask.dtypes)
+    # pixels beyond the reach of the tile colour nothing in it
+    near = mask.where("label <> 0").where(f"a0 between {-distance} and {side - 1 + distance} and a1 between {-distance} and {side - 1 + distance}")
+    return near.select(*columns).groupBy(*by).applyInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in columns))

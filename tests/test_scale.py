@@ -98,3 +98,21 @@ def test_values_are_shuffled_once_for_all_rounds(spark, monkeypatch):
     x = 5 * np.repeat(rng.normal(size=(300, 2)), 4, axis=1) + rng.normal(size=(300, 8))  # four genes for each of two hidden numbers
     values = spark.createDataFrame([(i, f"g{j}", float(x[i, j])) for i in range(300) for j in range(8)], "cell long, gene string, v double")
     assert learn.count_components(values, values.select("cell").distinct(), rounds=5, block=64) == 2
+
+
+def test_a_grown_label_takes_one_row_for_each_pixel(spark):
+    """Only labelled pixels are shuffled: no plan may copy them to all pixels in reach; results are those of the copies."""
+    mask = exploded(spark, 3).where("(a0 + a1 * 3 + az) % 7 = 0")
+    edge = spark.createDataFrame([(9, 0, 2, 3, 5), (9, 0, 2, 3, 4), (9, 0, -1, 3, 2), (9, 0, 0, 25, 1), (9, 0, 8, 8, -6)], "fov long, az long, a0 long, a1 long, label long")
+    mask = mask.unionByName(edge)
+    grown = cells.expand_labels(mask, 2, 20)
+    assert "Generate explode(array(" not in plan(grown) and "FlatMapGroupsInArrow" in plan(grown)
+    want = {}
+    for r in mask.collect():
+        for i in range(-2, 3):
+            for j in range(-2, 3):
+                at = (r.fov, r.az, r.a0 + i, r.a1 + j)
+                if i * i + j * j <= 4 and 0 <= at[2] < 20 and 0 <= at[3] < 20:
+                    want[at] = min(want.get(at, (99, 0)), (i * i + j * j, r.label))
+    got = [(r.fov, r.az, r.a0, r.a1, r.label) for r in grown.collect()]
+    assert sorted(got) == sorted((*k, v[1]) for k, v in want.items())
