@@ -165,3 +165,21 @@ def test_footers_answer_counts(spark, tmp_path):
     each, plan = tables.footer_counts(spark, str(tmp_path / "mol"), "fov")
     assert sorted(map(tuple, each.collect())) == [(0, 34), (1, 33), (2, 33)] and "PushedGroupBy: [fov]" in plan
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_mask_store_has_no_folder_for_each_tile(spark, tmp_path):
+    store = MaskStore(spark, str(tmp_path / "store"))
+    frames = spark.range(60).select(F.col("id").alias("fov"), F.lit(1).alias("height"), F.lit(2).alias("width"), F.lit(bytearray(b"\x09\x00\x00\x00")).alias("pixels"))
+    ones = lambda a: (a > 0).astype(int)
+    assert store.masks(frames.where("fov % 2 = 0"), ones).count() == 30 and store.masks(frames, ones).count() == 60
+    store.masks(frames, ones)  # nothing is missing, nothing is written
+    assert len([p for p in (tmp_path / "store").iterdir() if p.is_dir()]) == 2
+    store.masks(frames.where("fov = 7"), lambda a: 5 * ones(a), fresh=True)
+    assert sorted((r.fov, r.label) for r in tiles.unpack_tiles(store.stored()).collect()) == [(f, 5 if f == 7 else 1) for f in range(60)]
+
+    def fails(a):
+        raise ValueError("no mask")
+
+    with pytest.raises(Exception, match="no mask"):
+        store.masks(frames, fails, fresh=True)
+    assert store.stored().count() == 60
