@@ -64,10 +64,12 @@ def drift_quadrants(pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            s = [np.zeros((0, 2))]
             for r in pdf.itertuples():
                 a, b = (np.frombuffer(x, "<u2").reshape(r.height, r.width).astype(np.float64) for x in (r.fixed, r.moved))
-                s = quadrant_shifts(a, b)
-                yield pd.DataFrame({"fov": r.fov, "bit": r.bit, "quadrant": range(4), "dy": s[:, 0], "dx": s[:, 1]})
+                s.append(quadrant_shifts(a, b))
+            dy, dx = np.concatenate(s).T
+            yield pd.DataFrame({"fov": np.repeat(pdf["fov"].to_numpy(), 4), "bit": np.repeat(pdf["bit"].to_numpy(), 4), "quadrant": np.tile(np.arange(4), len(pdf)), "dy": dy, "dx": dx})
 
     return pairs.select("fov", "bit", "height", "width", "fixed", "moved").mapInPandas(run, "fov long, bit int, quadrant int, dy double, dx double")
 
