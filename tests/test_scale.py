@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from cellgrid.operators import cells, image, learn, molecules, neighbours, spatial, tiles
+from cellgrid.plans import views
 
 
 def exploded(spark, slices=1):
@@ -116,3 +117,12 @@ def test_a_grown_label_takes_one_row_for_each_pixel(spark):
                     want[at] = min(want.get(at, (99, 0)), (i * i + j * j, r.label))
     got = [(r.fov, r.az, r.a0, r.a1, r.label) for r in grown.collect()]
     assert sorted(got) == sorted((*k, v[1]) for k, v in want.items())
+
+
+def test_tiles_of_a_small_file_are_spread(spark, tmp_path):
+    """1500 keys fit one split, whose task made the pixels of all tiles."""
+    spark.range(1500).select(F.col("id").alias("s_suppkey")).coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    for view in (views.moved, views.bright, views.frames, views.mask):
+        made = view(spark, str(tmp_path))
+        sizes = [r["count"] for r in made.select("fov").distinct().join(made.select("fov", F.spark_partition_id().alias("p")).distinct(), "fov").groupBy("p").count().collect()]
+        assert len(sizes) == 3 and max(sizes) < 700, view
