@@ -330,6 +330,7 @@ def cluster_links(graph: DataFrame, clusters: DataFrame) -> DataFrame:
 
 def communities(shares: DataFrame, k: int = 8, seed: int = 1) -> DataFrame:
     """id, community: k-means over the neighbourhood shares (id, label, share) of each cell, as text numbers."""
+    shares = cut(shares.select("id", "label", "share"), "shares")
     labels = [r.label for r in shares.select("label").distinct().orderBy("label").collect()]
     wide = shares.groupBy("id").pivot("label", labels).agg(F.first("share")).na.fill(0.0)
     points = wide.select("id", array_to_vector(F.array(*[F.col(f"`{x}`").cast("double") for x in labels])).alias("features"))

@@ -126,3 +126,16 @@ def test_tiles_of_a_small_file_are_spread(spark, tmp_path):
         made = view(spark, str(tmp_path))
         sizes = [r["count"] for r in made.select("fov").distinct().join(made.select("fov", F.spark_partition_id().alias("p")).distinct(), "fov").groupBy("p").count().collect()]
         assert len(sizes) == 3 and max(sizes) < 700, view
+
+
+def test_neighbours_are_counted_in_lots_and_never_listed(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "LOT", 9)
+    rng = np.random.default_rng(4)
+    at = rng.integers(-20, 20, size=(150, 2)).astype(float)
+    names = [None if i % 31 == 0 else "abc"[i % 3] for i in range(150)]
+    cells_at = spark.createDataFrame([(i, *map(float, at[i]), names[i]) for i in range(150)], "id long, x double, y double, label string")
+    near = ((at[:, None] - at[None]) ** 2).sum(2) <= 36
+    want = {(i, x): sum(near[i, j] for j in range(150) if names[j] == x) for i in range(150) for x in (None, "a", "b", "c")}
+    shares = spatial.neighbourhoods(cells_at, radius=6.0)
+    assert "SortMergeJoin" not in plan(shares)
+    assert {(r.id, r.label): (r.n, r.share) for r in shares.collect()} == {k: (n, n / near[k[0]].sum()) for k, n in want.items() if n}
