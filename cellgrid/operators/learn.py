@@ -37,6 +37,7 @@ def vectors(values: DataFrame, cells: DataFrame, genes: list[str]) -> DataFrame:
 
 def pca(points: DataFrame, k: int, key: str = "cell", v: str = "v") -> tuple[DataFrame, list[float]]:
     """((cell, pc), variances): the first k principal components of centred vectors, and the variance along each."""
+    points = cut(points.select(key, v), "points")  # read for each of several sums
     size = len(points.select(v).first()[0])
     middle = points.agg(*[F.avg(F.element_at(v, i + 1)).alias(str(i)) for i in range(size)]).first()
     centred = points.select(key, F.zip_with(v, F.array(*[F.lit(float(m)) for m in middle]), lambda a, b: a - b).alias("x"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cellgrid.operators import cells, codebook, design, image, layout, learn, leiden, markers, matrix, molecules, neighbours, qc, spatial, tiles
 from cellgrid.plans import views as V
 from cellgrid.plans.mask_store import MaskStore
-from cellgrid.plans.store import fresh_path
+from cellgrid.plans.store import cut, fresh_path
 from cellgrid.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -470,6 +470,7 @@ def _values(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 @query("m4_pca")
 def _(s: SparkSession, d: str) -> DataFrame:
     values, who = _values(s, d)
+    values = cut(values.select("cell", "gene", "v"), "values")
     scored, _ = learn.pca(learn.vectors(values, who, learn.gene_order(values)), 4)
     return scored.select("cell", *[F.round(F.abs(F.element_at("pc", i + 1)), 4).alias(f"pc{i + 1}") for i in range(4)])
 

@@ -139,3 +139,16 @@ def test_neighbours_are_counted_in_lots_and_never_listed(spark, monkeypatch):
     shares = spatial.neighbourhoods(cells_at, radius=6.0)
     assert "SortMergeJoin" not in plan(shares)
     assert {(r.id, r.label): (r.n, r.share) for r in shares.collect()} == {k: (n, n / near[k[0]].sum()) for k, n in want.items() if n}
+
+
+def test_components_make_their_vectors_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def vector(i):
+        made.add(1)
+        return [float(i), float(i % 3), float(-2 * i)]
+
+    scored, spread = learn.pca(spark.range(20).select(F.col("id").alias("cell"), vector("id").alias("v")), 2)
+    assert scored.count() == 20 and len(scored.collect()) == 20 and spread[0] > spread[1]
+    assert made.value == 20
