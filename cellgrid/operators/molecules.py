@@ -20,7 +20,7 @@ def cell_by_gene(molecules: DataFrame, drop_blank: bool = False, exclude_edge: b
 
 def widen(counts: DataFrame, genes: list[str]) -> DataFrame:
     """One row for each cell and one column for each named gene, zeros filled in."""
-    return counts.groupBy("cell_id").pivot("gene", genes).agg(F.sum("n")).na.fill(0, genes)
+    return counts.groupBy("cell_id").agg(*[F.coalesce(F.sum(F.when(F.col("gene") == g, F.col("n"))), F.lit(0)).alias(g) for g in genes])
 
 
 def per_gene_error(molecules: DataFrame) -> DataFrame:

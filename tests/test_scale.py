@@ -152,3 +152,10 @@ def test_components_make_their_vectors_once(spark):
     scored, spread = learn.pca(spark.range(20).select(F.col("id").alias("cell"), vector("id").alias("v")), 2)
     assert scored.count() == 20 and len(scored.collect()) == 20 and spread[0] > spread[1]
     assert made.value == 20
+
+
+def test_a_wide_table_takes_one_sum_for_each_cell(spark):
+    counts = spark.createDataFrame([(1, "a", 2), (1, "a", 3), (1, "c", 9), (2, "b", 4), (3, "c", 1)], "cell_id long, gene string, n long")
+    wide = molecules.widen(counts, ["a", "b"])
+    assert "pivotfirst" not in plan(wide)  # it groups by cell and gene again before
+    assert sorted(map(tuple, wide.collect())) == [(1, 5, 0), (2, 0, 4), (3, 0, 0)]
