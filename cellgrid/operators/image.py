@@ -9,6 +9,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Bytes of pixels whose frames leave a task as one table.
+LOT = 1 << 21
+
+
+def lots(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Runs of frames of about LOT bytes: small frames share a table of pixels, which costs more than they do, and a large one has its own."""
+    yield from (part for _, part in pdf.groupby(pdf["pixels"].map(len).cumsum() // LOT))
+
 
 def kernel(sigma: float) -> np.ndarray:
     """A Gaussian of 2 ceil(2 sigma) + 1 taps that adds up to one."""
@@ -138,10 +146,11 @@ def pixels(frames: DataFrame, *by: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                image = np.frombuffer(r.pixels, "<u2")
-                at = np.arange(len(image))
-                yield pd.DataFrame({**{c: getattr(r, c) for c in by}, "a0": (at // r.width).astype("int32"), "a1": (at % r.width).astype("int32"), "value": image.astype("int32")})
+            for part in lots(pdf):
+                images = [np.frombuffer(p, "<u2") for p in part["pixels"]]
+                n = [len(i) for i in images]
+                at, width = np.concatenate([np.arange(i) for i in n]), np.repeat(part["width"].to_numpy(), n)
+                yield pd.DataFrame({**{c: np.repeat(part[c].to_numpy(), n) for c in by}, "a0": (at // width).astype("int32"), "a1": (at % width).astype("int32"), "value": np.concatenate(images).astype("int32")})
 
     return frames.select(*by, "width", "pixels").mapInPandas(run, ", ".join([*[f"`{c}` {kinds[c]}" for c in by], "a0 int, a1 int, value int"]))
 
@@ -225,9 +234,10 @@ def segment(frames: DataFrame, labeller: Callable[[np.ndarray], np.ndarray]) ->
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                mask = labeller(np.frombuffer(r.pixels, "<u2").reshape(r.height, r.width))
-                a0, a1 = np.nonzero(mask)
-                yield pd.DataFrame({"fov": r.fov, "a0": a0.astype("int64"), "a1": a1.astype("int64"), "label": mask[a0, a1].astype("int64")})
+            for part in lots(pdf):
+                masks = [labeller(np.frombuffer(r.pixels, "<u2").reshape(r.height, r.width)) for r in part.itertuples(index=False)]
+                at = [np.nonzero(m) for m in masks]
+                a0, a1, label = (np.concatenate(c, dtype="int64", casting="unsafe") for c in zip(*[(*i, m[i]) for i, m in zip(at, masks, strict=True)], strict=True))
+                yield pd.DataFrame({"fov": np.repeat(part["fov"].to_numpy(), [len(i[0]) for i in at]), "a0": a0, "a1": a1, "label": label})
 
     return frames.select("fov", "height", "width", "pixels").mapInPandas(run, "fov long, a0 long, a1 long, label long")

@@ -670,10 +670,11 @@ def _floats(frames: DataFrame) -> DataFrame:
 
     def run(batches):
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                v = np.frombuffer(r.pixels, "<f8")
-                at = np.arange(len(v))
-                yield pd.DataFrame({"fov": r.fov, "a0": at // r.width, "a1": at % r.width, "v": v})
+            for part in image.lots(pdf):
+                values = [np.frombuffer(p, "<f8") for p in part["pixels"]]
+                n = [len(v) for v in values]
+                at, width = np.concatenate([np.arange(i) for i in n]), np.repeat(part["width"].to_numpy(), n)
+                yield pd.DataFrame({"fov": np.repeat(part["fov"].to_numpy(), n), "a0": at // width, "a1": at % width, "v": np.concatenate(values)})
 
     return r6(frames.select("fov", "width", "pixels").mapInPandas(run, "fov long, a0 long, a1 long, v double"), "v")
 

@@ -1,6 +1,7 @@
 """Plans and steps that must stay bounded on tables too large for a test."""
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from cellgrid.operators import cells, image, learn, molecules, neighbours, spatial, tiles
@@ -128,6 +129,41 @@ def test_tiles_of_a_small_file_are_spread(spark, tmp_path):
         assert len(sizes) == 3 and max(sizes) < 700, view
 
 
+class Frames:
+    """Gives the function that a task runs, in place of frames."""
+
+    def __init__(self, **kinds):
+        self.dtypes = list(kinds.items())
+
+    def select(self, *_):
+        return self
+
+    def mapInPandas(self, run, _):
+        return run
+
+
+def test_small_frames_share_a_table_of_pixels(monkeypatch):
+    """A table for each frame costs more than its pixels do; frames over the limit still have one each."""
+    rng = np.random.default_rng(3)
+    shots = [rng.integers(0, 200, size=(1 + i % 4, 1 + i % 3)).astype("<u2") for i in range(60)]
+    shots[0][:] = 0  # no cell
+    pdf = pd.DataFrame({"fov": np.arange(60) * 7, "height": [a.shape[0] for a in shots], "width": [a.shape[1] for a in shots], "pixels": [a.tobytes() for a in shots]})
+    masks = [image.threshold_cells(a, 100) for a in shots]
+    cut = image.segment(Frames(), lambda a: image.threshold_cells(a, 100))
+    flat = image.pixels(Frames(fov="bigint"), "fov")
+    labels = [(7 * i, y, x, m[y, x]) for i, m in enumerate(masks) for y, x in zip(*np.nonzero(m), strict=True)]
+    values = [(7 * i, y, x, a[y, x]) for i, a in enumerate(shots) for y in range(a.shape[0]) for x in range(a.shape[1])]
+    for run, want in ((cut, labels), (flat, values)):
+        assert list(run([pdf.iloc[:0]])) == []
+        out = list(run([pdf]))
+        assert len(out) == 1 and list(out[0].itertuples(index=False, name=None)) == want
+        assert [len(t) for t in run([pdf.iloc[:1]])] == [0 if run is cut else 1]
+        with monkeypatch.context() as few:
+            few.setattr(image, "LOT", 1)
+            each = list(run([pdf]))
+        assert len(each) == 60 and list(pd.concat(each).itertuples(index=False, name=None)) == want
+
+
 def test_neighbours_are_counted_in_lots_and_never_listed(spark, monkeypatch):
     monkeypatch.setattr(spatial, "LOT", 9)
     rng = np.random.default_rng(4)
